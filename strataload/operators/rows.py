@@ -25,10 +25,25 @@ def add_missing_columns(df: DataFrame, columns: Mapping[str, T.DataType]) -> Dat
     return df.withColumns(absent) if absent else df
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of ``schema`` in its order and types; columns ``df`` lacks hold NULL."""
+    """Columns of ``schema`` in its order and types; columns ``df`` lacks hold NULL.
+
+    Text longer than a column's ``max_length`` is an error, not a cut.
+    """
     full = add_missing_columns(df, {f.name: f.dataType for f in schema.fields})
-    return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    selected = []
+    for field in schema.fields:
+        value = F.col(field.name).cast(field.dataType)
+        limit = field.metadata.get("max_length")
+        if limit is not None:
+            too_long = F.raise_error(F.lit(f"{field.name}: value longer than {limit} characters"))
+            value = F.when(F.length(value) > limit, too_long).otherwise(value)
+        selected.append(value.alias(field.name))
+    return full.select(*selected)
 
 
 def number_pairs(spark: SparkSession, n: int) -> DataFrame:

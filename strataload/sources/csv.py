@@ -18,6 +18,11 @@ CSV_DIALECT = {
 }
 
 
+# An unquoted empty field is NULL, a quoted one is empty text. The reader tells them apart only if the
+# text it takes for NULL cannot occur in a file.
+_NULL_TEXT = "\u0000"
+
+
 def read_sales_csv(spark: SparkSession, path: str, names: list[str], multi_line: bool = False) -> DataFrame:
     """All columns as text. A line with too few or too many fields is an error.
 
@@ -25,7 +30,8 @@ def read_sales_csv(spark: SparkSession, path: str, names: list[str], multi_line:
     costs one task per file.
     """
     reader = spark.read.schema(raw_schema(names)).options(**CSV_DIALECT)
-    return reader.option("mode", "FAILFAST").option("multiLine", multi_line).csv(path)
+    reader = reader.option("nullValue", _NULL_TEXT).option("mode", "FAILFAST")
+    return reader.option("multiLine", multi_line).csv(path)
 
 
 def write_sales_csv(df: DataFrame, path: str) -> None:

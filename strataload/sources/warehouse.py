@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataload.operators.rows import conform
+from strataload.operators.rows import conform, empty_frame
 from strataload.session import hadoop_path
 from strataload.sources.schemas import TABLE_SCHEMAS
 
@@ -77,12 +77,23 @@ class Warehouse:
         paths = self.live_paths(table)
         if paths:
             return self._reader(table).parquet(*paths)
-        return self.spark.createDataFrame([], self.schemas[table])
+        return empty_frame(self.spark, self.schemas[table])
 
-    def _publish(self, table: str, df: DataFrame, kind: str, checks: Sequence[Check]) -> None:
+    def _next_folder(self, table: str, kind: str) -> str:
         versions = self._versions(table)
         number = 1 + (int(versions[-1].split("-")[0]) if versions else 0)
-        target = f"{self.folder(table)}/{number:08d}-{kind}"
+        return f"{self.folder(table)}/{number:08d}-{kind}"
+
+    def _mark(self, folder: str) -> None:
+        fs, path = hadoop_path(self.spark, f"{folder}/{MARKER}")
+        fs.create(path).close()
+
+    def _publish_empty(self, table: str) -> None:
+        """A full version without files; no job runs."""
+        self._mark(self._next_folder(table, "full"))
+
+    def _publish(self, table: str, df: DataFrame, kind: str, checks: Sequence[Check]) -> None:
+        target = self._next_folder(table, kind)
         fs, path = hadoop_path(self.spark, target)
         before = self.live_paths(table) if kind == "delta" else []
         try:
@@ -92,7 +103,7 @@ class Warehouse:
         except Exception:
             fs.delete(path, True)
             raise
-        fs.create(hadoop_path(self.spark, f"{target}/{MARKER}")[1]).close()
+        self._mark(target)
 
     def replace(self, table: str, df: DataFrame, checks: Sequence[Check] = ()) -> None:
         """Make ``df`` the whole table. ``df`` may read the table it replaces."""
@@ -113,11 +124,11 @@ class Warehouse:
     def create_if_absent(self, table: str) -> bool:
         if self.exists(table):
             return False
-        self._publish(table, self.spark.createDataFrame([], self.schemas[table]), "full", ())
+        self._publish_empty(table)
         return True
 
     def truncate(self, table: str) -> None:
-        self.replace(table, self.read(table).limit(0))
+        self._publish_empty(table)
 
     def drop_if_exists(self, table: str) -> bool:
         fs, path = hadoop_path(self.spark, self.folder(table))
