@@ -37,15 +37,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] =
 def survivor_by_priority(df: DataFrame, key: str, priority: str, attributes: Sequence[str]) -> DataFrame:
     """One row per key: the lowest priority, then the smallest attributes in the given order.
 
-    ``distinct`` first: it is a hash aggregate with a map-side part, so the ordered minimum only
-    sees the few variants of each key.
+    The variants of each key are found first, by a hash aggregate that works on the map side too.
+    ``min_by`` and not ``min``: below ``min`` Spark drops the distinct as redundant, and since text
+    does not fit a hash aggregation buffer, it would then sort every source row.
     """
     variants = df.select(key, priority, *attributes).distinct()
-    best = variants.groupBy(key).agg(F.min(F.struct(priority, *attributes)).alias("_best"))
+    row = F.struct(priority, *attributes)
+    best = variants.groupBy(key).agg(F.min_by(row, row).alias("_best"))
     return best.select(key, *[F.col(f"_best.{a}").alias(a) for a in attributes])
 
 
 def survivor_by_max(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
-    """One row per key with the maximum of each attribute on its own; the row may mix variants."""
+    """One row per key with the maximum of each attribute on its own; the row may mix variants.
+
+    ``max_by`` of a column by itself is its maximum; see ``survivor_by_priority`` for the reason.
+    """
     variants = df.select(fold_null(F.col(key)).alias(key), *attributes).distinct()
-    return variants.groupBy(key).agg(*[fold_null(F.max(a)).alias(a) for a in attributes])
+    return variants.groupBy(key).agg(*[fold_null(F.max_by(a, a)).alias(a) for a in attributes])

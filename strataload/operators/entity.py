@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,49 +35,50 @@ def entity_sources(spec: EntitySpec, cash: DataFrame, card: DataFrame) -> list[D
 
 
 def _key_column(spec: EntitySpec, rules: LoadRules) -> Column:
-    """Business key over columns that already carry their stored names."""
+    """Business key over cleansed staging columns."""
     parts = [F.col(part) for part in spec.key_parts]
     if len(parts) == 1:
         return parts[0]
     if rules.keys == "raw":
         return plain_concat_key("_", *parts)
-    # Joined with "|", the key covers every attribute; with "_", only the key parts.
-    names = spec.attribute_names if rules.key_separator == "|" else spec.key_parts
-    return joined_key(rules.key_separator, *[F.col(name) for name in names])
+    return joined_key(rules.key_separator, *[F.col(c) for c in rules.joined_columns or spec.key_parts])
+
+
+def _cleansed(spec: EntitySpec, frame: DataFrame, rules: LoadRules) -> DataFrame:
+    """The staging columns of the entity, each once, cleansed as the rules say."""
+    if rules.keys == "raw":
+        return frame
+    if rules.keys == "folded":
+        return frame.select(*[fold_null(F.col(c)).alias(c) for c in spec.staging_columns])
+    keyed = frame.where(reduce(and_, [has_key(F.col(part)) for part in spec.key_parts]))
+    return keyed.select(
+        *[(F.trim(c) if c in spec.key_parts else clean_text(F.col(c))).alias(c) for c in spec.staging_columns]
+    )
+
+
+def _stored_names(spec: EntitySpec, rows: DataFrame, rules: LoadRules) -> DataFrame:
+    attributes = [F.col(column).alias(stored) for stored, column in spec.attributes]
+    return rows.select(_key_column(spec, rules).alias(spec.key), *attributes)
 
 
 def source_rows(spec: EntitySpec, cash: DataFrame, card: DataFrame, rules: LoadRules) -> DataFrame:
-    """Distinct source rows as (key, attributes…), one per key where the rules ask for a survivor."""
-    sources = entity_sources(spec, cash, card)
-    composite = len(spec.key_parts) > 1
-    key_source = spec.key_parts[0]
-    clean = {"raw": lambda c: c, "folded": fold_null, "cleaned": clean_text}[rules.keys]
-
-    def shaped(frame: DataFrame) -> DataFrame:
-        attributes = [clean(F.col(column)).alias(stored) for stored, column in spec.attributes]
-        if composite:
-            return frame.select(*attributes)
-        if rules.keys == "cleaned":
-            frame = frame.where(has_key(F.col(key_source)))
-            return frame.select(F.trim(key_source).alias(spec.key), *attributes)
-        return frame.select(clean(F.col(key_source)).alias(spec.key), *attributes)
+    """Distinct source rows as (key, attributes…), one per key where the rules ask for a survivor.
 
+    A composite key, or a key that is also the attribute, is derived after the set union, so the
+    union does not shuffle the same text twice.
+    """
+    sources = entity_sources(spec, cash, card)
     if rules.survivor == "max":
-        raw = [
-            frame.select(
-                F.col(key_source).alias(spec.key), *[F.col(column).alias(stored) for stored, column in spec.attributes]
-            )
-            for frame in sources
-        ]
-        return survivor_by_max(union_all(raw), spec.key, spec.attribute_names)
+        # Maxima are taken over uncleansed values; the result is folded.
+        return survivor_by_max(_stored_names(spec, union_all(sources), rules), spec.key, spec.attribute_names)
+    cleansed = [_cleansed(spec, frame, rules) for frame in sources]
     if rules.survivor == "priority":
-        ranked = [shaped(frame).withColumn("_priority", F.lit(rank)) for rank, frame in enumerate(sources, 1)]
+        ranked = [
+            _stored_names(spec, frame, rules).withColumn("_priority", F.lit(rank))
+            for rank, frame in enumerate(cleansed, 1)
+        ]
         return survivor_by_priority(union_all(ranked), spec.key, "_priority", spec.attribute_names)
-    rows = union_distinct([shaped(frame) for frame in sources])
-    if composite:
-        # The key follows from the attributes, so it is added after the set union.
-        rows = rows.select(_key_column(spec, rules).alias(spec.key), *spec.attribute_names)
-    return rows
+    return _stored_names(spec, union_distinct(cleansed), rules)
 
 
 def unmatched_rows(spec: EntitySpec, rows: DataFrame, target: DataFrame, rules: LoadRules) -> DataFrame:

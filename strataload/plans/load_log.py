@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Lock
 from typing import Any
 
 from pyspark.errors import PySparkException
@@ -15,6 +16,8 @@ from strataload.sources.warehouse import Warehouse
 LOG_TABLE = "bl_cl.load_log"
 SUCCESS, ERROR = "SUCCESS", "ERROR"
 _INTERNAL_ERROR = "XX000"
+# Loads may run side by side; their log entries are written one after the other.
+_log_lock = Lock()
 
 
 def write_log(
@@ -28,9 +31,7 @@ def write_log(
     error_message: str | None = None,
 ) -> None:
     """Append one entry; its number and time are assigned here."""
-    top = warehouse.read_or_empty(LOG_TABLE).agg(F.max("log_id")).first()[0] or 0
     values: dict[str, Any] = {
-        "log_id": top + 1,
         "procedure_name": procedure_name,
         "target_table": target_table,
         "rows_affected": rows_affected,
@@ -39,8 +40,11 @@ def write_log(
         "error_code": error_code,
         "error_message": error_message,
     }
-    row = literal_rows(warehouse.spark, [[values.get(f.name) for f in LOAD_LOG_SCHEMA.fields]], LOAD_LOG_SCHEMA)
-    warehouse.append(LOG_TABLE, row.withColumn("log_datetime", F.localtimestamp()))
+    with _log_lock:
+        top = warehouse.read_or_empty(LOG_TABLE).agg(F.max("log_id")).first()[0] or 0
+        values["log_id"] = top + 1
+        row = literal_rows(warehouse.spark, [[values.get(f.name) for f in LOAD_LOG_SCHEMA.fields]], LOAD_LOG_SCHEMA)
+        warehouse.append(LOG_TABLE, row.withColumn("log_datetime", F.localtimestamp()))
 
 
 def error_code(error: Exception) -> str:

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from strataload.functions.dates import HIGH_DATE, LOW_DATE
 from strataload.functions.text import UNKNOWN
 from strataload.operators import quality, scd2, upsert
 from strataload.operators.entity import count_by, entity_default_row, new_entity_rows, with_default
 from strataload.operators.keys import DEFAULT_KEY, missing_default_row
-from strataload.functions.dates import HIGH_DATE, LOW_DATE
 from strataload.operators.rows import conform
 from strataload.plans.load_log import LOG_TABLE, run_step
 from strataload.plans.specs import (
@@ -21,7 +24,6 @@ from strataload.plans.specs import (
     CUSTOMERS,
     DIMENSIONS,
     ENTITIES,
-    MANUAL,
     DimensionSpec,
     EntitySpec,
     LoadRules,
@@ -31,7 +33,7 @@ from strataload.plans.specs import (
 from strataload.session import materialize
 from strataload.sources.csv import stage_sales
 from strataload.sources.schemas import TABLE_SCHEMAS
-from strataload.sources.warehouse import Warehouse
+from strataload.sources.warehouse import Check, Warehouse
 
 CASH_TABLE = "sa_cash_sales.src_cash_sales"
 CARD_TABLE = "sa_card_sales.src_card_sales"
@@ -40,8 +42,7 @@ CARD_TABLE = "sa_card_sales.src_card_sales"
 def create_tables(warehouse: Warehouse) -> None:
     """Every table of every layer, if absent, and the unknown members of the star schema."""
     for table in TABLE_SCHEMAS:
-        if not table.startswith("sa_"):
-            warehouse.create_if_absent(table)
+        warehouse.create_if_absent(table)
     add_star_defaults(warehouse)
 
 
@@ -151,7 +152,7 @@ def _load_two_step(
     return affected + n_default
 
 
-def _dimension_checks(spec: DimensionSpec) -> list[quality.Callable[[DataFrame], None]]:
+def _dimension_checks(spec: DimensionSpec) -> list[Check]:
     key, id_column = spec.entity.key, spec.id_column
     if spec.entity.versioned:
         return [quality.one_active_check(key, id_column), quality.version_check(key, id_column)]
@@ -160,7 +161,7 @@ def _dimension_checks(spec: DimensionSpec) -> list[quality.Callable[[DataFrame],
 
 
 def _publish_upserts(
-    warehouse: Warehouse, table: str, id_column: str, target: DataFrame, upserts: DataFrame, checks: list
+    warehouse: Warehouse, table: str, id_column: str, target: DataFrame, upserts: DataFrame, checks: list[Check]
 ) -> int:
     rows = materialize(upserts, "upserts")
     counts = count_by(rows, upsert.ACTION, [upsert.INSERT, upsert.UPDATE])
@@ -201,14 +202,32 @@ def load_calendar(warehouse: Warehouse, raise_on_error: bool = False) -> int | N
     return run_step(warehouse, CALENDAR_TABLE, step, raise_on_error)
 
 
-def load_entities(warehouse: Warehouse, as_of: dt.date, release: Release = "v3") -> dict[str, int | None]:
-    return {spec.table: load_entity(warehouse, spec, as_of, release) for spec in ENTITIES.values()}
+def _side_by_side(
+    warehouse: Warehouse, steps: Mapping[str, Callable[[], int | None]], workers: int
+) -> dict[str, int | None]:
+    """Run independent loads from a few driver threads, so that small jobs do not wait for each other."""
+    with ThreadPoolExecutor(workers) as pool:
+        running = {
+            table: pool.submit(inheritable_thread_target(warehouse.spark)(step)) for table, step in steps.items()
+        }
+        return {table: future.result() for table, future in running.items()}
 
 
-def load_dimensions(warehouse: Warehouse, as_of: dt.date) -> dict[str, int | None]:
-    affected = {spec.table: load_dimension(warehouse, spec, as_of) for spec in DIMENSIONS.values()}
-    affected[CALENDAR_TABLE] = load_calendar(warehouse)
-    return affected
+def load_entities(
+    warehouse: Warehouse, as_of: dt.date, release: Release = "v3", workers: int = 4
+) -> dict[str, int | None]:
+    """All entities; each depends on the staging tables only."""
+    steps = {spec.table: partial(load_entity, warehouse, spec, as_of, release) for spec in ENTITIES.values()}
+    return _side_by_side(warehouse, steps, workers)
+
+
+def load_dimensions(warehouse: Warehouse, as_of: dt.date, workers: int = 4) -> dict[str, int | None]:
+    """All dimensions; each depends on its entity, the calendar on the staging tables."""
+    steps: dict[str, Callable[[], int | None]] = {
+        spec.table: partial(load_dimension, warehouse, spec, as_of) for spec in DIMENSIONS.values()
+    }
+    steps[CALENDAR_TABLE] = partial(load_calendar, warehouse)
+    return _side_by_side(warehouse, steps, workers)
 
 
 def load_all(warehouse: Warehouse, as_of: dt.date) -> dict[str, int | None]:
@@ -241,5 +260,3 @@ def load_outcomes(warehouse: Warehouse, tables: list[str] | None = None) -> Data
         log = log.where(F.col("procedure_name").isin([f"prc_load_{t.split('.')[-1]}" for t in tables]))
     return quality.latest_entries(log)
 
-
-__all__ = ["MANUAL", "create_tables", "load_all", "load_dimensions", "load_entities", "load_staging"]

@@ -56,6 +56,8 @@ class LoadRules:
     with_source_id: bool = True
     both_labels: bool = True
     key_separator: str = "_"
+    # Columns of a joined key where they are not the entity's key parts.
+    joined_columns: Sequence[str] = ()
     default_lineage: str = MANUAL
     order: Sequence[str] = ()
 
@@ -112,7 +114,9 @@ def load_rules(spec: EntitySpec, release: Release = "v3") -> LoadRules:
     if release == "v2":
         if spec in (EMPLOYEES, PRODUCTS, CUSTOMERS):
             return replace(_V2, survivor="max")
-        return replace(_V2, key_separator="|") if spec is LOCATIONS else _V2
+        if spec is LOCATIONS:
+            return replace(_V2, key_separator="|", joined_columns=spec.attribute_names)
+        return _V2
     if spec is LOCATIONS:
         return replace(_V3_FOLDED, match="attributes", order=("location_src_id", "postal_code"))
     if spec in (PRODUCTS, CUSTOMERS):
