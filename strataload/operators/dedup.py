@@ -28,29 +28,28 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] =
     holds a large share of the rows does not land in one task.
     """
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *rest) if (order or rest) else None
-    if window is None:
+    if not rest:
         return df.distinct()
+    window = Window.partitionBy(*keys).orderBy(*order, *rest)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
 def survivor_by_priority(df: DataFrame, key: str, priority: str, attributes: Sequence[str]) -> DataFrame:
     """One row per key: the lowest priority, then the smallest attributes in the given order.
 
-    The variants of each key are found first, by a hash aggregate that works on the map side too.
-    ``min_by`` and not ``min``: below ``min`` Spark drops the distinct as redundant, and since text
-    does not fit a hash aggregation buffer, it would then sort every source row.
+    Sales repeat a customer or product many times, so the variants of each key are found first, by a
+    hash aggregate that starts on the map side; only variants are sorted.
     """
     variants = df.select(key, priority, *attributes).distinct()
-    row = F.struct(priority, *attributes)
-    best = variants.groupBy(key).agg(F.min_by(row, row).alias("_best"))
-    return best.select(key, *[F.col(f"_best.{a}").alias(a) for a in attributes])
+    order = [F.col(c).asc_nulls_last() for c in (priority, *attributes)]
+    return first_per_key(variants, [key], order).select(key, *attributes)
 
 
 def survivor_by_max(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     """One row per key with the maximum of each attribute on its own; the row may mix variants.
 
-    ``max_by`` of a column by itself is its maximum; see ``survivor_by_priority`` for the reason.
+    ``max_by`` of a column by itself is its maximum. Below ``max`` Spark would drop the distinct as
+    redundant, and since text does not fit a hash aggregation buffer, sort every source row.
     """
     variants = df.select(fold_null(F.col(key)).alias(key), *attributes).distinct()
     return variants.groupBy(key).agg(*[fold_null(F.max_by(a, a)).alias(a) for a in attributes])

@@ -15,6 +15,7 @@ from strataload.operators.keys import DEFAULT_KEY, business_rows, current_max_ke
 from strataload.operators.matching import rows_without_match
 from strataload.operators.rows import delete_where, update_where
 from strataload.plans.specs import CUSTOMERS, EntitySpec, load_rules
+from strataload.session import materialize
 
 NEW, CHANGED = "NEW", "CHANGED"
 
@@ -114,10 +115,10 @@ def apply_two_step(
     """The older load: close changed versions, then insert what has no equal active version.
 
     Survivors are the maxima per column, keys are compared untrimmed, and a NULL key reads as the
-    unknown text. Both steps see the same source rows and could run apart.
+    unknown text. Both steps read the same source rows, which are therefore written once.
     """
     rules = load_rules(spec, "v2")
-    source = source_rows(spec, cash, card, rules)
+    source = materialize(source_rows(spec, cash, card, rules), "survivors")
     incoming = source.select(
         F.col(spec.key).alias("_key"), *[F.col(a).alias(f"_{a}") for a in spec.attribute_names]
     )

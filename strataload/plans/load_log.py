@@ -40,11 +40,10 @@ def write_log(
         "error_code": error_code,
         "error_message": error_message,
     }
+    row = literal_rows(warehouse.spark, [[values.get(f.name) for f in LOAD_LOG_SCHEMA.fields]], LOAD_LOG_SCHEMA)
     with _log_lock:
-        top = warehouse.read_or_empty(LOG_TABLE).agg(F.max("log_id")).first()[0] or 0
-        values["log_id"] = top + 1
-        row = literal_rows(warehouse.spark, [[values.get(f.name) for f in LOAD_LOG_SCHEMA.fields]], LOAD_LOG_SCHEMA)
-        warehouse.append(LOG_TABLE, row.withColumn("log_datetime", F.localtimestamp()))
+        last = warehouse.read_or_empty(LOG_TABLE).agg(F.coalesce(F.max("log_id"), F.lit(0)).alias("last")).scalar()
+        warehouse.append(LOG_TABLE, row.withColumns({"log_id": last + 1, "log_datetime": F.localtimestamp()}))
 
 
 def error_code(error: Exception) -> str:

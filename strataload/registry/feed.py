@@ -14,12 +14,15 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strataload.plans.specs import EntitySpec
 from strataload.registry.texts import CE_TEXTS, DIM_TEXTS, LOG_TEXT, LOOKUPS, SALES, SOURCE_FILTER
 from strataload.sources.schemas import CARD_COLUMNS, CASH_COLUMNS
-from strataload.plans.specs import EntitySpec
 
 AS_OF = dt.date(2024, 1, 1)
+# Schemas by path: every query reads several tables, and inferring a schema is a job of its own.
+_schemas: dict[str, T.StructType] = {}
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
@@ -29,7 +32,10 @@ class Feed:
     directory: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        path = f"{self.directory}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def sql(self, text: str) -> DataFrame:
         used = {name: self.table(name) for name in TABLES if "{" + name + "}" in text}

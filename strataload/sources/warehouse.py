@@ -38,26 +38,18 @@ class Warehouse:
     def folder(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}"
 
-    def _versions(self, table: str) -> list[str]:
-        fs, path = hadoop_path(self.spark, self.folder(table))
-        if not fs.exists(path):
-            return []
-        return sorted(status.getPath().getName() for status in fs.listStatus(path))
-
-    def _is_published(self, table: str, version: str) -> bool:
-        fs, path = hadoop_path(self.spark, f"{self.folder(table)}/{version}/{MARKER}")
-        return fs.exists(path)
+    def _matching(self, pattern: str) -> list[str]:
+        """Names of the version folders a pattern below a table folder meets, oldest first."""
+        fs, path = hadoop_path(self.spark, pattern)
+        found = fs.globStatus(path) or []
+        names = [status.getPath().toString().split("/") for status in found]
+        return sorted(name[-2] if name[-1] == MARKER else name[-1] for name in names)
 
     def live_paths(self, table: str) -> list[str]:
         """Folders that make up the current state: the newest full one and the deltas after it."""
-        paths: list[str] = []
-        for version in reversed(self._versions(table)):
-            if not self._is_published(table, version):
-                continue
-            paths.append(f"{self.folder(table)}/{version}")
-            if version.endswith("-full"):
-                break
-        return paths[::-1]
+        published = self._matching(f"{self.folder(table)}/*/{MARKER}")
+        full = [position for position, version in enumerate(published) if version.endswith("-full")]
+        return [f"{self.folder(table)}/{version}" for version in published[full[-1] if full else 0 :]]
 
     def exists(self, table: str) -> bool:
         return bool(self.live_paths(table))
@@ -80,7 +72,7 @@ class Warehouse:
         return empty_frame(self.spark, self.schemas[table])
 
     def _next_folder(self, table: str, kind: str) -> str:
-        versions = self._versions(table)
+        versions = self._matching(f"{self.folder(table)}/*-*")
         number = 1 + (int(versions[-1].split("-")[0]) if versions else 0)
         return f"{self.folder(table)}/{number:08d}-{kind}"
 
