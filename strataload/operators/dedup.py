@@ -23,7 +23,8 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """The first row of every key; NULL keys form one group.
 
-    ``order`` is extended by all remaining columns, so the winner does not depend on partitioning.
+    ``order`` is extended by all remaining columns from left to right, so the winner does not depend
+    on partitioning.
     The rank filter lets Spark keep only the leader of each key before the shuffle, so a key that
     holds a large share of the rows does not land in one task.
     """
@@ -41,8 +42,7 @@ def survivor_by_priority(df: DataFrame, key: str, priority: str, attributes: Seq
     hash aggregate that starts on the map side; only variants are sorted.
     """
     variants = df.select(key, priority, *attributes).distinct()
-    order = [F.col(c).asc_nulls_last() for c in (priority, *attributes)]
-    return first_per_key(variants, [key], order).select(key, *attributes)
+    return first_per_key(variants, [key]).drop(priority)
 
 
 def survivor_by_max(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:

@@ -17,11 +17,10 @@ from strataload.operators import quality, scd2, upsert
 from strataload.operators.entity import count_by, entity_default_row, new_entity_rows, with_default
 from strataload.operators.keys import DEFAULT_KEY, missing_default_row
 from strataload.operators.rows import conform
-from strataload.plans.load_log import LOG_TABLE, run_step
+from strataload.plans.load_log import run_step
 from strataload.plans.specs import (
     CALENDAR_ID,
     CALENDAR_TABLE,
-    CUSTOMERS,
     DIMENSIONS,
     ENTITIES,
     DimensionSpec,
@@ -67,10 +66,12 @@ def add_star_defaults(warehouse: Warehouse) -> None:
             warehouse.append(table, row)
 
 
-def load_staging(warehouse: Warehouse, raw_cash: DataFrame, raw_card: DataFrame) -> None:
+def load_staging(
+    warehouse: Warehouse, raw_cash: DataFrame, raw_card: DataFrame, date_format: str | None = None
+) -> None:
     """Append the typed, deduplicated rows of both source systems."""
     for table, raw in ((CASH_TABLE, raw_cash), (CARD_TABLE, raw_card)):
-        warehouse.append(table, stage_sales(raw))
+        warehouse.append(table, stage_sales(raw, date_format))
 
 
 def load_entity(
@@ -234,29 +235,3 @@ def load_all(warehouse: Warehouse, as_of: dt.date) -> dict[str, int | None]:
     """Entities, then the star schema, from staging tables that are already loaded."""
     create_tables(warehouse)
     return {**load_entities(warehouse, as_of), **load_dimensions(warehouse, as_of)}
-
-
-def dimension_counts(warehouse: Warehouse) -> DataFrame:
-    tables: Mapping[str, str] = dimension_ids()
-    return quality.member_counts({t.split(".")[-1]: (warehouse.read(t), i) for t, i in tables.items()})
-
-
-def reconcile_customers(warehouse: Warehouse) -> DataFrame:
-    """Customer versions that only one of the two layers holds."""
-    columns = [
-        "customer_src_id", "customer_name", "customer_segment", "source_system", "source_entity",
-        "start_dt", "end_dt", "is_active", "insert_dt",
-    ]
-    entity = warehouse.read(CUSTOMERS.table).select(CUSTOMERS.id_column, *columns)
-    spec = DIMENSIONS[CUSTOMERS.name]
-    dimension = warehouse.read(spec.table).select(spec.id_column, *columns)
-    return quality.reconcile(entity, dimension, "only_in_bl_3nf", "only_in_bl_dm")
-
-
-def load_outcomes(warehouse: Warehouse, tables: list[str] | None = None) -> DataFrame:
-    """The latest log entry of each load, of the named tables or of all."""
-    log = warehouse.read(LOG_TABLE)
-    if tables is not None:
-        log = log.where(F.col("procedure_name").isin([f"prc_load_{t.split('.')[-1]}" for t in tables]))
-    return quality.latest_entries(log)
-

@@ -20,7 +20,7 @@ from strataload.operators.rows import (
     number_pairs,
     update_where,
 )
-from strataload.plans import loads
+from strataload.plans import loads, validation
 from strataload.plans.specs import CUSTOMERS, DIMENSIONS, ENTITIES, load_rules
 from strataload.registry.feed import AS_OF, Feed
 from strataload.registry.texts import CALENDAR_TEXT, FLAWED_TEXT
@@ -391,7 +391,7 @@ _OUTCOME = ["procedure_name", "target_table", "rows_affected", "status", "messag
 @query("warehouse_load")
 def warehouse_load(feed: Feed) -> DataFrame:
     """All layers loaded from nothing: what each load reports."""
-    return loads.load_outcomes(_loaded(feed)).select(*_OUTCOME)
+    return validation.load_outcomes(_loaded(feed)).select(*_OUTCOME)
 
 
 @query("idempotent_rerun")
@@ -399,4 +399,4 @@ def idempotent_rerun(feed: Feed) -> DataFrame:
     """The dimension loads run again: all report success and no row, save those that failed before."""
     warehouse = _loaded(feed)
     affected = loads.load_dimensions(warehouse, AS_OF)
-    return loads.load_outcomes(warehouse, list(affected)).select(*_OUTCOME)
+    return validation.load_outcomes(warehouse, list(affected)).select(*_OUTCOME)

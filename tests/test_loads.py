@@ -4,9 +4,9 @@ import pytest
 from conftest import DAY
 from pyspark.sql import functions as F
 
-from strataload.operators.scd2 import layer_history, revert_version, version_summary
+from strataload.operators.scd2 import revert_version, version_summary
 from strataload.operators.rows import update_where
-from strataload.plans import loads
+from strataload.plans import loads, validation
 from strataload.plans.load_log import LOG_TABLE, write_log
 from strataload.plans.specs import CUSTOMERS, DIMENSIONS, ENTITIES
 
@@ -48,13 +48,16 @@ def test_full_load_rerun_and_counts(loaded):
     assert set(loads.load_all(warehouse, NEXT).values()) == {0}
     # A load without changes publishes nothing.
     assert {t: warehouse.live_paths(t) for t in first} == paths
-    outcome = loads.load_outcomes(warehouse, list(loads.dimension_ids())).collect()
+    outcome = validation.load_outcomes(warehouse, list(loads.dimension_ids())).collect()
     assert len(outcome) == 8 and {(r["status"], r["rows_affected"]) for r in outcome} == {("SUCCESS", 0)}
-    for row in loads.dimension_counts(warehouse).collect():
+    for row in validation.dimension_counts(warehouse).collect():
         assert row["default_rows"] == 1 and row["total_rows"] == row["default_rows"] + row["business_rows"]
     assert [r["log_id"] for r in log_rows(warehouse)] == list(range(1, 31))
+    assert validation.duplicate_keys(warehouse).count() == 0
+    assert validation.active_versions(warehouse).count() == 0
+    assert {r["table_name"]: r["row_count"] for r in validation.entity_counts(warehouse).collect()}["ce_products"] == 3
     # The layers label the unknown member differently, so it is the one row that does not reconcile.
-    assert {tuple(r) for r in loads.reconcile_customers(warehouse).collect()} == {
+    assert {tuple(r) for r in validation.reconcile_customers(warehouse).collect()} == {
         ("only_in_bl_3nf", 1),
         ("only_in_bl_dm", 1),
     }
@@ -68,9 +71,7 @@ def test_customer_history_end_to_end(loaded, sales):
     dimension = DIMENSIONS[CUSTOMERS.name]
     assert loads.load_entity(warehouse, CUSTOMERS, NEXT) == 2
     assert loads.load_dimension(warehouse, dimension, NEXT) == 2
-    history = layer_history(warehouse.read(CUSTOMERS.table), warehouse.read(dimension.table)).where(
-        "customer_src_id = 'AA-10315'"
-    )
+    history = validation.customer_history(warehouse, F.col("customer_src_id") == "AA-10315")
     assert {tuple(r) for r in version_summary(history).collect()} == {("BL_3NF", 2, 1, 1), ("BL_DM", 2, 1, 1)}
     versions = sorted((r["version_id"], r["start_dt"], str(r["end_dt"]), r["is_active"]) for r in history.where("layer_name = 'BL_DM'").collect())
     assert versions == [(1, DAY, str(DAY), "N"), (3, NEXT, "9999-12-31", "Y")]
@@ -141,3 +142,15 @@ def test_log_entry_fields(warehouse):
     assert isinstance(second["log_datetime"], dt.datetime)
     with pytest.raises(ValueError):
         write_log(warehouse, "p" * 256, "t", 0, "SUCCESS", "m")
+
+
+def test_command_line_job(spark, sales, tmp_path):
+    import run_load
+    from strataload.sources.csv import write_sales_csv
+
+    write_sales_csv(sales("cash", {}, BOB), str(tmp_path / "cash"))
+    write_sales_csv(sales("card", {"payment_id": "c1"}), str(tmp_path / "card"))
+    place = ["--root", str(tmp_path / "w"), "--as-of", "2024-01-01"]
+    first = run_load.main([*place, "--cash", str(tmp_path / "cash"), "--card", str(tmp_path / "card")])
+    assert first["bl_dm.dim_customers_scd"] == 2
+    assert set(run_load.main(place).values()) == {0}
