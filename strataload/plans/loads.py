@@ -38,6 +38,17 @@ CASH_TABLE = "sa_cash_sales.src_cash_sales"
 CARD_TABLE = "sa_card_sales.src_card_sales"
 
 
+def _side_by_side(
+    warehouse: Warehouse, steps: Mapping[str, Callable[[], int | None]], workers: int
+) -> dict[str, int | None]:
+    """Run independent loads from a few driver threads, so that small jobs do not wait for each other."""
+    with ThreadPoolExecutor(workers) as pool:
+        running = {
+            table: pool.submit(inheritable_thread_target(warehouse.spark)(step)) for table, step in steps.items()
+        }
+        return {table: future.result() for table, future in running.items()}
+
+
 def create_tables(warehouse: Warehouse) -> None:
     """Every table of every layer, if absent, and the unknown members of the star schema."""
     for table in TABLE_SCHEMAS:
@@ -59,11 +70,15 @@ def dimension_ids() -> dict[str, str]:
     return {**{spec.table: spec.id_column for spec in DIMENSIONS.values()}, CALENDAR_TABLE: CALENDAR_ID}
 
 
-def add_star_defaults(warehouse: Warehouse) -> None:
-    for table, id_column in dimension_ids().items():
+def add_star_defaults(warehouse: Warehouse, workers: int = 4) -> None:
+    def add(table: str, id_column: str) -> int:
         row = star_default_row(warehouse.read(table), table, id_column)
-        if not row.isEmpty():
+        missing = row.count()
+        if missing:
             warehouse.append(table, row)
+        return missing
+
+    _side_by_side(warehouse, {t: partial(add, t, i) for t, i in dimension_ids().items()}, workers)
 
 
 def load_staging(
@@ -203,17 +218,6 @@ def load_calendar(warehouse: Warehouse, raise_on_error: bool = False) -> int | N
     return run_step(warehouse, CALENDAR_TABLE, step, raise_on_error)
 
 
-def _side_by_side(
-    warehouse: Warehouse, steps: Mapping[str, Callable[[], int | None]], workers: int
-) -> dict[str, int | None]:
-    """Run independent loads from a few driver threads, so that small jobs do not wait for each other."""
-    with ThreadPoolExecutor(workers) as pool:
-        running = {
-            table: pool.submit(inheritable_thread_target(warehouse.spark)(step)) for table, step in steps.items()
-        }
-        return {table: future.result() for table, future in running.items()}
-
-
 def load_entities(
     warehouse: Warehouse, as_of: dt.date, release: Release = "v3", workers: int = 4
 ) -> dict[str, int | None]:

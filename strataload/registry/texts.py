@@ -89,9 +89,15 @@ _LOW = "DATE '1900-01-01', DATE '1900-01-01'"
 _COVERED = "n_regionkey <> 2"
 
 
+# The unknown member is read from a table like any stored row. As a literal, its key would let the
+# optimizer turn the join on that one row into a nested loop.
+_UNKNOWN_KEY = "CAST(-1 - r_regionkey AS BIGINT)"
+_UNKNOWN_FROM = "FROM {region} WHERE r_regionkey = 0"
+
+
 def _default(n_text: int, label: str = "MANUAL") -> str:
     texts = ", ".join(["'N/A'"] * n_text)
-    return f"UNION ALL SELECT CAST(-1 AS BIGINT), {texts}, '{label}', '{label}', 'N/A', {_LOW}"
+    return f"UNION ALL SELECT {_UNKNOWN_KEY}, {texts}, '{label}', '{label}', 'N/A', {_LOW} {_UNKNOWN_FROM}"
 
 
 def _ship_modes(where: str) -> str:
@@ -164,8 +170,8 @@ def _customers(where: str) -> str:
         "CASE WHEN c_acctbal > 9500 THEN 'N' WHEN c_acctbal > 9000 THEN 'y' ELSE 'Y' END AS is_active, "
         "DATE '2023-01-01' AS insert_dt "
         f"FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey {where} "
-        "UNION ALL SELECT CAST(-1 AS BIGINT), 'N/A', 'N/A', 'N/A', 'MANUAL', 'MANUAL', CAST(NULL AS STRING), "
-        "DATE '1900-01-01', DATE '9999-12-31', 'Y', DATE '1900-01-01'"
+        f"UNION ALL SELECT {_UNKNOWN_KEY}, 'N/A', 'N/A', 'N/A', 'MANUAL', 'MANUAL', CAST(NULL AS STRING), "
+        f"DATE '1900-01-01', DATE '9999-12-31', 'Y', DATE '1900-01-01' {_UNKNOWN_FROM}"
     )
 
 
@@ -192,7 +198,7 @@ _DIM_DATES = "DATE '2022-06-01' AS insert_dt, DATE '2022-06-01' AS update_dt"
 
 def _dim_default(n_text: int) -> str:
     texts = ", ".join(["'N/A'"] * (n_text + 2))
-    return f"UNION ALL SELECT CAST(-1 AS BIGINT), {texts}, {_LOW}"
+    return f"UNION ALL SELECT {_UNKNOWN_KEY}, {texts}, {_LOW} {_UNKNOWN_FROM}"
 
 
 def _dim(name: str, columns: list[str], changed: str, new_value: str, condition: str) -> str:
@@ -218,8 +224,8 @@ _CUSTOMER_DIM = (
     "coalesce(nullif(trim(customer_segment), ''), 'N/A') AS customer_segment, source_system, source_entity, "
     "start_dt, end_dt, coalesce(nullif(upper(trim(is_active)), ''), 'Y') AS is_active, insert_dt "
     f"FROM ({CE_TEXTS['customers_scd']['prior']}) AS earlier WHERE customer_id <> -1 "
-    "UNION ALL SELECT CAST(-1 AS BIGINT), 'N/A', 'N/A', 'N/A', 'N/A', 'N/A', DATE '1900-01-01', "
-    "DATE '9999-12-31', 'Y', DATE '1900-01-01'"
+    f"UNION ALL SELECT {_UNKNOWN_KEY}, 'N/A', 'N/A', 'N/A', 'N/A', 'N/A', DATE '1900-01-01', "
+    f"DATE '9999-12-31', 'Y', DATE '1900-01-01' {_UNKNOWN_FROM}"
 )
 
 DIM_COLUMNS = {
@@ -271,7 +277,7 @@ CALENDAR_TEXT = (
     "'N/A' AS month_name, quarter(d) AS quarter, year(d) AS year, 0 AS is_weekend FROM ("
     "SELECT CAST(o_orderdate AS DATE) AS d FROM {orders} WHERE o_orderstatus = 'F' "
     "UNION ALL SELECT CAST(ts AS DATE) FROM {events}) AS days "
-    "UNION ALL SELECT CAST(-1 AS BIGINT), DATE '1900-01-01', 0, 'N/A', 0, 'N/A', 0, 0, 0"
+    f"UNION ALL SELECT {_UNKNOWN_KEY}, DATE '1900-01-01', 0, 'N/A', 0, 'N/A', 0, 0, 0 {_UNKNOWN_FROM}"
 )
 
 # Customer versions with flaws: household customers have a second active version, and it starts on
