@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,18 +125,23 @@ def _stored_columns(spec: EntitySpec, rules: LoadRules, as_of: dt.date) -> list[
     return [values.get(c, F.col(c)).alias(c) for c in entity_columns(spec, rules)]
 
 
-def entity_default_row(spec: EntitySpec, target: DataFrame, schema: T.StructType, lineage: str) -> DataFrame:
-    """The unknown member of an entity if the target lacks it.
+def entity_default_values(spec: EntitySpec, lineage: str) -> dict[str, Any]:
+    """The unknown member of an entity.
 
     Versioned entities loaded under the manual label carry no source id, like their loaded rows.
     """
-    values = {name: UNKNOWN for name in [spec.key, *spec.attribute_names, "source_id"]}
+    values: dict[str, Any] = {name: UNKNOWN for name in [spec.key, *spec.attribute_names, "source_id"]}
     values |= {"source_system": lineage, "source_entity": lineage, spec.id_column: DEFAULT_KEY}
     values |= {"start_dt": LOW_DATE, "end_dt": HIGH_DATE, "is_active": "Y"}
     values |= {"insert_dt": LOW_DATE, "update_dt": LOW_DATE}
     if spec.versioned and lineage != UNKNOWN:
         values["source_id"] = None
-    return missing_default_row(target, schema, spec.id_column, values)
+    return values
+
+
+def entity_default_row(spec: EntitySpec, target: DataFrame, schema: T.StructType, lineage: str) -> DataFrame:
+    """The unknown member of an entity if the target lacks it, else no row."""
+    return missing_default_row(target, schema, spec.id_column, entity_default_values(spec, lineage))
 
 
 def with_default(target: DataFrame, default: DataFrame) -> DataFrame:

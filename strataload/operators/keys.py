@@ -68,8 +68,17 @@ def literal_rows(spark: SparkSession, rows: Sequence[Sequence[Any]], schema: T.S
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
+def single_row(spark: SparkSession, schema: T.StructType, values: Mapping[str, Any]) -> DataFrame:
+    """One row by column name; columns without a value hold NULL."""
+    return literal_rows(spark, [[values.get(f.name) for f in schema.fields]], schema)
+
+
 def missing_default_row(target: DataFrame, schema: T.StructType, id_column: str, values: Mapping[str, Any]) -> DataFrame:
     """The unknown-member row if ``target`` lacks it, else no row."""
-    row = literal_rows(target.sparkSession, [[values.get(f.name) for f in schema.fields]], schema)
+    row = single_row(target.sparkSession, schema, values)
     present = target.where(F.col(id_column) == F.lit(DEFAULT_KEY)).select(id_column)
     return row.join(present, id_column, "left_anti").select(*schema.names)
+
+
+def has_default_row(target: DataFrame, id_column: str) -> bool:
+    return not target.where(F.col(id_column) == F.lit(DEFAULT_KEY)).isEmpty()

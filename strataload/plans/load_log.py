@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from strataload.operators.keys import literal_rows
+from strataload.operators.keys import single_row
 from strataload.sources.schemas import LOAD_LOG_SCHEMA
 from strataload.sources.warehouse import Warehouse
 
@@ -40,7 +40,7 @@ def write_log(
         "error_code": error_code,
         "error_message": error_message,
     }
-    row = literal_rows(warehouse.spark, [[values.get(f.name) for f in LOAD_LOG_SCHEMA.fields]], LOAD_LOG_SCHEMA)
+    row = single_row(warehouse.spark, LOAD_LOG_SCHEMA, values)
     with _log_lock:
         last = warehouse.read_or_empty(LOG_TABLE).agg(F.coalesce(F.max("log_id"), F.lit(0)).alias("last")).scalar()
         warehouse.append(LOG_TABLE, row.withColumns({"log_id": last + 1, "log_datetime": F.localtimestamp()}))

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from strataload.functions.dates import HIGH_DATE, LOW_DATE
 from strataload.functions.text import UNKNOWN
 from strataload.operators import quality, scd2, upsert
-from strataload.operators.entity import count_by, entity_default_row, new_entity_rows, with_default
-from strataload.operators.keys import DEFAULT_KEY, missing_default_row
+from strataload.operators.dedup import union_all
+from strataload.operators.entity import count_by, entity_default_values, new_entity_rows
+from strataload.operators.keys import DEFAULT_KEY, has_default_row, single_row
 from strataload.operators.rows import conform
 from strataload.plans.load_log import run_step
 from strataload.plans.specs import (
@@ -56,14 +58,14 @@ def create_tables(warehouse: Warehouse) -> None:
     add_star_defaults(warehouse)
 
 
-def star_default_row(target: DataFrame, table: str, id_column: str) -> DataFrame:
-    """The unknown member of a dimension if it lacks one. Numbers of the unknown day are 0."""
-    schema = TABLE_SCHEMAS[table]
-    values = {f.name: {"string": UNKNOWN, "integer": 0, "date": LOW_DATE}.get(f.dataType.typeName()) for f in schema.fields}
-    values |= {id_column: DEFAULT_KEY}
+def star_default_values(table: str, id_column: str) -> dict[str, Any]:
+    """The unknown member of a dimension. Numbers of the unknown day are 0."""
+    fill = {"string": UNKNOWN, "integer": 0, "date": LOW_DATE}
+    values = {f.name: fill.get(f.dataType.typeName()) for f in TABLE_SCHEMAS[table].fields}
+    values[id_column] = DEFAULT_KEY
     if "is_active" in values:
         values |= {"end_dt": HIGH_DATE, "is_active": "Y"}
-    return missing_default_row(target, schema, id_column, values)
+    return values
 
 
 def dimension_ids() -> dict[str, str]:
@@ -72,11 +74,11 @@ def dimension_ids() -> dict[str, str]:
 
 def add_star_defaults(warehouse: Warehouse, workers: int = 4) -> None:
     def add(table: str, id_column: str) -> int:
-        row = star_default_row(warehouse.read(table), table, id_column)
-        missing = row.count()
-        if missing:
-            warehouse.append(table, row)
-        return missing
+        if has_default_row(warehouse.read(table), id_column):
+            return 0
+        row = single_row(warehouse.spark, TABLE_SCHEMAS[table], star_default_values(table, id_column))
+        warehouse.append(table, row)
+        return 1
 
     _side_by_side(warehouse, {t: partial(add, t, i) for t, i in dimension_ids().items()}, workers)
 
@@ -102,42 +104,45 @@ def _sources(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:
     return warehouse.read(CASH_TABLE), warehouse.read(CARD_TABLE)
 
 
-def _default_row(warehouse: Warehouse, spec: EntitySpec, rules: LoadRules) -> tuple[DataFrame, int]:
-    target = warehouse.read_or_empty(spec.table)
-    row = entity_default_row(spec, target, TABLE_SCHEMAS[spec.table], rules.default_lineage)
-    return row, row.count()
+def _target(warehouse: Warehouse, spec: EntitySpec, rules: LoadRules) -> tuple[DataFrame, list[DataFrame]]:
+    """The entity as the load sees it, and the unknown member in a list if it is yet to be stored."""
+    stored = warehouse.read_or_empty(spec.table)
+    if has_default_row(stored, spec.id_column):
+        return stored, []
+    values = entity_default_values(spec, rules.default_lineage)
+    default = single_row(warehouse.spark, TABLE_SCHEMAS[spec.table], values)
+    return stored.unionByName(default), [default]
 
 
 def _load_insert_only(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, release: Release) -> int:
     rules = load_rules(spec, release)
-    default, n_default = _default_row(warehouse, spec, rules)
-    target = with_default(warehouse.read_or_empty(spec.table), default)
+    target, default = _target(warehouse, spec, rules)
     fresh = new_entity_rows(spec, *_sources(warehouse), target, as_of, rules)
-    n_fresh = fresh.count()
-    if n_default + n_fresh:
-        rows = conform(fresh, TABLE_SCHEMAS[spec.table]).unionByName(default)
+    affected = fresh.count() + len(default)
+    if affected:
         # Ids above the current maximum cannot collide; ids counted from 1 can.
         checks = [] if rules.continue_ids else [quality.primary_key_check(spec.id_column)]
-        warehouse.append(spec.table, rows, checks)
-    return n_default + n_fresh
+        warehouse.append(spec.table, union_all([conform(fresh, TABLE_SCHEMAS[spec.table]), *default]), checks)
+    return affected
 
 
 def _load_versioned(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, release: Release) -> int:
-    rules = load_rules(spec, release)
-    default, n_default = _default_row(warehouse, spec, rules)
-    target = with_default(warehouse.read_or_empty(spec.table), default)
-    checks = [quality.one_active_check(spec.key, spec.id_column)]
+    target, default = _target(warehouse, spec, load_rules(spec, release))
     if release == "v2":
-        return _load_two_step(warehouse, spec, as_of, target, n_default)
+        return _load_two_step(warehouse, spec, as_of, target, len(default))
     changes = scd2.detect_changes(*_sources(warehouse), target, spec)
     counts = count_by(changes, "change_type", [scd2.NEW, scd2.CHANGED])
+    # A change closes one row and opens one.
+    affected = 2 * counts[scd2.CHANGED] + counts[scd2.NEW] + len(default)
     opened = scd2.opened_versions(changes, as_of, spec)
+    checks = [quality.one_active_check(spec.key, spec.id_column)]
+    if affected == 0:
+        return 0
     if counts[scd2.CHANGED] == 0:
-        if counts[scd2.NEW] + n_default:
-            warehouse.append(spec.table, opened.unionByName(default), checks)
-        return counts[scd2.NEW] + n_default
+        warehouse.append(spec.table, union_all([opened, *default]), checks)
+        return affected
     closing = Observation()
-    stored = (
+    state = (
         scd2.close_versions(target, changes, as_of, spec)
         .unionByName(opened.withColumn("_closed", F.lit(False)))
         .observe(closing, F.count_if("_closed").alias("closed"))
@@ -149,8 +154,8 @@ def _load_versioned(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, rele
         if closed != counts[scd2.CHANGED]:
             raise scd2.CloseMismatch(f"{counts[scd2.CHANGED]} changed keys closed {closed} versions")
 
-    warehouse.replace(spec.table, stored, [closes_one_each, *checks])
-    return 2 * counts[scd2.CHANGED] + counts[scd2.NEW] + n_default
+    warehouse.replace(spec.table, state, [closes_one_each, *checks])
+    return affected
 
 
 def _load_two_step(

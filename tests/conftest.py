@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import sys
+from functools import partial
 
 import pytest
 
@@ -54,16 +55,16 @@ def warehouse(spark, tmp_path):
     return Warehouse(spark, str(tmp_path / "warehouse"))
 
 
-@pytest.fixture
-def sales(spark):
-    """Raw sales rows of one source, from the differences to a standard row."""
+def raw_sales(spark, source, *changes):
+    """Raw sales rows of one source system, from the differences to a standard row."""
+    names = CASH_COLUMNS if source == "cash" else CARD_COLUMNS
+    rows = [tuple({**SALE, **change}[n] for n in names) for change in changes]
+    return spark.createDataFrame(rows, raw_schema(names))
 
-    def build(source, *changes):
-        names = CASH_COLUMNS if source == "cash" else CARD_COLUMNS
-        rows = [tuple({**SALE, **change}[n] for n in names) for change in changes]
-        return spark.createDataFrame(rows, raw_schema(names))
 
-    return build
+@pytest.fixture
+def sales(spark):
+    return partial(raw_sales, spark)
 
 
 @pytest.fixture

@@ -1,7 +1,8 @@
 import datetime as dt
+import shutil
 
 import pytest
-from conftest import DAY
+from conftest import DAY, raw_sales
 from pyspark.sql import functions as F
 
 from strataload.operators.scd2 import revert_version, version_summary
@@ -9,16 +10,32 @@ from strataload.operators.rows import update_where
 from strataload.plans import loads, validation
 from strataload.plans.load_log import LOG_TABLE, write_log
 from strataload.plans.specs import CUSTOMERS, DIMENSIONS, ENTITIES
+from strataload.sources.warehouse import Warehouse
 
 NEXT = DAY + dt.timedelta(days=1)
 BOB = {"payment_id": "p2", "customer_id": "BB-1", "customer_name": "Bob", "product_id": "P2", "employee_id": "E2"}
 
 
+FIRST_LOAD = {}
+
+
+@pytest.fixture(scope="module")
+def first_load(spark, tmp_path_factory):
+    """Folder of a warehouse loaded once; tests work on copies."""
+    root = tmp_path_factory.mktemp("first") / "warehouse"
+    warehouse = Warehouse(spark, str(root))
+    loads.load_staging(
+        warehouse, raw_sales(spark, "cash", {}, BOB), raw_sales(spark, "card", {"payment_id": "c1", "ship_mode": None})
+    )
+    FIRST_LOAD.update(loads.load_all(warehouse, DAY))
+    return root
+
+
 @pytest.fixture
-def loaded(warehouse, sales):
-    loads.load_staging(warehouse, sales("cash", {}, BOB), sales("card", {"payment_id": "c1", "ship_mode": None}))
-    first = loads.load_all(warehouse, DAY)
-    return warehouse, first
+def loaded(spark, first_load, tmp_path):
+    root = tmp_path / "copy"
+    shutil.copytree(first_load, root)
+    return Warehouse(spark, str(root)), FIRST_LOAD
 
 
 def log_rows(warehouse):
