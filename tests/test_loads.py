@@ -5,9 +5,8 @@ import pytest
 from conftest import DAY, raw_sales
 from pyspark.sql import functions as F
 
-from strataload.operators.scd2 import revert_version, version_summary
-from strataload.operators.rows import update_where
-from strataload.plans import loads, validation
+from strataload.operators.scd2 import version_summary
+from strataload.plans import corrections, loads, validation
 from strataload.plans.load_log import LOG_TABLE, write_log
 from strataload.plans.specs import CUSTOMERS, DIMENSIONS, ENTITIES
 from strataload.sources.warehouse import Warehouse
@@ -82,9 +81,7 @@ def test_full_load_rerun_and_counts(loaded):
 
 def test_customer_history_end_to_end(loaded, sales):
     warehouse, _ = loaded
-    staged = warehouse.read(loads.CASH_TABLE)
-    changed = update_where(staged, F.trim("customer_id") == "AA-10315", {"segment": F.lit("SCD2_TEST_SEGMENT")})
-    warehouse.replace(loads.CASH_TABLE, changed)
+    corrections.set_source_segment(warehouse, "AA-10315", "SCD2_TEST_SEGMENT")
     dimension = DIMENSIONS[CUSTOMERS.name]
     assert loads.load_entity(warehouse, CUSTOMERS, NEXT) == 2
     assert loads.load_dimension(warehouse, dimension, NEXT) == 2
@@ -94,10 +91,10 @@ def test_customer_history_end_to_end(loaded, sales):
     assert versions == [(1, DAY, str(DAY), "N"), (3, NEXT, "9999-12-31", "Y")]
 
     # Clean up by hand: drop the test version and reopen the first one.
-    for table, key in ((CUSTOMERS.table, "customer_id"), (dimension.table, "customer_surr_id")):
-        unwanted = (F.col("customer_src_id") == "AA-10315") & (F.col("customer_segment") == "SCD2_TEST_SEGMENT")
-        warehouse.replace(table, revert_version(warehouse.read(table), unwanted, F.col(key) == 1))
-    warehouse.replace(loads.CASH_TABLE, staged)
+    assert corrections.count_source_segment(warehouse, "AA-10315", "SCD2_TEST_SEGMENT") == 1
+    corrections.take_back_version(warehouse, "AA-10315", "SCD2_TEST_SEGMENT", 1)
+    corrections.set_source_segment(warehouse, "AA-10315", "Consumer", "SCD2_TEST_SEGMENT")
+    assert corrections.count_source_segment(warehouse, "AA-10315", "SCD2_TEST_SEGMENT") == 0
     assert loads.load_entity(warehouse, CUSTOMERS, NEXT) == 0
     assert loads.load_dimension(warehouse, dimension, NEXT) == 0
 
