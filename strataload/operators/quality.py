@@ -20,9 +20,11 @@ class ConstraintViolation(RuntimeError):
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) per table."""
-    return union_all(
-        [df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()]
-    )
+    counted = [
+        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in tables.items()
+    ]
+    return union_all(counted)
 
 
 def member_counts(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -53,7 +53,10 @@ def duplicate_keys(warehouse: Warehouse) -> DataFrame:
 
 def active_versions(warehouse: Warehouse) -> DataFrame:
     """Customers with more than one active version, per layer."""
-    layers = (("BL_3NF", CUSTOMERS.table, CUSTOMERS.id_column), ("BL_DM", _CUSTOMER_DIMENSION.table, _CUSTOMER_DIMENSION.id_column))
+    layers = (
+        ("BL_3NF", CUSTOMERS.table, CUSTOMERS.id_column),
+        ("BL_DM", _CUSTOMER_DIMENSION.table, _CUSTOMER_DIMENSION.id_column),
+    )
     found = [
         quality.not_exactly_one_active(warehouse.read(table), id_column).withColumn("layer_name", F.lit(layer))
         for layer, table, id_column in layers

@@ -30,5 +30,6 @@ def differences(df, connection, text: str) -> str | None:
     if names != other_names:
         return f"columns {names} / {other_names}"
     if ours != theirs:
-        return f"{sum(ours.values())} / {sum(theirs.values())} rows, only here {list((ours - theirs).items())[:3]}, only there {list((theirs - ours).items())[:3]}"
+        here, there = list((ours - theirs).items())[:3], list((theirs - ours).items())[:3]
+        return f"{sum(ours.values())} / {sum(theirs.values())} rows, only here {here}, only there {there}"
     return None

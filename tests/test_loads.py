@@ -87,7 +87,8 @@ def test_customer_history_end_to_end(loaded, sales):
     assert loads.load_dimension(warehouse, dimension, NEXT) == 2
     history = validation.customer_history(warehouse, F.col("customer_src_id") == "AA-10315")
     assert {tuple(r) for r in version_summary(history).collect()} == {("BL_3NF", 2, 1, 1), ("BL_DM", 2, 1, 1)}
-    versions = sorted((r["version_id"], r["start_dt"], str(r["end_dt"]), r["is_active"]) for r in history.where("layer_name = 'BL_DM'").collect())
+    rows = history.where("layer_name = 'BL_DM'").collect()
+    versions = sorted((r["version_id"], r["start_dt"], str(r["end_dt"]), r["is_active"]) for r in rows)
     assert versions == [(1, DAY, str(DAY), "N"), (3, NEXT, "9999-12-31", "Y")]
 
     # Clean up by hand: drop the test version and reopen the first one.
