@@ -46,6 +46,6 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return full.select(*selected)
 
 
-def number_pairs(spark: SparkSession, n: int) -> DataFrame:
-    """(i, i) for i from 1 to n."""
-    return spark.range(1, n + 1).select(F.col("id").cast("int").alias("a"), F.col("id").cast("int").alias("b"))
+def number_pairs(spark: SparkSession, n: int, kind: str = "int") -> DataFrame:
+    """(i, i) for i from 1 to n. A number beyond the type is an error."""
+    return spark.range(1, n + 1).select(F.col("id").cast(kind).alias("a"), F.col("id").cast(kind).alias("b"))

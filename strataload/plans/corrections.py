@@ -13,7 +13,10 @@ from strataload.sources.warehouse import Warehouse
 
 
 def set_source_segment(warehouse: Warehouse, key: str, segment: str, current: str | None = None) -> None:
-    """Give a customer's cash rows another segment, all of them or those with the current one."""
+    """Give a customer's cash rows another segment, all of them or those with the current one.
+
+    Rewrites the cash table; meant for a rare correction, not for a load.
+    """
     condition = F.trim("customer_id") == key
     if current is not None:
         condition &= F.trim("segment") == current

@@ -432,7 +432,7 @@ ORACLES: dict[str, str] = {
         f"source_entity, source_id, insert_dt, update_dt FROM ({prior('products', 'full')}) AS n WHERE category = 'PROMO'"
     ),
     "range_generate": (
-        "SELECT CAST(i AS INT) AS a, CAST(i AS INT) AS b FROM "
+        "SELECT CAST(i AS BIGINT) AS a, CAST(i AS BIGINT) AS b FROM "
         "(SELECT unnest(generate_series(1, (SELECT count(*) FROM lineitem))) AS i) AS g"
     ),
     "generated_counts": (

@@ -75,7 +75,7 @@ def schema_evolve(feed: Feed) -> DataFrame:
 
 @query("range_generate")
 def range_generate(feed: Feed) -> DataFrame:
-    return number_pairs(feed.spark, feed.table("lineitem").count())
+    return number_pairs(feed.spark, feed.table("lineitem").count(), "bigint")
 
 
 @query("generated_counts")

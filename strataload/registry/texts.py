@@ -284,7 +284,7 @@ CALENDAR_TEXT = (
 # the day of the first.
 FLAWED_TEXT = (
     f"SELECT * FROM ({CE_TEXTS['customers_scd']['prior']}) AS earlier UNION ALL "
-    "SELECT customer_id + 1000000000, customer_src_id, customer_name, 'SECOND', source_system, source_entity, "
+    "SELECT -1 - customer_id, customer_src_id, customer_name, 'SECOND', source_system, source_entity, "
     f"source_id, start_dt, end_dt, is_active, insert_dt FROM ({CE_TEXTS['customers_scd']['prior']}) AS again "
     "WHERE customer_segment = 'HOUSEHOLD'"
 )
