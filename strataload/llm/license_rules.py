@@ -91,37 +91,37 @@ cc0 | cc0 | cc0(?: 1 0)?(?: universal)?
 cc0 | public domain dedication | cc0 (?:1 0 )?(?:universal )?public domain dedication
 public-domain | public domain | (?:released (?:in)?to |placed in |is in |in )the public domain
 cc-by | creative commons attribution | creative commons attribution(?: license)?
-cc-by-1.0 | by 1 0 | cc by 1 0
-cc-by-2.0 | by 2 0 | cc by 2 0
-cc-by-2.5 | by 2 5 | cc by 2 5
-cc-by-3.0 | by 3 0 | cc by 3 0
-cc-by-4.0 | by 4 0 | cc by 4 0
-cc-by-sa | by sa | cc by sa
-cc-by-sa-2.0 | by sa 2 0 | cc by sa 2 0
-cc-by-sa-2.5 | by sa 2 5 | cc by sa 2 5
-cc-by-sa-3.0 | by sa 3 0 | cc by sa 3 0
-cc-by-sa-4.0 | by sa 4 0 | cc by sa 4 0
-cc-by-nc | by nc | cc by nc
-cc-by-nc-2.0 | by nc 2 0 | cc by nc 2 0
-cc-by-nc-2.5 | by nc 2 5 | cc by nc 2 5
-cc-by-nc-3.0 | by nc 3 0 | cc by nc 3 0
-cc-by-nc-4.0 | by nc 4 0 | cc by nc 4 0
-cc-by-nd | by nd | cc by nd
-cc-by-nd-3.0 | by nd 3 0 | cc by nd 3 0
-cc-by-nd-4.0 | by nd 4 0 | cc by nd 4 0
-cc-by-nc-sa | by nc sa | cc by nc sa
-cc-by-nc-sa-3.0 | by nc sa 3 0 | cc by nc sa 3 0
-cc-by-nc-sa-4.0 | by nc sa 4 0 | cc by nc sa 4 0
-cc-by-nc-nd | by nc nd | cc by nc nd
-cc-by-nc-nd-3.0 | by nc nd 3 0 | cc by nc nd 3 0
-cc-by-nc-nd-4.0 | by nc nd 4 0 | cc by nc nd 4 0
-cc-by-sa | attribution sharealike | creative commons attribution share ?alike(?: license)?
-cc-by-sa | attribution share alike | creative commons attribution share alike(?: license)?
-cc-by-nc | attribution noncommercial | creative commons attribution non ?commercial(?: license)?
-cc-by-nc | attribution non commercial | creative commons attribution non commercial(?: license)?
-cc-by-nd | attribution noderiv | creative commons attribution no ?deriv(?:s|ative|atives)(?: license)?
-cc-by-nc-sa | noncommercial sharealike | creative commons attribution noncommercial sharealike(?: license)?
-cc-by-nc-nd | noncommercial noderiv | creative commons attribution noncommercial noderiv(?:s|ative|atives)(?: license)?
+cc-by-1.0 | cc by 1 0 | cc by 1 0
+cc-by-2.0 | cc by 2 0 | cc by 2 0
+cc-by-2.5 | cc by 2 5 | cc by 2 5
+cc-by-3.0 | cc by 3 0 | cc by 3 0
+cc-by-4.0 | cc by 4 0 | cc by 4 0
+cc-by-sa | cc by sa | cc by sa
+cc-by-sa-2.0 | cc by sa 2 0 | cc by sa 2 0
+cc-by-sa-2.5 | cc by sa 2 5 | cc by sa 2 5
+cc-by-sa-3.0 | cc by sa 3 0 | cc by sa 3 0
+cc-by-sa-4.0 | cc by sa 4 0 | cc by sa 4 0
+cc-by-nc | cc by nc | cc by nc
+cc-by-nc-2.0 | cc by nc 2 0 | cc by nc 2 0
+cc-by-nc-2.5 | cc by nc 2 5 | cc by nc 2 5
+cc-by-nc-3.0 | cc by nc 3 0 | cc by nc 3 0
+cc-by-nc-4.0 | cc by nc 4 0 | cc by nc 4 0
+cc-by-nd | cc by nd | cc by nd
+cc-by-nd-3.0 | cc by nd 3 0 | cc by nd 3 0
+cc-by-nd-4.0 | cc by nd 4 0 | cc by nd 4 0
+cc-by-nc-sa | cc by nc sa | cc by nc sa
+cc-by-nc-sa-3.0 | cc by nc sa 3 0 | cc by nc sa 3 0
+cc-by-nc-sa-4.0 | cc by nc sa 4 0 | cc by nc sa 4 0
+cc-by-nc-nd | cc by nc nd | cc by nc nd
+cc-by-nc-nd-3.0 | cc by nc nd 3 0 | cc by nc nd 3 0
+cc-by-nc-nd-4.0 | cc by nc nd 4 0 | cc by nc nd 4 0
+cc-by-sa | creative commons attribution sharealike | creative commons attribution sharealike(?: license)?
+cc-by-sa | creative commons attribution share alike | creative commons attribution share alike(?: license)?
+cc-by-nc | creative commons attribution noncommercial | creative commons attribution noncommercial(?: license)?
+cc-by-nc | creative commons attribution non commercial | creative commons attribution non commercial(?: license)?
+cc-by-nd | creative commons attribution noderiv | creative commons attribution noderiv(?:s|ative|atives)(?: license)?
+cc-by-nc-sa | creative commons attribution noncommercial sharealike | creative commons attribution noncommercial sharealike(?: license)?
+cc-by-nc-nd | creative commons attribution noncommercial noderiv | creative commons attribution noncommercial noderiv(?:s|ative|atives)(?: license)?
 odbl-1.0 | open database license | (?:open data commons )?open database license(?:{v}1 0)?
 odc-by-1.0 | open data commons attribution | open data commons attribution license(?:{v}1 0)?
 pddl-1.0 | open data commons public domain | open data commons public domain dedication and license
@@ -154,7 +154,8 @@ elastic-2.0 | elastic license | elastic license(?:{v}2(?: 0)?)?
 openrail-m | openrail | (?:creativeml |bigcode )?openrail (?:m|m license)
 commons-clause | commons clause | commons clause(?: license condition)?
 json | for good not evil | the software shall be used for good not evil
-beerware | beer ?ware | beer ?ware license
+beerware | beerware license | beerware license
+beerware | beer ware license | beer ware license
 proprietary | all rights reserved | all rights reserved
 proprietary | confidential and proprietary | confidential and proprietary
 proprietary | proprietary license | proprietary (?:software )?license(?: agreement)?
@@ -207,7 +208,6 @@ def signatures() -> list[Signature]:
     """All rules in order: base phrases, names, grants of those names, running texts, identifiers."""
     rules = list(BASE)
     names = [(label, key, pattern.replace("{v}", VERSION)) for label, key, pattern in _rows(NAMES)]
-    names = [(label, key.replace(" ?", " "), pattern) for label, key, pattern in names]
     for label, key, pattern in names:
         rules.append(Signature(label, key, pattern, 2, 0.7))
     for label, key, pattern in names + [(b.label, b.keyword.strip(), b.pattern) for b in BASE]:

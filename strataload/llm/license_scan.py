@@ -23,6 +23,7 @@ from strataload.llm.tables import lower_ascii, match_spans, texts
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PRIORITIES = 4
+STEMS = "licen clause commons copy gnu bsd software proprietary permission".split() + ["cc by", "public domain"]
 RULES = (
     "array<struct<keyword:string,rules:array<struct<rule:int,label:string,priority:int,weight:double,regex:string>>>>"
 )
@@ -86,21 +87,25 @@ def _unsuppressed(found: Column) -> Column:
     return F.aggregate(found, start, step, lambda state: state["kept"])
 
 
+def gate_stems(rules: list[Signature]) -> list[str]:
+    """A few strings of which every keyword contains one; a text without any of them is not looked at again."""
+    keywords = {rule.keyword for rule in rules}
+    stems = {stem for stem in STEMS if any(stem in keyword for keyword in keywords)}
+    return sorted(stems | {keyword for keyword in keywords if not any(stem in keyword for stem in stems)})
+
+
 def detect(docs: DataFrame, rules: list[Signature] | None = None) -> DataFrame:
     """(doc_id, words, found, kept): the word string of a text, all detections and those that stand.
 
     Offsets are in the word string, which begins and ends with a space.
     """
     rules = signatures() if rules is None else rules
-    keywords = sorted({rule.keyword for rule in rules})
-    # A keyword inside another keyword gates for both.
-    shortest = [k for k in keywords if not any(o != k and o in k for o in keywords)]
     words = F.trim(F.regexp_replace("text", SEPARATORS, " "))
     rows = texts(docs).select("doc_id", F.concat(F.lit(" "), words, F.lit(" ")).alias("words"))
     gate = F.lit(False)
     lowered = F.lower("words")
-    for keyword in shortest:
-        gate = gate | F.contains(lowered, F.lit(keyword))
+    for stem in gate_stems(rules):
+        gate = gate | F.contains(lowered, F.lit(stem))
     rows = rows.withColumn("gate", gate)
     none = F.array().cast(DETECTIONS)
     rows = rows.withColumn("lowered", F.when(F.col("gate"), lower_ascii(F.col("words"))))
