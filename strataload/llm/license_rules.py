@@ -34,9 +34,9 @@ VERSION = r"(?: (?:version|v))? ?v?"
 
 # label | keyword | expression
 NAMES = r"""
-gpl-1.0 | general public license | gnu (?:gpl|general public license){v}1(?: 0)?
-gpl-2.0 | general public license | gnu (?:gpl|general public license){v}2(?: 0)?
-gpl-3.0 | general public license | gnu (?:gpl|general public license){v}3(?: 0)?
+gpl-1.0 | gnu g | gnu (?:gpl|general public license){v}1(?: 0)?
+gpl-2.0 | gnu g | gnu (?:gpl|general public license){v}2(?: 0)?
+gpl-3.0 | gnu g | gnu (?:gpl|general public license){v}3(?: 0)?
 lgpl | lesser general public license | gnu lesser general public license
 lgpl | library general public license | gnu library general public license
 lgpl-2.0 | library general public license | gnu library general public license{v}2(?: 0)?
@@ -132,7 +132,7 @@ php-3.01 | php license | php license(?:{v}3 0 ?1)?
 python-2.0 | python license | python license(?:{v}2(?: 0)?)?
 psf-2.0 | python software foundation license | python software foundation license(?:{v}2(?: 0)?)?
 ruby | ruby license | ruby license
-postgresql | postgresql license | postgresql licen[cs]e
+postgresql | postgresql licen | postgresql licen[cs]e
 ms-pl | microsoft public license | microsoft public license
 ms-rl | microsoft reciprocal license | microsoft reciprocal license
 ncsa | ncsa | (?:university of illinois )?ncsa open source license
@@ -158,7 +158,7 @@ beerware | beerware license | beerware license
 beerware | beer ware license | beer ware license
 proprietary | all rights reserved | all rights reserved
 proprietary | confidential and proprietary | confidential and proprietary
-proprietary | proprietary license | proprietary (?:software )?license(?: agreement)?
+proprietary | proprietary | proprietary (?:software )?license(?: agreement)?
 proprietary | end user license agreement | end user license agreement
 proprietary | unauthorized copying | unauthorized copying of this (?:file|work|document|software)
 """
