@@ -38,7 +38,7 @@ from strataload.llm.tables import texts
 BLOCK_TOKENS = 1 << 20
 MIN_PAIR = 24
 BINS = 20
-CHUNKS_KEPT, CHUNK_LENGTH = 300_000, 48
+CHUNKS_KEPT, CHUNK_LENGTH = 200_000, 48
 MAGIC = b"RPG1"
 BLOCKS = "shard int, block int, n_tokens long, payload binary"
 
@@ -56,10 +56,25 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        if self.library.normalizer is not None:
+            raise ValueError("chunks are only independent without a normaliser")
+        self.model = self.library.model
+        self.split = self.library.pre_tokenizer.pre_tokenize_str
         self.chunks: dict[str, list[int]] = {}
+        self.pieces: dict[str, list[int]] = {}
 
     def _chunk(self, chunk: str) -> list[int]:
-        ids = self.library.encode(chunk, add_special_tokens=False).ids
+        # The library's own two steps; an empty text aside, a chunk has no special token in it.
+        ids: list[int] = []
+        for piece, _ in self.split(chunk):
+            known = self.pieces.get(piece)
+            if known is None:
+                known = [token.id for token in self.model.tokenize(piece)]
+                if len(self.pieces) >= CHUNKS_KEPT:
+                    self.pieces.clear()
+                if len(piece) <= CHUNK_LENGTH:
+                    self.pieces[piece] = known
+            ids += known
         if len(chunk) <= CHUNK_LENGTH:
             if len(self.chunks) >= CHUNKS_KEPT:
                 self.chunks.clear()
