@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PIECE = 1 << 21  # bytes hashed at once; bounds the memory of the running sums
+PIECE = 1 << 20  # bytes hashed at once; bounds the memory of the running sums
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _FOLD = bytes(

@@ -44,7 +44,7 @@ from strataload.session import materialize
 
 SHINGLE = 5
 SMALL = 16
-RUN_BYTES, RUN_SETS = 12 << 20, 30_000
+RUN_BYTES, RUN_SETS = 4 << 20, 30_000
 RANGE_BYTES = 8 << 20
 BITMAP_BITS = 23
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(1, SHINGLE + 1)]
@@ -331,7 +331,8 @@ def _wanted_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _decide(batches) -> Iterator:
     import pyarrow as pa
 
-    for batch in batches:
+    # Few pairs at a time: the sets of long documents are large.
+    for batch in (whole.slice(at, 100) for whole in batches for at in range(0, whole.num_rows, 100)):
         links = []
         rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b", "grams_a", "grams_b")), strict=True)
         for a, b, one, two in rows:
