@@ -38,7 +38,7 @@ from strataload.llm.tables import texts
 from strataload.session import materialize
 
 BACKOFF = 0.6
-RUN_BYTES = 12 << 20
+RUN_BYTES = 8 << 20
 RANGE_BYTES = 8 << 20
 FOLD, HELD_OUT = 7, 2
 END, START = np.uint64(0xE0D0E0D0E0D0E0D1), np.uint64(0x57A7057A7057A701)
