@@ -16,7 +16,8 @@ Groups with one signature.
 - More than that: a set that is in fewer large groups than it needs cannot owe a link to large groups alone,
   so it leaves them. A passage that a third of all documents share fills a few groups and no more; it
   disappears here. What stays is large families of near copies. Each set first pairs with the smallest set it
-  meets most often; then, per group, sets not yet in the family of most others pair with the rest.
+  meets most often; then, per group, sets not yet in the family of most others pair with the rest, where each
+  set looks only into the smaller of its groups, all but the last ``need`` - 1 of them.
 
 A pair is a candidate if it met as often as both sets need, and each candidate is decided on the whole sets.
 Equal sets are one node from the start: each task sends a set once, and families of equal documents of any
@@ -34,7 +35,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataload.llm.components import components
@@ -373,8 +374,9 @@ def links(docs: DataFrame) -> DataFrame:
         pairs = pairs.join(times.toDF("band", side, f"times_{side}"), ["band", side], "left")
     elsewhere = F.least(F.coalesce("times_a", F.lit(0)), F.coalesce("times_b", F.lit(0)))
     small = pairs.filter(F.col("met") + elsewhere >= F.col("need")).select("a", "b")
-    stay = often.filter("times >= need").select("band", "node")
-    large = materialize(large.join(stay, ["band", "node"]).select("grp", "band", "node"), "jaccard-large")
+    stay = often.filter("times >= need")
+    large = large.drop("need").join(stay.select("band", "node"), ["band", "node"])
+    large = materialize(large.select("grp", "band", "node"), "jaccard-large")
     least = large.groupBy("band", "grp").agg(F.min("node").alias("least"))
     star = (
         large.join(least, ["band", "grp"]).filter("node <> least").groupBy("node", "least").agg(F.count("*").alias("n"))
@@ -385,9 +387,15 @@ def links(docs: DataFrame) -> DataFrame:
     sets = materialize(_wanted_sets(rows, nodes), "jaccard-sets")
     found = materialize(verify(first, sets), "jaccard-links")
     # Large groups once more: sets outside the family that most of the group belongs to, against all others.
+    # A pair that never met in a small group meets in as many large ones as either set needs. So it also meets in
+    # those that are left when each set leaves its largest ones, as many as it needs less one.
     label = components(found)
+    sizes = large.groupBy("band", "grp").agg(F.count("*").alias("size"))
+    by_size = Window.partitionBy("band", "node").orderBy("size", "grp")
+    ranked = large.join(sizes, ["band", "grp"]).withColumn("rank", F.row_number().over(by_size))
+    few = ranked.join(stay, ["band", "node"]).filter("rank <= times - need + 1")
     placed = materialize(
-        large.join(label, "node", "left").select("grp", "band", "node", F.coalesce("label", "node").alias("label")),
+        few.join(label, "node", "left").select("grp", "band", "node", F.coalesce("label", "node").alias("label")),
         "jaccard-placed",
     )
     main = placed.groupBy("band", "grp", "label").agg(F.count("*").alias("n"))
