@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataload.operators.dedup import first_per_key
 from strataload.sources.schemas import STAGING_TYPES, raw_schema
@@ -24,13 +25,15 @@ _NULL_TEXT = "\u0000"
 
 
 def read_sales_csv(spark: SparkSession, path: str, names: list[str], multi_line: bool = False) -> DataFrame:
-    """All columns as text. A line with too few or too many fields is an error.
+    """All columns as text. Other header names, and a line with too few or too many fields, are errors,
+    also where only some columns are read.
 
     Files stay splittable unless ``multi_line`` asks for line breaks inside quoted fields, which
     costs one task per file.
     """
     reader = spark.read.schema(raw_schema(names)).options(**CSV_DIALECT)
     reader = reader.option("nullValue", _NULL_TEXT).option("mode", "FAILFAST")
+    reader = reader.option("enforceSchema", "false").option("columnPruning", "false")
     return reader.option("multiLine", multi_line).csv(path)
 
 
@@ -38,18 +41,22 @@ def write_sales_csv(df: DataFrame, path: str) -> None:
     df.write.options(**CSV_DIALECT).csv(path)
 
 
+def _exact(name: str, kind: T.DataType, date_format: str | None) -> Column:
+    """The text as ``kind``. Whatever the session's settings, text that is no such value, or that the type
+    would round, is an error."""
+    raw = F.col(name)
+    value = F.try_to_date(raw, date_format) if kind.typeName() == "date" and date_format else raw.try_cast(kind)
+    lost = value.isNull()
+    if isinstance(kind, T.DecimalType):
+        lost = lost | ~raw.try_cast(T.DecimalType(38, 18)).eqNullSafe(value.cast(T.DecimalType(38, 18)))
+    said = F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), raw)
+    return F.when(raw.isNotNull() & lost, F.raise_error(said).cast(kind)).otherwise(value).alias(name)
+
+
 def typed_sales(raw: DataFrame, date_format: str | None = None) -> DataFrame:
     """Cast the text columns to the staging types. A value that does not fit is an error."""
-    selected = []
-    for name in raw.columns:
-        kind = STAGING_TYPES.get(name)
-        if kind is None:
-            selected.append(F.col(name))
-        elif kind.typeName() == "date" and date_format:
-            selected.append(F.to_date(name, date_format).alias(name))
-        else:
-            selected.append(F.col(name).cast(kind).alias(name))
-    return raw.select(*selected)
+    kinds = ((name, STAGING_TYPES.get(name)) for name in raw.columns)
+    return raw.select(*(F.col(name) if kind is None else _exact(name, kind, date_format) for name, kind in kinds))
 
 
 def stage_sales(raw: DataFrame, date_format: str | None = None) -> DataFrame:

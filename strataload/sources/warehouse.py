@@ -1,13 +1,16 @@
 """Versioned parquet tables below one root folder.
 
 Built-in tables cannot be updated in place, and a path must not be overwritten while it is read. So
-every write goes to a new folder ``<layer>/<table>/<number>-<kind>``: ``full`` replaces all earlier
-folders, ``delta`` adds to them. A folder counts once its marker file exists, and the marker is
-written last, after the checks on the written data have passed. There is one writer per table.
+every write goes to a new folder ``<layer>/<table>/<number>-<token>-<kind>``: ``full`` replaces all
+earlier folders, ``delta`` adds to them. The token is the write's own, so two writers that take one
+number do not meet, and a failed write removes nothing but what it wrote. A folder counts once its
+marker file exists, and the marker is written last, after the checks on the written data have passed.
+Appends of several writers all stay; a full version needs to be the only writer.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -32,8 +35,6 @@ class Warehouse:
     spark: SparkSession
     root: str
     schemas: Mapping[str, T.StructType] = field(default_factory=lambda: TABLE_SCHEMAS)
-    # A table read from more folders than this is rewritten as one on its next append.
-    max_deltas: int = 64
 
     def folder(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}"
@@ -74,11 +75,11 @@ class Warehouse:
     def _next_folder(self, table: str, kind: str) -> str:
         versions = self._matching(f"{self.folder(table)}/*-*")
         number = 1 + (int(versions[-1].split("-")[0]) if versions else 0)
-        return f"{self.folder(table)}/{number:08d}-{kind}"
+        return f"{self.folder(table)}/{number:08d}-{uuid.uuid4().hex}-{kind}"
 
     def _mark(self, folder: str) -> None:
         fs, path = hadoop_path(self.spark, f"{folder}/{MARKER}")
-        fs.create(path).close()
+        fs.create(path, False).close()
 
     def _publish_empty(self, table: str) -> None:
         """A full version without files; no job runs."""
@@ -102,12 +103,12 @@ class Warehouse:
         self._publish(table, self._conform(table, df), "full", checks)
 
     def append(self, table: str, df: DataFrame, checks: Sequence[Check] = ()) -> None:
-        """Add rows; existing files are neither read nor rewritten."""
-        rows = self._conform(table, df)
-        if len(self.live_paths(table)) >= self.max_deltas:
-            self._publish(table, self.read(table).unionByName(rows), "full", checks)
-        else:
-            self._publish(table, rows, "delta", checks)
+        """Add rows in a folder of their own; stored files are not rewritten, and only ``checks`` read them."""
+        self._publish(table, self._conform(table, df), "delta", checks)
+
+    def compact(self, table: str) -> None:
+        """Rewrite a table of many folders as one. Never done on its own."""
+        self._publish(table, self.read(table), "full", ())
 
     def _conform(self, table: str, df: DataFrame) -> DataFrame:
         schema = self.schemas.get(table)

@@ -57,12 +57,34 @@ def test_staging_casts_and_keeps_one_row_per_payment(sales):
     assert stage_sales(raw).columns == CASH_COLUMNS
 
 
-@pytest.mark.parametrize("bad", [{"sales": "x"}, {"quantity": ""}, {"order_date": "2024-13-01"}])
+@pytest.mark.parametrize("bad", [{"profit": "1.23456"}, {"discount": "0.00004"}, {"sales": "x"}, {"quantity": ""}, {"order_date": "2024-13-01"}])
 def test_bad_value_is_an_error(sales, bad):
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="does not fit"):
         typed_sales(sales("cash", bad)).collect()
 
 
+def test_errors_do_not_depend_on_session_settings(spark, sales):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="does not fit"):
+            typed_sales(sales("cash", {"order_date": "junk"})).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_zeros_after_the_fourth_decimal_are_no_loss(sales):
+    assert str(typed_sales(sales("cash", {"profit": "1.234500"})).first()["profit"]) == "1.2345"
+
+
+def test_swapped_header_and_short_line_are_errors_under_pruning(spark, tmp_path):
+    (tmp_path / "swapped.csv").write_text("b,a\n1,2\n")
+    (tmp_path / "short.csv").write_text("a,b,c\n1,2\n")
+    with pytest.raises(Exception):
+        read_sales_csv(spark, str(tmp_path / "swapped.csv"), ["a", "b"]).select("a").collect()
+    with pytest.raises(Exception):
+        read_sales_csv(spark, str(tmp_path / "short.csv"), ["a", "b", "c"]).select("a").collect()
+
+
 def test_dates_in_another_format(sales):
     typed = typed_sales(sales("cash", {"order_date": "1/5/2024", "ship_date": "11/12/2024"}), "M/d/yyyy")
     assert typed.select("order_date", "ship_date").first() == (dt.date(2024, 1, 5), dt.date(2024, 11, 12))
@@ -70,7 +92,7 @@ def test_dates_in_another_format(sales):
 
 @pytest.fixture
 def small(spark, tmp_path):
-    return Warehouse(spark, str(tmp_path / "w"), {"lab.person": SCHEMA}, max_deltas=3)
+    return Warehouse(spark, str(tmp_path / "w"), {"lab.person": SCHEMA})
 
 
 def test_table_life(small, frame):
@@ -88,11 +110,22 @@ def test_table_life(small, frame):
     assert small.drop_if_exists("lab.person") and not small.drop_if_exists("lab.person")
 
 
-def test_many_deltas_are_folded_into_one_folder(small, frame):
+def test_appends_leave_earlier_folders_and_compact_folds_them(small, frame):
     for i in range(5):
         small.append("lab.person", frame(SCHEMA, (i, "x")))
-    assert small.count("lab.person") == 5
-    assert len(small.live_paths("lab.person")) <= 3
+    assert len(small.live_paths("lab.person")) == 5
+    small.compact("lab.person")
+    assert len(small.live_paths("lab.person")) == 1 and small.count("lab.person") == 5
+
+
+def test_two_writers_of_one_number_keep_each_others_rows(spark, tmp_path, frame, monkeypatch):
+    one, two = (Warehouse(spark, str(tmp_path / "w"), {"lab.person": SCHEMA}) for _ in range(2))
+    monkeypatch.setattr(Warehouse, "_matching", lambda self, pattern, f=Warehouse._matching: [] if pattern.endswith("*-*") else f(self, pattern))
+    one.append("lab.person", frame(SCHEMA, (1, "Bob")))
+    two.append("lab.person", frame(SCHEMA, (2, "Eve")))
+    with pytest.raises(ConstraintViolation):
+        two.append("lab.person", frame(SCHEMA, (1, "Twin")), [primary_key_check("id")])
+    assert values(one.read("lab.person")) == [(1, "Bob"), (2, "Eve")]
 
 
 def test_failed_check_leaves_the_table_as_it_was(small, frame):
