@@ -1,0 +1,221 @@
+"""The text operators against plain versions, on awkward rows and on the smallest tables."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from strataload.llm import decontamination, jaccard_join, lm, quality, token_store
+from strataload.llm.exact_dedup import drop_exact_duplicates, exact_groups
+from strataload.llm.license_scan import scan_licenses
+from strataload.llm.pii import find_pii
+from strataload.llm.piece_codec import BacktrackingEncoder, encode_documents
+from strataload.llm.url_filter import judge_urls
+
+SMALL = "/root/testdata/sf0.001"
+WORDS = [f"word{i}" for i in range(400)]
+LONG = " ".join(WORDS * 40)
+NEAR = " ".join(WORDS[:200])
+ROWS = [
+    (1, "The GNU General  Public License, version 3. mail a.b@c.de and 10.0.0.1 or 4111 1111 1111 1111", "x", 1),
+    (2, None, None, None),
+    (3, "", "x", 3),
+    (4, " \t\n ", "y", 4),
+    (5, LONG, "y", 5),
+    (6, LONG, "y", 6),
+    (6, LONG, "y", 6),
+    (7, NEAR, "z", 7),
+    (8, NEAR.replace("word100", "other"), "z", 8),
+    (9, "one two", "z", 9),
+    (10, "cc by cc by, MIT LICENSE", "z", 10),
+    (None, "no id é▁ 漢 <s> \x00 +1 (234) 555-7890", "z", 11),
+]
+SCHEMA = "doc_id long, text string, node string, n_words int"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def lowered(text):
+    return (text or "").translate({i: i + 32 for i in range(65, 91)})
+
+
+def test_licenses(docs, empty):
+    rows = {r["doc_id"]: r for r in scan_licenses(docs).collect()}
+    assert (rows[1]["n_base"], rows[1]["first_word"], rows[1]["labels"]) == (1, 1, "gpl,gpl-3.0")
+    assert (rows[10]["n_words"], rows[10]["n_base"], rows[10]["first_word"], rows[10]["last_word"]) == (6, 3, 0, 4)
+    assert rows[10]["base_labels"] == "cc-by,mit" and 0 < rows[10]["score"] <= 1
+    for blank in (2, 3, 4):
+        assert (rows[blank]["n_words"], rows[blank]["n_base"], rows[blank]["first_word"]) == (0, 0, None)
+    assert rows[5]["n_words"] == len(LONG.split())
+    assert scan_licenses(empty).count() == 0
+
+
+def test_pii(docs, empty):
+    rows = {r["doc_id"]: r for r in find_pii(docs).collect()}
+    assert [rows[1][f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [1, 1, 1, 0]
+    assert rows[None]["n_phone"] == 1 and rows[2]["spans"] == ""
+    assert rows[3]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    start = ROWS[0][1].index("a.b@")
+    assert rows[1]["spans"].startswith(f"email:{start}:{start + 8},ip:")
+    assert find_pii(empty).count() == 0
+
+
+def test_exact_groups(docs, empty):
+    rows = exact_groups(docs).collect()
+    assert len(rows) == len(ROWS)
+    text = {}
+    for doc_id, body, *_ in ROWS:
+        text.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", body or ""), []).append(doc_id)
+    for r in rows:
+        group = next(g for t, g in text.items() if hashlib.sha256(t.encode()).hexdigest() == r["text_sha256"] and r["doc_id"] in g)
+        assert (r["keep_id"], r["group_size"]) == (min((i for i in group if i is not None), default=None), len(group))
+    assert sum(r["kept"] for r in rows) == len(text)
+    kept = drop_exact_duplicates(docs)
+    assert kept.columns == docs.columns and kept.count() == len(text)
+    assert drop_exact_duplicates(empty).count() == 0
+
+
+def test_urls(spark):
+    urls = ["http://a.example.net/en/1", "https://x.net/", "https://net", "HTTP://B.Example.COM/de/?q", None, "none", "http://casino-win.org/a", "http://q.org/fr/x#y", "http:///net/"]
+    rows = {r["page_id"]: r for r in judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert [rows[i]["rule"] for i in range(9)] == ["example.net/en/", "net/", None, "example.com/de/", None, None, None, "org/fr/", None]
+    assert [rows[i]["verdict"] for i in range(9)] == ["allow", "block", "allow", "block", "allow", "allow", "block", "allow", "allow"]
+    assert (rows[3]["host"], rows[3]["path"]) == ("b.example.com", "/de/")
+
+
+@pytest.mark.parametrize("limit", [2, 16])
+def test_similar_documents(spark, docs, empty, monkeypatch, limit):
+    monkeypatch.setattr(jaccard_join, "SMALL", limit)
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    table = table.union(docs.filter("doc_id is not null").select(F.col("doc_id") + 1000, "text"))
+    sets = {}
+    for r in table.collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", lowered(r["text"]))
+        sets[r["doc_id"]] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    root = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            both = len(sets[a] & sets[b])
+            if a < b and both and 100 * both >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    for r in jaccard_join.join_similar(table).collect():
+        assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), root[r["doc_id"]])
+    assert jaccard_join.join_similar(empty).count() == 0
+
+
+def test_signatures_meet_as_often_as_promised():
+    draw = np.random.default_rng(5)
+    for size in (2, 5, 9, 40, 300, 3000):
+        one = np.unique(draw.integers(0, 1 << 63, size, dtype=np.uint64))
+        gone = max(0, int(len(one) * 0.12))
+        two = np.unique(np.concatenate((one[gone:], draw.integers(0, 1 << 63, gone, dtype=np.uint64))))
+        both = len(np.intersect1d(one, two))
+        assert 4 * both >= 3 * (len(one) + len(two) - both)
+        band = int(max(jaccard_join.band_of(len(one)), jaccard_join.band_of(len(two))))
+        (x, need_x), (y, need_y) = (jaccard_join.signatures(s, band) for s in (one, two))
+        assert len(np.intersect1d(x, y)) >= max(need_x, need_y)
+
+
+def test_token_store(spark, docs, empty, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = token_store.ChunkEncoder(path)
+    token_store.write_blocks(docs, path, 2, str(tmp_path / "blocks"))
+    rows = sorted(token_store.read_blocks(spark, str(tmp_path / "blocks")).collect(), key=lambda r: r["start"])
+    place = 0
+    for row, (_, body, *_) in zip(rows, sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0)), strict=True):
+        ids = [*encoder.library.encode(body or "", add_special_tokens=False).ids, 2]
+        assert row["start"] == place and np.frombuffer(row["ids"], "<u4").tolist() == ids
+        place += len(ids)
+    token_store.write_blocks(empty, path, 2, str(tmp_path / "none"))
+    assert token_store.read_blocks(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_grammar_round_trip(monkeypatch):
+    monkeypatch.setattr(token_store, "MIN_PAIR", 2)
+    draw = np.random.default_rng(1)
+    for size in range(1, 200, 7):
+        ids = draw.integers(3, 6, size).astype(np.int32)
+        counts = np.diff([0, *sorted({size, *draw.integers(1, size + 1, 3).tolist()})])
+        ids[np.cumsum(counts) - 1] = 2
+        block = token_store.Block(token_store.pack(list(range(len(counts))), counts, ids, 2))
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        assert all(block.document(i).tolist() == p.tolist() for i, p in enumerate(parts))
+
+
+def test_language_model(spark, docs, empty):
+    rows = lm.score_documents(docs).collect()
+    tokens = [(i, [*re.findall(r"[^\x20\x09-\x0D]+", lowered(t)), None]) for i, t, *_ in ROWS]
+    train = [w for i, w in tokens if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    count = collections.Counter(x for w in train for x in w)
+    total, kinds = sum(count.values()), len(count)
+    follow = collections.Counter(p for w in train for p in zip([0, *w], w, strict=False))
+    want = []
+    for i, w in tokens:
+        base = score = 0.0
+        for h, x in zip([0, *w], w, strict=False):
+            p = (count[x] + 1) / (total + kinds + 1)
+            seen = len(train) if h == 0 else count[h]
+            base += np.log10(p)
+            score += np.log10((1 - lm.BACKOFF) * follow[h, x] / seen + lm.BACKOFF * p if seen else p)
+        want.append((-1 if i is None else i, len(w), sum(count[x] > 0 for x in w), round(base, 6), round(score, 6)))
+    got = [
+        (-1 if r["doc_id"] is None else r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6))
+        for r in rows
+    ]
+    assert sorted(got) == sorted(want) and {r["train_tokens"] for r in rows} == {total}
+    assert lm.score_documents(empty).count() == 0
+
+
+def test_quality(spark, docs, empty):
+    table = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    scored = quality.score_quality(table, labels).join(labels, "doc_id").filter("held_out")
+    right = scored.filter("predicted = quality").count()
+    assert right >= 0.85 * scored.count() > 0
+    rows = quality.score_quality(docs, labels).collect()
+    assert len(rows) == len(ROWS) and all(0 <= r["score"] <= 1 for r in rows)
+    assert quality.drop_low_quality(empty, labels.limit(0)).columns == empty.columns
+
+
+def test_isotonic_is_monotone_and_pools():
+    assert quality.isotonic(np.array([1.0, 0.0, 3.0]), np.array([2.0, 2.0, 3.0])).tolist() == [0.25, 0.25, 1.0]
+
+
+def test_passages(spark, docs, empty):
+    passage = "The quick brown foxes jumped over seventeen lazy dogs while nobody was watching the gate, and they ran away."
+    bench = spark.createDataFrame([(1, passage), (2, None), (3, "short"), (4, passage)], "item_id long, text string")
+    edited = passage.upper().replace("SEVENTEEN", "SEVENTEN").replace(",", " -")
+    rows = [(50, LONG + " " + edited + " " + LONG), (51, passage[:60]), (52, passage)]
+    extra = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {(r["doc_id"], r["item_id"]): r["edits"] for r in decontamination.find_passages(extra, bench).collect()}
+    assert found == {(50, 1): 1, (50, 4): 1, (52, 1): 0, (52, 4): 0}
+    assert decontamination.drop_contaminated(docs, bench).count() == len(ROWS)
+    assert decontamination.find_passages(empty, bench).count() == 0
+
+
+def test_sub_words(docs, empty):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    codec = BacktrackingEncoder(path)
+    draw = np.random.default_rng(2)
+    texts = ["".join(draw.choice(list("aeinrst h lo.,- \n'é01"), 30)) for _ in range(2000)]
+    for text in [*texts, *(t or "" for _, t, *_ in ROWS)]:
+        assert codec.encode(text) == library.encode(text, add_eos=True)
+    rows = encode_documents(docs, path).collect()
+    assert sorted(r["decoded"] for r in rows) == sorted(library.decode(library.encode(t or "", add_eos=True)) for _, t, *_ in ROWS)
+    assert encode_documents(empty, path).count() == 0
