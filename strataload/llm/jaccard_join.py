@@ -15,8 +15,8 @@ Groups with one signature.
 - Up to SMALL sets: their pairs, with the number of signatures in which they met.
 - More than that: a set that is in fewer large groups than it needs cannot owe a link to large groups alone,
   so it leaves them. A passage that a third of all documents share fills a few groups and no more; it
-  disappears here. What stays is large families of near copies. Each set first pairs with the smallest set it
-  meets most often; then, per group, sets not yet in the family of most others pair with the rest, where each
+  disappears here. What stays is large families of near copies. Each set first pairs with the set it
+  meets most often among those that lead a group, being in more groups than its other members; then, per group, sets not yet in the family of most others pair with the rest, where each
   set looks only into the smaller of its groups, all but the last ``need`` - 1 of them.
 
 A pair is a candidate if it met as often as both sets need, and each candidate is decided on the whole sets.
@@ -375,14 +375,15 @@ def links(docs: DataFrame) -> DataFrame:
     elsewhere = F.least(F.coalesce("times_a", F.lit(0)), F.coalesce("times_b", F.lit(0)))
     small = pairs.filter(F.col("met") + elsewhere >= F.col("need")).select("a", "b")
     stay = often.filter("times >= need")
-    large = large.drop("need").join(stay.select("band", "node"), ["band", "node"])
-    large = materialize(large.select("grp", "band", "node"), "jaccard-large")
-    least = large.groupBy("band", "grp").agg(F.min("node").alias("least"))
-    star = (
-        large.join(least, ["band", "grp"]).filter("node <> least").groupBy("node", "least").agg(F.count("*").alias("n"))
-    )
-    star = star.groupBy("node").agg(F.max_by("least", F.struct("n", "least")).alias("least"))
-    first = materialize(_ordered(small.union(star.select(F.col("node").alias("a"), F.col("least").alias("b")))), "jaccard-pairs")
+    large = large.drop("need").join(stay.select("band", "node", "times"), ["band", "node"])
+    large = materialize(large.select("grp", "band", "node", "times"), "jaccard-large")
+    # The text that a family was copied from is in more of its groups than any copy, and the copies link to it
+    # rather than to each other.
+    hub = large.groupBy("band", "grp").agg(F.max_by("node", F.struct("times", "node")).alias("hub"))
+    large = large.drop("times")
+    star = large.join(hub, ["band", "grp"]).filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
+    star = star.groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
+    first = materialize(_ordered(small.union(star.select(F.col("node").alias("a"), F.col("hub").alias("b")))), "jaccard-pairs")
     nodes = first.select(F.explode(F.array("a", "b")).alias("node")).union(large.select("node")).distinct()
     sets = materialize(_wanted_sets(rows, nodes), "jaccard-sets")
     found = materialize(verify(first, sets), "jaccard-links")
