@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataload.llm.tables import match_spans, texts
+from strataload.llm.tables import SPANS, match_spans, texts
 from strataload.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -35,6 +35,7 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[0-9]|[\x20-](?=[0-9]))++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+TOKEN = r"(?<![A-Za-z0-9@._+-])[A-Za-z@._+-]*+[0-9][A-Za-z0-9@._+-]*+"
 GATES = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -94,11 +95,9 @@ def scan(docs: DataFrame) -> DataFrame:
     for kind in KINDS:
         rows = rows.withColumn(kind, _seeds(kind))
     rows = rows.withColumn("base", F.array_sort(F.concat(*KINDS)))
-    tokens = F.filter(
-        match_spans(F.col("text"), r"(?<![A-Za-z0-9@._+-])[A-Za-z0-9@._+-]++"),
-        lambda m: F.regexp_like(m["match"], F.lit("[0-9]")) & (F.length(m["match"]) >= 6),
-    )
-    rows = rows.withColumn("tokens", F.when(F.col("digits"), tokens).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>")))
+    # Only tokens with a digit match: most words of most texts are none.
+    tokens = F.filter(match_spans(F.col("text"), TOKEN), lambda m: F.length(m["match"]) >= 6)
+    rows = rows.withColumn("tokens", F.when(F.col("digits"), tokens).otherwise(F.array().cast(SPANS)))
 
     def trimmed(m):
         # A full stop or dash that closes the token belongs to the sentence.

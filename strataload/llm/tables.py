@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPANS = "array<struct<start:int,end:int,match:string>>"
+RUN = 256
 
 
 def read_table(spark: SparkSession, directory: str, table: str) -> DataFrame:
@@ -31,7 +33,7 @@ def match_spans(value: Column, pattern: Column | str) -> Column:
     lengths gives the places. The pattern must not match the empty string.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    none = F.array().cast(SPANS)
     pairs = F.arrays_zip(
         F.split(value, pattern, -1).alias("gap"), F.regexp_extract_all(value, pattern, F.lit(0)).alias("match")
     )
@@ -40,11 +42,16 @@ def match_spans(value: Column, pattern: Column | str) -> Column:
         start = state["at"] + F.length(pair["gap"])
         end = start + F.length(pair["match"])
         found = F.array(F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match")))
+        full = F.size(state["last"]) >= RUN
+        last = F.when(pair["match"].isNull(), state["last"]).when(full, found).otherwise(F.concat(state["last"], found))
         return F.struct(
             F.coalesce(end, start).alias("at"),
-            F.when(pair["match"].isNull(), state["found"]).otherwise(F.concat(state["found"], found)).alias("found"),
+            F.when(full & pair["match"].isNotNull(), F.concat(state["runs"], F.array(state["last"])))
+            .otherwise(state["runs"])
+            .alias("runs"),
+            last.alias("last"),
         )
 
-    return F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda state: state["found"]
-    )
+    # Appending copies an array, so matches gather in runs, and the runs in an array of their own.
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("runs"), none.alias("last"))
+    return F.aggregate(pairs, begin, step, lambda state: F.concat(F.flatten(state["runs"]), state["last"]))

@@ -16,6 +16,7 @@ from strataload.llm.exact_dedup import drop_exact_duplicates, exact_groups
 from strataload.llm.license_scan import scan_licenses
 from strataload.llm.pii import find_pii
 from strataload.llm.piece_codec import BacktrackingEncoder, encode_documents
+from strataload.llm.tables import match_spans
 from strataload.llm.url_filter import judge_urls
 
 SMALL = "/root/testdata/sf0.001"
@@ -74,6 +75,14 @@ def test_pii(docs, empty):
     assert find_pii(empty).count() == 0
 
 
+def test_spans_of_a_text_with_many_matches(spark):
+    body = " ".join(f"é{i}x" for i in range(1500))
+    table = spark.createDataFrame([(1, body), (2, "none"), (3, "7")], "doc_id long, text string")
+    found = {r["doc_id"]: r["s"] for r in table.select("doc_id", match_spans(F.col("text"), "[0-9]+").alias("s")).collect()}
+    want = [(m.start(), m.end(), m[0]) for m in re.finditer("[0-9]+", body)]
+    assert [tuple(s) for s in found[1]] == want and found[2] == [] and [tuple(s) for s in found[3]] == [(0, 1, "7")]
+
+
 def test_exact_groups(docs, empty):
     rows = exact_groups(docs).collect()
     assert len(rows) == len(ROWS)
