@@ -48,6 +48,7 @@ SMALL = 16
 RUN_BYTES, RUN_SETS = 4 << 20, 30_000
 RANGE_BYTES = 8 << 20
 BITMAP_BITS = 23
+BLOCK_BYTES = 4 << 20
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(1, SHINGLE + 1)]
 
 
@@ -353,10 +354,63 @@ def verify(candidates: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _decide_block(pairs, sets):
+    """Links among the pairs of two blocks, from the sets of both."""
+    import pyarrow as pa
+
+    node = sets.column("node").to_numpy()
+    held = [np.frombuffer(g, "<u8") for g in sets.column("grams").to_pylist()]
+    sizes = np.array([len(g) for g in held], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    known, grams = np.unique(np.concatenate(held), return_inverse=True)
+    order = np.argsort(node)
+    a, b = (order[np.searchsorted(node, pairs.column(c).to_numpy(), sorter=order)] for c in ("a", "b"))
+    by_a = np.argsort(a, kind="stable")
+    a, b = a[by_a], b[by_a]
+    cuts = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1], [True])))
+    linked = np.zeros(len(a), dtype=bool)
+    mark = np.zeros(len(known), dtype=bool)
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        mine = grams[starts[a[low]] : starts[a[low]] + sizes[a[low]]]
+        mark[mine] = True
+        for at in range(low, high, 1000):
+            few = b[at : min(at + 1000, high)]
+            begin = np.cumsum(sizes[few]) - sizes[few]
+            places = np.repeat(starts[few] - begin, sizes[few]) + np.arange(int(sizes[few].sum()))
+            both = np.add.reduceat(mark[grams[places]].astype(np.int64), begin)
+            linked[at : at + len(few)] = 100 * both >= 75 * (len(mine) + sizes[few] - both)
+        mark[mine] = False
+    return pa.table({"a": node[a[linked]], "b": node[b[linked]]})
+
+
+def verify_dense(pairs: DataFrame, sets: DataFrame, family: DataFrame) -> DataFrame:
+    """As ``verify`` for many pairs of few sets. Families (node, hub) are cut into blocks of about BLOCK_BYTES, and a
+    set is sent once to each two blocks it has pairs in, not once per pair."""
+    sized = sets.select("node", F.octet_length("grams").alias("bytes")).join(family, "node", "left")
+    sized = sized.withColumn("hub", F.coalesce("hub", "node"))
+    cut = sized.groupBy("hub").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("cuts"))
+    block = F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("cuts")))
+    blocks = materialize(sized.join(cut, "hub").select("node", block.alias("block")), "jaccard-blocks")
+    for side in ("a", "b"):
+        pairs = pairs.join(blocks.toDF(side, f"block_{side}"), side)
+    x, y = F.least("block_a", "block_b").alias("x"), F.greatest("block_a", "block_b").alias("y")
+    pairs = materialize(pairs.select(x, y, "a", "b"), "jaccard-block-pairs")
+    sent = pairs.select("x", "y", "a").union(pairs.select("x", "y", "b")).toDF("x", "y", "node").distinct()
+    sent = sent.join(sets, "node").select("x", "y", "node", "grams")
+    return pairs.groupBy("x", "y").cogroup(sent.groupBy("x", "y")).applyInArrow(_decide_block, "a long, b long")
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose ends are not in one component yet."""
+    for side in ("a", "b"):
+        pairs = pairs.join(label.toDF(side, f"label_{side}"), side, "left")
+    return pairs.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+
+
 def links(docs: DataFrame) -> DataFrame:
     """Links (a, b) between distinct sets, as many as it takes to connect every component."""
     rows = texts(docs)
@@ -373,7 +427,7 @@ def links(docs: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         pairs = pairs.join(times.toDF("band", side, f"times_{side}"), ["band", side], "left")
     elsewhere = F.least(F.coalesce("times_a", F.lit(0)), F.coalesce("times_b", F.lit(0)))
-    small = pairs.filter(F.col("met") + elsewhere >= F.col("need")).select("a", "b")
+    small = materialize(pairs.filter(F.col("met") + elsewhere >= F.col("need")).select("a", "b", "met"), "jaccard-small")
     stay = often.filter("times >= need")
     large = large.drop("need").join(stay.select("band", "node", "times"), ["band", "node"])
     large = materialize(large.select("grp", "band", "node", "times"), "jaccard-large")
@@ -382,11 +436,20 @@ def links(docs: DataFrame) -> DataFrame:
     hub = large.groupBy("band", "grp").agg(F.max_by("node", F.struct("times", "node")).alias("hub"))
     large = large.drop("times")
     star = large.join(hub, ["band", "grp"]).filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
-    star = star.groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
-    first = materialize(_ordered(small.union(star.select(F.col("node").alias("a"), F.col("hub").alias("b")))), "jaccard-pairs")
-    nodes = first.select(F.explode(F.array("a", "b")).alias("node")).union(large.select("node")).distinct()
+    star = materialize(star.groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub")), "jaccard-star")
+    # Pairs within a component tell nothing new, and large families have many. So each set is first held against its
+    # hub and the set it met most often, and of the other small pairs only those between components are decided.
+    ends = small.select(F.col("a").alias("node"), F.col("b").alias("other"), "met")
+    ends = ends.union(small.select("b", "a", "met"))
+    nearest = ends.groupBy("node").agg(F.max_by("other", F.struct("met", "other")).alias("other"))
+    first = materialize(_ordered(star.union(nearest).toDF("a", "b")), "jaccard-first")
+    nodes = ends.select("node").union(large.select("node")).distinct()
     sets = materialize(_wanted_sets(rows, nodes), "jaccard-sets")
     found = materialize(verify(first, sets), "jaccard-links")
+    open_ = _apart(_ordered(small).join(first, ["a", "b"], "left_anti"), components(found))
+    open_ = materialize(open_, "jaccard-open")
+    more = materialize(verify(open_, sets), "jaccard-links")
+    found = found.union(more)
     # Large groups once more: sets outside the family that most of the group belongs to, against all others.
     # A pair that never met in a small group meets in as many large ones as either set needs. So it also meets in
     # those that are left when each set leaves its largest ones, as many as it needs less one.
@@ -404,8 +467,9 @@ def links(docs: DataFrame) -> DataFrame:
     split = placed.join(main.filter("k > 1"), ["band", "grp"])
     outside = split.filter("label <> main").select("band", "grp", F.col("node").alias("a"), F.col("label").alias("label_a"))
     rest = outside.join(split.select("band", "grp", F.col("node").alias("b"), "label"), ["band", "grp"])
-    rest = _ordered(rest.filter("label <> label_a").select("a", "b")).join(first, ["a", "b"], "left_anti")
-    return found.union(verify(rest, sets))
+    rest = _ordered(rest.filter("label <> label_a").select("a", "b"))
+    rest = rest.join(first.union(open_), ["a", "b"], "left_anti")
+    return found.union(verify_dense(rest, sets, star))
 
 
 def join_similar(docs: DataFrame) -> DataFrame:
