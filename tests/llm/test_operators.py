@@ -228,3 +228,14 @@ def test_sub_words(docs, empty):
     rows = encode_documents(docs, path).collect()
     assert sorted(r["decoded"] for r in rows) == sorted(library.decode(library.encode(t or "", add_eos=True)) for _, t, *_ in ROWS)
     assert encode_documents(empty, path).count() == 0
+
+
+def test_blocks_decide_as_pairs_do(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 400)
+    sets = [(n, np.arange(n % 7, 20 + n % 5, dtype="<u8").tobytes()) for n in range(30)]
+    sets = spark.createDataFrame(sets, "node long, grams binary")
+    pairs = spark.createDataFrame([(a, b) for a in range(30) for b in range(a + 1, 30)], "a long, b long")
+    family = spark.createDataFrame([(n, 0) for n in range(1, 20)], "node long, hub long")
+    want = {tuple(r) for r in jaccard_join.verify(pairs, sets).collect()}
+    got = [tuple(r) for r in jaccard_join.verify_dense(pairs, sets, family).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < 435
