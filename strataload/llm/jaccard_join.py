@@ -15,11 +15,13 @@ Groups with one signature.
 - Up to SMALL sets: their pairs, with the number of signatures in which they met.
 - More than that: a set that is in fewer large groups than it needs cannot owe a link to large groups alone,
   so it leaves them. A passage that a third of all documents share fills a few groups and no more; it
-  disappears here. What stays is large families of near copies. Each set first pairs with the set it
-  meets most often among those that lead a group, being in more groups than its other members; then, per group, sets not yet in the family of most others pair with the rest, where each
-  set looks only into the smaller of its groups, all but the last ``need`` - 1 of them.
+  disappears here. What stays is large families of near copies. Each set looks only into the smaller of its
+  groups, all but the last ``need`` - 1 of them, and there every two sets of a group are a pair.
 
-A pair is a candidate if it met as often as both sets need, and each candidate is decided on the whole sets.
+A pair is a candidate if it met as often as both sets need, and every candidate is decided on the whole sets.
+Sets that probably belong together share a block, and a set is sent once to each two blocks it has candidates
+in. The pairs of large groups exist only inside the task that decides them; it returns, per set, the number of
+documents it is linked to and one link that keeps the set connected.
 Equal sets are one node from the start: each task sends a set once, and families of equal documents of any
 size cost one row per task. Signatures travel packed, by ranges of their hashes; ranges grow in number with
 the input. The bitmap that tells a scan which sets are wanted has a fixed size; when it fills, more sets are
@@ -27,7 +29,8 @@ shuffled than needed, and results stay the same.
 
 Defined results: documents without words have an empty set, n_shingles 0, and form their own component each;
 those with fewer words than a shingle have one. Repeated ids form one document only if their sets are linked;
-the component of a document without id is the smallest id it is linked to, or NULL.
+the component of a document without id is the smallest id it is linked to, or NULL. ``n_links`` counts the
+other rows whose sets are equal or similar enough; rows of an empty set have none.
 """
 
 from __future__ import annotations
@@ -48,7 +51,7 @@ SMALL = 16
 RUN_BYTES, RUN_SETS = 4 << 20, 30_000
 RANGE_BYTES = 8 << 20
 BITMAP_BITS = 23
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(1, SHINGLE + 1)]
 
 
@@ -354,6 +357,13 @@ def verify(candidates: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _overlaps(mark: np.ndarray, grams: np.ndarray, starts: np.ndarray, sizes: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Number of marked shingles of each of the ``few`` sets."""
+    begin = np.cumsum(sizes[few]) - sizes[few]
+    places = np.repeat(starts[few] - begin, sizes[few]) + np.arange(int(sizes[few].sum()))
+    return np.add.reduceat(mark[grams[places]].astype(np.int64), begin)
+
+
 def _decide_block(pairs, sets):
     """Links among the pairs of two blocks, from the sets of both."""
     import pyarrow as pa
@@ -375,22 +385,91 @@ def _decide_block(pairs, sets):
         mark[mine] = True
         for at in range(low, high, 1000):
             few = b[at : min(at + 1000, high)]
-            begin = np.cumsum(sizes[few]) - sizes[few]
-            places = np.repeat(starts[few] - begin, sizes[few]) + np.arange(int(sizes[few].sum()))
-            both = np.add.reduceat(mark[grams[places]].astype(np.int64), begin)
+            both = _overlaps(mark, grams, starts, sizes, few)
             linked[at : at + len(few)] = 100 * both >= 75 * (len(mine) + sizes[few] - both)
         mark[mine] = False
     return pa.table({"a": node[a[linked]], "b": node[b[linked]]})
 
 
-def verify_dense(pairs: DataFrame, sets: DataFrame, family: DataFrame) -> DataFrame:
-    """As ``verify`` for many pairs of few sets. Families (node, hub) are cut into blocks of about BLOCK_BYTES, and a
-    set is sent once to each two blocks it has pairs in, not once per pair."""
+LINKED = "node long, root long, n long"
+
+
+def _decide_groups(sets):
+    """(node, root, n) of the linked sets of two blocks, from the pairs of one set of each that share a group."""
+    import pyarrow as pa
+
+    node, copies = sets.column("node").to_numpy(), sets.column("copies").to_numpy()
+    x, y = sets.column("x")[0].as_py(), sets.column("y")[0].as_py()
+    mine, theirs = sets.column("block").to_numpy() == x, sets.column("block").to_numpy() == y
+    held = [np.frombuffer(g, "<u8") for g in sets.column("grams").to_pylist()]
+    sizes = np.array([len(g) for g in held], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    known, grams = np.unique(np.concatenate(held), return_inverse=True)
+    lists = sets.column("groups").combine_chunks()
+    lengths = np.diff(lists.offsets.to_numpy())
+    names, group = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    own = np.concatenate(([0], np.cumsum(lengths)))
+    members = np.repeat(np.arange(len(node)), lengths)[np.argsort(group, kind="stable")]
+    ends = np.cumsum(np.bincount(group, minlength=len(names)))
+    begins = np.concatenate(([0], ends[:-1]))
+    root, n = np.arange(len(node)), np.zeros(len(node), dtype=np.int64)
+    mark = np.zeros(len(known), dtype=bool)
+    for a in np.flatnonzero(mine).tolist():
+        meets = np.zeros(len(node), dtype=bool)
+        for g in group[own[a] : own[a + 1]].tolist():
+            meets[members[begins[g] : ends[g]]] = True
+        # Of sets similar enough the smaller has three quarters of the larger's size or more.
+        meets &= theirs & (4 * np.minimum(sizes, sizes[a]) >= 3 * np.maximum(sizes, sizes[a]))
+        if x == y:
+            meets[: a + 1] = False
+        others = np.flatnonzero(meets)
+        if not len(others):
+            continue
+        mark[grams[starts[a] : starts[a] + sizes[a]]] = True
+        for at in range(0, len(others), 1000):
+            few = others[at : at + 1000]
+            both = _overlaps(mark, grams, starts, sizes, few)
+            few = few[100 * both >= 75 * (sizes[a] + sizes[few] - both)]
+            n[a] += copies[few].sum()
+            n[few] += copies[a]
+            labels = np.unique(root[np.append(few, a)])
+            if len(labels) > 1:
+                root[np.isin(root, labels)] = labels[0]
+        mark[grams[starts[a] : starts[a] + sizes[a]]] = False
+    linked = n > 0
+    return pa.table({"node": node[linked], "root": node[root[linked]], "n": n[linked]})
+
+
+def verify_groups(few: DataFrame, sets: DataFrame, family: DataFrame, copies: DataFrame) -> DataFrame:
+    """Links among all sets (node, groups) that share a group, as LINKED rows: a set has one for each two blocks."""
+    blocks = _blocks(sets, family)
+    placed = few.join(blocks, "node")
+    each = materialize(placed.select("node", "block", F.explode("groups").alias("grp")), "jaccard-grouped")
+    there = each.select("grp", F.col("block").alias("other")).distinct()
+    met = each.join(there, "grp").select("node", "block", "other").distinct()
+    # Two sets of one block meet in it; the block by itself is among the others.
+    x, y = F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
+    sent = met.select("node", "block", x, y).join(few.join(copies, "node").join(sets, "node"), "node")
+    return sent.groupBy("x", "y").applyInArrow(_decide_groups, LINKED)
+
+
+def _blocks(sets: DataFrame, family: DataFrame) -> DataFrame:
+    """(node, block): families (node, hub) above BLOCK_BYTES are cut into blocks of about that size, smaller ones
+    share blocks."""
     sized = sets.select("node", F.octet_length("grams").alias("bytes")).join(family, "node", "left")
     sized = sized.withColumn("hub", F.coalesce("hub", "node"))
-    cut = sized.groupBy("hub").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("cuts"))
-    block = F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("cuts")))
-    blocks = materialize(sized.join(cut, "hub").select("node", block.alias("block")), "jaccard-blocks")
+    cut = sized.groupBy("hub").agg(F.sum("bytes").alias("all"))
+    cut = materialize(cut.select("hub", "all", F.ceil(F.col("all") / BLOCK_BYTES).alias("cuts")), "jaccard-families")
+    bins = -(-(cut.filter("cuts = 1").agg(F.sum("all")).first()[0] or 0) // BLOCK_BYTES)
+    shared = F.pmod(F.xxhash64("hub"), F.lit(max(bins, 1)))
+    block = F.when(F.col("cuts") > 1, F.xxhash64("hub", F.pmod(F.xxhash64("node"), F.col("cuts")))).otherwise(shared)
+    return materialize(sized.join(cut, "hub").select("node", block.alias("block")), "jaccard-blocks")
+
+
+def verify_dense(pairs: DataFrame, sets: DataFrame, family: DataFrame) -> DataFrame:
+    """As ``verify`` for many pairs of few sets: a set is sent once to each two blocks it has pairs in, not once per
+    pair."""
+    blocks = _blocks(sets, family)
     for side in ("a", "b"):
         pairs = pairs.join(blocks.toDF(side, f"block_{side}"), side)
     x, y = F.least("block_a", "block_b").alias("x"), F.greatest("block_a", "block_b").alias("y")
@@ -404,15 +483,9 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose ends are not in one component yet."""
-    for side in ("a", "b"):
-        pairs = pairs.join(label.toDF(side, f"label_{side}"), side, "left")
-    return pairs.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-
-
-def links(docs: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct sets, as many as it takes to connect every component."""
+def links(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """All links between distinct sets, as LINKED rows: ``n`` sums up to the documents of the sets a set is linked to,
+    and the pairs (node, root) connect every component. ``copies`` has the number of documents of each set."""
     rows = texts(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = int(size // RANGE_BYTES) + 1
@@ -432,62 +505,54 @@ def links(docs: DataFrame) -> DataFrame:
     large = large.drop("need").join(stay.select("band", "node", "times"), ["band", "node"])
     large = materialize(large.select("grp", "band", "node", "times"), "jaccard-large")
     # The text that a family was copied from is in more of its groups than any copy, and the copies link to it
-    # rather than to each other.
+    # rather than to each other. With the set it met most often this tells what probably belongs together.
     hub = large.groupBy("band", "grp").agg(F.max_by("node", F.struct("times", "node")).alias("hub"))
-    large = large.drop("times")
     star = large.join(hub, ["band", "grp"]).filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
-    star = materialize(star.groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub")), "jaccard-star")
-    # Pairs within a component tell nothing new, and large families have many. So each set is first held against its
-    # hub and the set it met most often, and of the other small pairs only those between components are decided.
+    star = star.groupBy("node").agg(F.max_by("hub", F.struct("n", "hub")).alias("hub"))
     ends = small.select(F.col("a").alias("node"), F.col("b").alias("other"), "met")
     ends = ends.union(small.select("b", "a", "met"))
     nearest = ends.groupBy("node").agg(F.max_by("other", F.struct("met", "other")).alias("other"))
-    first = materialize(_ordered(star.union(nearest).toDF("a", "b")), "jaccard-first")
+    family = materialize(components(star.union(nearest).toDF("a", "b")).toDF("node", "hub"), "jaccard-family")
     nodes = ends.select("node").union(large.select("node")).distinct()
     sets = materialize(_wanted_sets(rows, nodes), "jaccard-sets")
-    found = materialize(verify(first, sets), "jaccard-links")
-    open_ = _apart(_ordered(small).join(first, ["a", "b"], "left_anti"), components(found))
-    open_ = materialize(open_, "jaccard-open")
-    more = materialize(verify(open_, sets), "jaccard-links")
-    found = found.union(more)
-    # Large groups once more: sets outside the family that most of the group belongs to, against all others.
     # A pair that never met in a small group meets in as many large ones as either set needs. So it also meets in
     # those that are left when each set leaves its largest ones, as many as it needs less one.
-    label = components(found)
     sizes = large.groupBy("band", "grp").agg(F.count("*").alias("size"))
     by_size = Window.partitionBy("band", "node").orderBy("size", "grp")
     ranked = large.join(sizes, ["band", "grp"]).withColumn("rank", F.row_number().over(by_size))
-    few = ranked.join(stay, ["band", "node"]).filter("rank <= times - need + 1")
-    placed = materialize(
-        few.join(label, "node", "left").select("grp", "band", "node", F.coalesce("label", "node").alias("label")),
-        "jaccard-placed",
-    )
-    main = placed.groupBy("band", "grp", "label").agg(F.count("*").alias("n"))
-    main = main.groupBy("band", "grp").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("k"))
-    split = placed.join(main.filter("k > 1"), ["band", "grp"])
-    outside = split.filter("label <> main").select("band", "grp", F.col("node").alias("a"), F.col("label").alias("label_a"))
-    rest = outside.join(split.select("band", "grp", F.col("node").alias("b"), "label"), ["band", "grp"])
-    rest = _ordered(rest.filter("label <> label_a").select("a", "b"))
-    rest = rest.join(first.union(open_), ["a", "b"], "left_anti")
-    return found.union(verify_dense(rest, sets, star))
+    few = ranked.join(stay.select("band", "node", "need"), ["band", "node"]).filter("rank <= times - need + 1")
+    few = few.groupBy("node").agg(F.collect_list(F.xxhash64("band", "grp")).alias("groups"))
+    few = materialize(few, "jaccard-few")
+    # Pairs that share one of these groups are decided there.
+    pairs = _ordered(small)
+    for side in ("a", "b"):
+        pairs = pairs.join(few.toDF(side, f"groups_{side}"), side, "left")
+    together = F.coalesce(F.arrays_overlap("groups_a", "groups_b"), F.lit(False))
+    found = materialize(verify_dense(pairs.filter(~together).select("a", "b"), sets, family), "jaccard-links")
+    both = found.union(found.select("b", "a")).toDF("node", "root")
+    one = both.join(copies.toDF("root", "n"), "root").select("node", "root", "n")
+    return materialize(one.union(verify_groups(few, sets, family, copies)), "jaccard-linked")
 
 
 def join_similar(docs: DataFrame) -> DataFrame:
-    """Every document as (doc_id, n_shingles, component_id)."""
+    """Every document as (doc_id, n_shingles, component_id, n_links)."""
     members = materialize(texts(docs).mapInArrow(_members, "doc_id long, size long, node long, check long"), "jaccard-members")
-    label = components(links(docs))
     nodes = members.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.min("check").alias("low"), F.max("check").alias("high")
+        F.min("doc_id").alias("least"), F.min("check").alias("low"), F.max("check").alias("high"), F.count("*").alias("copies")
     )
     clash = F.when(F.col("low") != F.col("high"), F.raise_error(F.lit("two sets have one hash")).cast("long"))
-    nodes = nodes.select("node", F.coalesce(clash, "least").alias("least")).join(label, "node", "left")
-    nodes = materialize(nodes.select("node", "least", F.coalesce("label", "node").alias("label")), "jaccard-nodes")
+    nodes = materialize(nodes.select("node", F.coalesce(clash, "least").alias("least"), "copies"), "jaccard-nodes")
+    linked = links(docs, nodes.select("node", "copies"))
+    label = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    nodes = nodes.join(label, "node", "left").join(linked.groupBy("node").agg(F.sum("n").alias("n")), "node", "left")
+    n_links = (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links")
+    nodes = materialize(nodes.select("node", "least", F.coalesce("label", "node").alias("label"), n_links), "jaccard-nodes")
     smallest = nodes.groupBy("label").agg(F.min("least").alias("component"))
-    by_node = materialize(nodes.join(smallest, "label").select("node", "component"), "jaccard-components")
-    full = members.filter("node IS NOT NULL").join(by_node, "node").select("doc_id", "size", "component")
-    empty = members.filter("node IS NULL").select("doc_id", "size", F.col("doc_id").alias("component"))
+    by_node = materialize(nodes.join(smallest, "label").select("node", "component", "n_links"), "jaccard-components")
+    full = members.filter("node IS NOT NULL").join(by_node, "node").select("doc_id", "size", "component", "n_links")
+    empty = members.filter("node IS NULL").select("doc_id", "size", F.col("doc_id").alias("component"), F.lit(0).cast("long").alias("n_links"))
     return full.union(empty).select(
-        "doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id")
+        "doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id"), "n_links"
     )
 
 

@@ -239,3 +239,26 @@ def test_blocks_decide_as_pairs_do(spark, monkeypatch):
     want = {tuple(r) for r in jaccard_join.verify(pairs, sets).collect()}
     got = [tuple(r) for r in jaccard_join.verify_dense(pairs, sets, family).collect()]
     assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < 435
+
+
+@pytest.mark.parametrize(("limit", "block"), [(2, 4000), (16, 1 << 20)])
+def test_similar_documents_have_all_links(spark, docs, monkeypatch, limit, block):
+    monkeypatch.setattr(jaccard_join, "SMALL", limit)
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", block)
+    # A family whose members are not all linked to each other, with equal texts among them.
+    words = [f"w{i}" for i in range(160)]
+    family = [[f"{w}x{n}" if n % 40 <= i - 60 < n % 40 + n % 9 else w for i, w in enumerate(words)] for n in range(60)]
+    extra = [(2000 + n, " ".join(w)) for n, w in enumerate(family)]
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    table = table.union(docs.select("doc_id", "text")).union(spark.createDataFrame(extra, "doc_id long, text string"))
+    sets = []
+    for r in table.collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", lowered(r["text"]))
+        sets.append((r["doc_id"], {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()))
+    want = collections.Counter()
+    for i, one in sets:
+        both = [len(one & s) for _, s in sets]
+        linked = sum(b > 0 and 100 * b >= 75 * len(one | s) for b, (_, s) in zip(both, sets, strict=True))
+        want[i, len(one), linked - 1 if one else 0] += 1
+    got = collections.Counter((r["doc_id"], r["n_shingles"], r["n_links"]) for r in jaccard_join.join_similar(table).collect())
+    assert got == want and 0 < sum(0 < n < 59 for (i, _, n) in got if i is not None and i >= 2000)
