@@ -23,12 +23,13 @@ told from chance and matches nothing; equal items are each reported; repeated ro
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataload.llm.tables import texts
+from strataload.llm.tables import texts, with_bodies
 
 Q = 8
 EDITS = 0.06
@@ -167,6 +168,15 @@ def _slices(bodies: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
         yield numbers, held
 
 
+def _hits(bodies, index: ItemIndex) -> Iterator[tuple[int, int, int]]:
+    """(number of the text, item, edits) among the texts of a batch."""
+    for numbers, held in _slices([fold(b) for b in bodies]):
+        data = np.frombuffer(b"\x00".join([*held, b""]), dtype=np.uint8)
+        bounds = np.concatenate(([0], np.cumsum([len(b) + 1 for b in held])))
+        for d, i, e in index.search(data, bounds):
+            yield numbers[d], i, e
+
+
 def _find_in(docs: DataFrame, index: ItemIndex) -> DataFrame:
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -175,11 +185,7 @@ def _find_in(docs: DataFrame, index: ItemIndex) -> DataFrame:
 
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            out: list[tuple] = []
-            for numbers, bodies in _slices([fold(b) for b in utf8(batch.column("text"))]):
-                data = np.frombuffer(b"\x00".join([*bodies, b""]), dtype=np.uint8)
-                bounds = np.concatenate(([0], np.cumsum([len(b) + 1 for b in bodies])))
-                out += [(ids[numbers[d]], index.ids[i], e) for d, i, e in index.search(data, bounds)]
+            out = [(ids[d], index.ids[i], e) for d, i, e in _hits(utf8(batch.column("text")), index)]
             columns = list(zip(*out, strict=True)) if out else [(), (), ()]
             types = [pa.int64(), pa.int64(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
@@ -189,25 +195,32 @@ def _find_in(docs: DataFrame, index: ItemIndex) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, item_id long, edits int")
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, edits) of every document that holds a benchmark item within its edit budget."""
-    rows = texts(docs)
+def _indexes(benchmark: DataFrame) -> Iterator[ItemIndex]:
     items = texts(benchmark, key="item_id").withColumnRenamed("doc_id", "item_id")
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = int(size // BLOCK_BYTES) + 1
-    found = None
     for number in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()
-        index = ItemIndex([r["item_id"] for r in block], [r["text"].encode() for r in block])
-        part = _find_in(rows, index)
-        found = part if found is None else found.unionByName(part)
-    return found
+        yield ItemIndex([r["item_id"] for r in block], [r["text"].encode() for r in block])
+
+
+def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, edits) of every document that holds a benchmark item within its edit budget."""
+    rows = texts(docs)
+    return reduce(DataFrame.unionByName, (_find_in(rows, index) for index in _indexes(benchmark)))
+
+
+def _free_of(docs: DataFrame, index: ItemIndex) -> DataFrame:
+    def clean(bodies, batch):
+        import pyarrow as pa
+
+        keep = np.ones(batch.num_rows, dtype=bool)
+        keep[[d for d, _, _ in _hits(bodies, index)]] = False
+        return batch.filter(pa.array(keep))
+
+    return with_bodies(docs, clean)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    named = {name: f"_in_{i}" for i, name in enumerate(docs.columns)}
-    hit = find_passages(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct()
-    rows = docs.select(*(F.col(f"`{name}`").alias(alias) for name, alias in named.items()))
-    clean = rows.join(hit, F.col(named["doc_id"]).eqNullSafe(F.col("_hit")), "left_anti")
-    return clean.select(*(F.col(alias).alias(name) for name, alias in named.items()))
+    return reduce(_free_of, _indexes(benchmark), docs)

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from strataload.llm.components import components
 from strataload.llm.hashing import WordHasher, mix, utf8
-from strataload.llm.tables import texts
+from strataload.llm.tables import texts, with_bodies
 from strataload.session import materialize
 
 SHINGLE = 5
@@ -534,8 +534,8 @@ def links(docs: DataFrame, copies: DataFrame) -> DataFrame:
     return materialize(one.union(verify_groups(few, sets, family, copies)), "jaccard-linked")
 
 
-def join_similar(docs: DataFrame) -> DataFrame:
-    """Every document as (doc_id, n_shingles, component_id, n_links)."""
+def _similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, size, node, check) of every document, and (node, least, label, copies, n_links) of every set."""
     members = materialize(texts(docs).mapInArrow(_members, "doc_id long, size long, node long, check long"), "jaccard-members")
     nodes = members.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.min("check").alias("low"), F.max("check").alias("high"), F.count("*").alias("copies")
@@ -546,7 +546,13 @@ def join_similar(docs: DataFrame) -> DataFrame:
     label = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     nodes = nodes.join(label, "node", "left").join(linked.groupBy("node").agg(F.sum("n").alias("n")), "node", "left")
     n_links = (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links")
-    nodes = materialize(nodes.select("node", "least", F.coalesce("label", "node").alias("label"), n_links), "jaccard-nodes")
+    label = F.coalesce("label", "node").alias("label")
+    return members, materialize(nodes.select("node", "least", label, "copies", n_links), "jaccard-nodes")
+
+
+def join_similar(docs: DataFrame) -> DataFrame:
+    """Every document as (doc_id, n_shingles, component_id, n_links)."""
+    members, nodes = _similar(docs)
     smallest = nodes.groupBy("label").agg(F.min("least").alias("component"))
     by_node = materialize(nodes.join(smallest, "label").select("node", "component", "n_links"), "jaccard-components")
     full = members.filter("node IS NOT NULL").join(by_node, "node").select("doc_id", "size", "component", "n_links")
@@ -557,9 +563,27 @@ def join_similar(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, with all their columns."""
-    named = {name: f"_in_{i}" for i, name in enumerate(docs.columns)}
-    later = join_similar(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_later")).distinct()
-    rows = docs.select(*(F.col(f"`{name}`").alias(alias) for name, alias in named.items()))
-    kept = rows.join(later, F.col(named["doc_id"]).eqNullSafe(F.col("_later")), "left_anti")
-    return kept.select(*(F.col(alias).alias(name) for name, alias in named.items()))
+    """One row of each component, with all its columns: the one with the smallest id, a row without id if no row has
+    one. Of several such rows the one with the smallest set hash stays, then the first by its columns."""
+    _, nodes = _similar(docs)
+    order = F.struct(F.col("least").isNull(), "least", "node")
+    best = nodes.groupBy("label").agg(F.min_by("node", order).alias("_best"))
+    # Sets of a single row that are alone in their component, or win it, have nothing to decide.
+    open_ = nodes.join(best, "label").filter("copies > 1 OR node <> _best")
+    wins = (F.col("node") == F.col("_best")).alias("_wins")
+    open_ = materialize(open_.select(F.col("node").alias("_open"), wins, F.col("least").alias("_least")), "jaccard-open")
+
+    def keyed(bodies, batch):
+        import pyarrow as pa
+
+        sets = [shingles(words) for words in WordHasher().batch(bodies)]
+        keys = pa.array([set_key(grams)[0] if len(grams) else None for grams in sets], pa.int64())
+        return pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "_node"])
+
+    named = [f"_in_{i}" for i in range(len(docs.columns))]
+    rows = with_bodies(docs, keyed, "_node long").toDF(*named, "_node")
+    alone = rows.join(open_.select("_open"), F.col("_node") == F.col("_open"), "left_anti").select(*named)
+    doc_id = F.col(named[docs.columns.index("doc_id")]).cast("long")
+    first = rows.join(open_.filter("_wins"), F.col("_node") == F.col("_open")).filter(doc_id.eqNullSafe(F.col("_least")))
+    first = first.withColumn("_place", F.row_number().over(Window.partitionBy("_node").orderBy(*named)))
+    return alone.union(first.filter("_place = 1").select(*named)).toDF(*docs.columns)

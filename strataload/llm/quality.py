@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataload.llm.tables import texts
+from strataload.llm.tables import texts, with_bodies
 from strataload.session import materialize
 
 FEATURES = 128
@@ -198,15 +198,18 @@ def in_training() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0
 
 
-def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every document as (doc_id, held_out, score, predicted)."""
-    stats = materialize(with_statistics(docs), "quality-statistics")
+def train(stats: DataFrame, labels: DataFrame) -> Model:
     given = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label"))
     given = given.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull())
     # Repeated labels of one document count once; its repeated rows count as often as they occur.
     given = given.filter(in_training()).groupBy("doc_id").agg(F.max("label").alias("label"))
-    labelled = materialize(stats.join(given, "doc_id").select("stats", "label"), "quality-training")
-    model = fit(labelled)
+    return fit(materialize(stats.join(given, "doc_id").select("stats", "label"), "quality-training"))
+
+
+def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every document as (doc_id, held_out, score, predicted)."""
+    stats = materialize(with_statistics(docs), "quality-statistics")
+    model = train(stats, labels)
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -226,8 +229,12 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is not rejected, with all their columns."""
-    named = {name: f"_in_{i}" for i, name in enumerate(docs.columns)}
-    low = score_quality(docs, labels).filter("predicted = 0").select(F.col("doc_id").alias("_low")).distinct()
-    rows = docs.select(*(F.col(f"`{name}`").alias(alias) for name, alias in named.items()))
-    kept = rows.join(low, F.col(named["doc_id"]).eqNullSafe(F.col("_low")), "left_anti")
-    return kept.select(*(F.col(alias).alias(name) for name, alias in named.items()))
+    model = train(with_statistics(docs), labels)
+
+    def passed(bodies, batch):
+        import pyarrow as pa
+
+        stats = np.array([statistics(t) for t in bodies], dtype=float).reshape(-1, len(STATISTICS))
+        return batch.filter(pa.array(model.score(stats) >= THRESHOLD))
+
+    return with_bodies(docs, passed)

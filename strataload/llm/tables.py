@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPANS = "array<struct<start:int,end:int,match:string>>"
@@ -21,6 +22,30 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     )
 
 
+def with_bodies(docs: DataFrame, run, schema: str | None = None) -> DataFrame:
+    """``docs`` with all columns through ``run``, which turns (text bytes of a batch, batch) into a batch.
+
+    The decision is made where the row is, so it concerns this row alone, whatever its id and however often
+    the id occurs. ``schema`` names the columns that ``run`` appends.
+    """
+    inner = docs.toDF(*(f"_in_{i}" for i in range(len(docs.columns))))
+    text = inner.columns[docs.columns.index("text")]
+
+    def each(batches):
+        import pyarrow.compute as pc
+
+        from strataload.llm.hashing import utf8
+
+        for batch in batches:
+            yield run(utf8(pc.fill_null(batch.column(text), "")), batch)
+
+    fields = T.StructType(list(inner.schema.fields))
+    for extra in T.StructType.fromDDL(schema) if schema else ():
+        fields = fields.add(extra)
+    out = inner.mapInArrow(each, fields)
+    return out.toDF(*docs.columns, *out.columns[len(docs.columns) :])
+
+
 def lower_ascii(value: Column) -> Column:
     """A-Z to a-z; every other letter stays as it is."""
     return F.translate(value, UPPER, LOWER)

@@ -262,3 +262,37 @@ def test_similar_documents_have_all_links(spark, docs, monkeypatch, limit, block
         want[i, len(one), linked - 1 if one else 0] += 1
     got = collections.Counter((r["doc_id"], r["n_shingles"], r["n_links"]) for r in jaccard_join.join_similar(table).collect())
     assert got == want and 0 < sum(0 < n < 59 for (i, _, n) in got if i is not None and i >= 2000)
+
+
+def test_stages_decide_per_row(spark):
+    """Rows without id or with a repeated one are judged by their own text."""
+    passage = "The quick brown foxes jumped over seventeen lazy dogs while nobody was watching the gate, and they ran away."
+    schema = "n int, doc_id long, text string"
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    rows = [(1, None, passage), (2, None, "clean"), (3, 7, passage), (4, 7, "clean too"), (5, None, None), (6, 8, "other")]
+    left = decontamination.drop_contaminated(spark.createDataFrame(rows, schema), bench)
+    assert left.columns == ["n", "doc_id", "text"] and sorted(r["n"] for r in left.collect()) == [2, 4, 5, 6]
+
+    # Texts of the labelled table, so that the model rejects some: the same id, or none, for good and bad ones.
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    predicted = {r["doc_id"]: r["predicted"] for r in quality.score_quality(table, labels).collect()}
+    extra = table.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.lit(10**9)).cast("long"))
+    both = table.withColumn("n", F.col("doc_id")).union(extra.withColumn("n", F.lit(-1).cast("long")))
+    kept = collections.Counter(r["text"] for r in quality.drop_low_quality(both, labels).collect())
+    text = {r["doc_id"]: r["text"] for r in table.collect()}
+    want = collections.Counter()
+    for i, p in predicted.items():
+        want[text[i]] += 2 * p
+    assert kept == +want and 0 < sum(predicted.values()) < len(predicted)
+
+    a, b = NEAR, " ".join(f"v{i}" for i in range(100))
+    rows = [
+        (1, 1, a), (2, 2, a.replace("word100", "x")), (3, 2, b),  # id 2 is a later copy once, and alone once
+        (4, None, "p " * 30 + b), (5, None, LONG[:900]), (6, None, LONG[:900].replace("word5 ", "y ")),  # no id at all
+        (7, 9, "same words here"), (8, 9, "SAME words here"), (9, None, ""), (10, None, " "), (11, None, a),
+    ]
+    left = jaccard_join.drop_near_duplicates(spark.createDataFrame(rows, schema))
+    got = {r["n"] for r in left.collect()}
+    assert left.columns == ["n", "doc_id", "text"] and left.count() == len(got)
+    assert {1, 3, 9, 10} <= got and not got & {2, 4, 11} and len(got & {5, 6}) == 1 and len(got & {7, 8}) == 1
