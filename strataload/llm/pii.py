@@ -3,9 +3,10 @@
 Seeds are the e-mail addresses, IP addresses, card and phone numbers that fixed patterns find. Other tokens
 with a digit are candidates. Every seed and candidate is an instance; the patterns it shows are its shape
 (digits, letters and punctuation) alone and its shape after the word to its left. Patterns and instances
-form a graph per kind, scored in rounds: a pattern is as sure as the share of its instances that are known
-or believed, an instance as sure as its best pattern. Candidates that end above the threshold become spans
-of the kind. Seeds stay as they are.
+form a graph per kind, scored in rounds: a pattern is as sure as a lower confidence bound of the share of its
+instances that are seeds, or that another pattern above the threshold holds: its own score is no evidence for
+it. All others count against it, values that failed the kind's check among them. Candidates of a pattern
+above the threshold become spans of the kind, unless they failed its check. Seeds stay as they are.
 
 Everything is scanned once and written; the graph then needs only the instances. Scores per pattern are sums,
 aggregated before they are shuffled, so a shape that a third of all rows show costs one row per task.
@@ -42,6 +43,7 @@ SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 ROUNDS = 3
 ACCEPT = 0.5
+BOUND = 1.64  # standard deviations that a pattern's score lies below the share it has
 MIN_SEEDS = 3
 
 
@@ -145,6 +147,22 @@ def shape(value: Column) -> Column:
     )
 
 
+def _failed(value: Column, as_kind: Column) -> Column:
+    """The value is a match of the kind's pattern that its check turns down."""
+    out = F.lit(False)
+    for number, kind in enumerate(KINDS):
+        whole = F.regexp_like(value, F.lit(rf"\A(?:{PATTERNS[kind]})\z"))
+        out = F.when(as_kind == number, whole & ~_holds(kind, value)).otherwise(out)
+    return out
+
+
+def _sure(good: Column, n: Column) -> Column:
+    """Lower end of the Wilson interval of good / n."""
+    share, square = good / n, BOUND * BOUND
+    spread = BOUND * F.sqrt(share * (1 - share) / n + square / (4 * n * n))
+    return (share + square / (2 * n) - spread) / (1 + square / n)
+
+
 def discover(scanned: DataFrame) -> DataFrame:
     """(value, kind) of candidates that the scored patterns take for personal data."""
     one = F.explode("instances")
@@ -165,25 +183,23 @@ def discover(scanned: DataFrame) -> DataFrame:
     ).filter(F.col("seeds") >= MIN_SEEDS)
     graph = materialize(
         edges.join(seeded, "pattern").select(
-            "value", "pattern", "as_kind", "kind", (F.col("kind") == F.col("as_kind")).cast("double").alias("known")
+            "value", "pattern", "as_kind", "kind", (F.col("kind") == F.col("as_kind")).alias("known"),
+            # Seeds of another kind are decided, too.
+            ((F.col("kind") >= 0) | _failed(F.col("value"), F.col("as_kind"))).alias("closed"),
         ),
         "pii-graph",
     )
-    belief = graph.withColumn("belief", F.col("known"))
+    belief = graph.select("*", F.col("known").alias("belief"))
     for _ in range(ROUNDS):
         scores = belief.groupBy("pattern", "as_kind").agg(
-            (F.sum("belief") / (F.count("*") + 1)).alias("score")
-        )
-        instances = (
-            graph.join(scores, ["pattern", "as_kind"])
-            .groupBy("value", "as_kind")
-            .agg(F.max("score").alias("score"), F.max("known").alias("known"), F.max("kind").alias("kind"))
-        )
-        instances = materialize(instances, "pii-instances")
-        belief = graph.join(
-            instances.select("value", "as_kind", F.greatest("score", "known").alias("belief")), ["value", "as_kind"]
+            _sure(F.count_if("belief").cast("double"), F.count("*")).alias("score")
         )
-    best = instances.filter((F.col("kind") < 0) & (F.col("score") >= ACCEPT))
+        scored = materialize(graph.join(scores, ["pattern", "as_kind"]), "pii-scores")
+        above = (F.col("score") >= ACCEPT).cast("long")
+        holders = scored.groupBy("value", "as_kind").agg(F.sum(above).alias("holders"))
+        others = ~F.col("closed") & (F.col("holders") - above > 0)
+        belief = scored.join(holders, ["value", "as_kind"]).withColumn("belief", F.col("known") | others)
+    best = scored.filter(~F.col("closed") & (F.col("score") >= ACCEPT))
     return best.groupBy("value").agg(F.max_by("as_kind", F.struct("score", "as_kind")).alias("found"))
 
 

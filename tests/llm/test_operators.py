@@ -296,3 +296,20 @@ def test_stages_decide_per_row(spark):
     got = {r["n"] for r in left.collect()}
     assert left.columns == ["n", "doc_id", "text"] and left.count() == len(got)
     assert {1, 3, 9, 10} <= got and not got & {2, 4, 11} and len(got & {5, 6}) == 1 and len(got & {7, 8}) == 1
+
+
+def _check_digit(body):
+    return next(c for c in "0123456789" if sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate((body + c)[::-1])) % 10 == 0)
+
+
+def test_pii_patterns_need_evidence_of_their_own(spark):
+    bodies = [f"4111{n:011d}" for n in range(7, 47)]
+    good = [b + _check_digit(b) for b in bodies]
+    bad = [b + str((int(_check_digit(b)) + 5) % 10) for b in bodies]
+    rows = [(n, f"paid {v} today") for n, v in enumerate(good + bad)]
+    # A quarter of what stands behind "host" is an address; the rest has its shape but is none.
+    rows += [(100 + n, f"host 10.0.{n}.{n if n < 5 else n + 900} up") for n in range(20)]
+    found = {r["doc_id"]: r for r in find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[n]["n_card"] for n in range(80)] == [1] * 40 + [0] * 40
+    assert [found[100 + n]["n_ip"] for n in range(20)] == [1] * 5 + [0] * 15
+    assert all(r["n_found"] == 0 for r in found.values())
