@@ -147,7 +147,7 @@ def grammar(ids: np.ndarray, last: np.ndarray, first_new: int) -> tuple[np.ndarr
             left.append(found[good] >> 32)
             right.append(found[good] & 0xFFFFFFFF)
             symbol += int(good.sum())
-        if threshold == MIN_PAIR:
+        elif threshold == MIN_PAIR:
             break
     none = np.zeros(0, dtype=np.int64)
     return seq, np.concatenate(left) if left else none, np.concatenate(right) if right else none

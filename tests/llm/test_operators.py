@@ -313,3 +313,15 @@ def test_pii_patterns_need_evidence_of_their_own(spark):
     assert [found[n]["n_card"] for n in range(80)] == [1] * 40 + [0] * 40
     assert [found[100 + n]["n_ip"] for n in range(20)] == [1] * 5 + [0] * 15
     assert all(r["n_found"] == 0 for r in found.values())
+
+
+def test_grammar_leaves_no_frequent_pair():
+    draw = np.random.default_rng(3)
+    passage = draw.integers(3, 1000, 64)
+    ids = np.concatenate([np.append(passage, draw.integers(1000, 9000, 5)) for _ in range(30)]).astype(np.int32)
+    ids = np.append(ids, np.int32(2))
+    seq, left, right = token_store.grammar(ids, ids == 2, 9000)
+    pairs = collections.Counter(zip(seq[:-1].tolist(), seq[1:].tolist(), strict=True))
+    assert max(pairs.values()) < token_store.MIN_PAIR and len(left) == len(right)
+    block = token_store.Block(token_store.pack([1], np.array([len(ids)]), ids, 2))
+    assert block.document(0).tolist() == ids.tolist()
