@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataload.llm.byte_network import predict_languages
+from strataload.llm.cover_codes import code_rows
 from strataload.llm.decontamination import find_passages
 from strataload.llm.exact_dedup import exact_groups
+from strataload.llm.infill import infill, restored
 from strataload.llm.jaccard_join import join_similar
 from strataload.llm.license_scan import scan_licenses
 from strataload.llm.lm import score_documents
@@ -75,6 +78,27 @@ def op10_url_filters(spark: SparkSession, directory: str) -> DataFrame:
     return judge_urls(read_table(spark, directory, "pages"))
 
 
+def op11_cover_codes(spark: SparkSession, directory: str) -> DataFrame:
+    return code_rows(read_table(spark, directory, "embeddings"))
+
+
+def op12_byte_language(spark: SparkSession, directory: str) -> DataFrame:
+    return predict_languages(read_table(spark, directory, "documents"))
+
+
+def op13_infill(spark: SparkSession, directory: str) -> DataFrame:
+    rewritten = infill(read_table(spark, directory, "documents").select("doc_id", "text"))
+    return rewritten.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_jaccard_join": op2_jaccard_join,
@@ -86,4 +110,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_url_filters": op10_url_filters,
+    "op11_cover_codes": op11_cover_codes,
+    "op12_byte_language": op12_byte_language,
+    "op13_infill": op13_infill,
 }
