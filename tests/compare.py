@@ -7,7 +7,7 @@ from collections import Counter
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels".split()
 
 
 def connect(directory: str) -> duckdb.DuckDBPyConnection:
