@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,21 +35,46 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] =
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def survivor_by_priority(df: DataFrame, key: str, priority: str, attributes: Sequence[str]) -> DataFrame:
-    """One row per key: the lowest priority, then the smallest attributes in the given order.
+def survivor_state(df: DataFrame, key: str, priority: str, attributes: Sequence[str]) -> DataFrame:
+    """One (key, priority, attributes…) per key: the lowest priority, then the smallest attributes in their order.
 
     Sales repeat a customer or product many times, so the variants of each key are found first, by a
     hash aggregate that starts on the map side; only variants are sorted.
+    The state merges: that of two batches is ``survivor_state`` of the union of their states, in any order.
     """
-    variants = df.select(key, priority, *attributes).distinct()
-    return first_per_key(variants, [key]).drop(priority)
+    return first_per_key(df.select(key, priority, *attributes).distinct(), [key])
 
 
-def survivor_by_max(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
-    """One row per key with the maximum of each attribute on its own; the row may mix variants.
+def survivor_by_priority(df: DataFrame, key: str, priority: str, attributes: Sequence[str]) -> DataFrame:
+    """The survivors without their priority."""
+    return survivor_state(df, key, priority, attributes).drop(priority)
+
+
+def maxima_state(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    """One (key, attributes…) per key with the maximum of each attribute on its own, NULL if it has none. Merges
+    like ``survivor_state``.
 
     ``max_by`` of a column by itself is its maximum. Below ``max`` Spark would drop the distinct as
     redundant, and since text does not fit a hash aggregation buffer, sort every source row.
     """
     variants = df.select(fold_null(F.col(key)).alias(key), *attributes).distinct()
-    return variants.groupBy(key).agg(*[fold_null(F.max_by(a, a)).alias(a) for a in attributes])
+    return variants.groupBy(key).agg(*[F.max_by(a, a).alias(a) for a in attributes])
+
+
+def survivor_by_max(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    """The maxima with NULL as the unknown text; a row may mix variants."""
+    return maxima_state(df, key, attributes).select(key, *[fold_null(F.col(a)).alias(a) for a in attributes])
+
+
+def merge_state(
+    state: DataFrame, batch: DataFrame, keys: Sequence[str], reduce_rows: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The new state of the keys a batch mentions, from the state of all keys before it.
+
+    ``reduce_rows`` gives one row per key, and the same row whether it sees rows at once or reduced in parts.
+    Keys of the state that the batch does not mention are left out: they stay as they are.
+    """
+    reduced = reduce_rows(batch)
+    condition = [state[k].eqNullSafe(reduced[k]) for k in keys]
+    concerned = state.join(reduced.select(*keys), condition, "left_semi")
+    return reduce_rows(concerned.unionByName(reduced))

@@ -19,6 +19,8 @@ from strataload.operators.keys import DEFAULT_KEY, business_rows, current_max_ke
 from strataload.operators.matching import rows_not_in, rows_without_match
 from strataload.plans.specs import CARD_ENTITY, CARD_SYSTEM, CASH_ENTITY, CASH_SYSTEM, EntitySpec, LoadRules
 
+PRIORITY = "priority"
+
 
 def source_systems(spec: EntitySpec, rules: LoadRules) -> tuple[str, str]:
     """(source_system, source_entity) labels of a loaded row."""
@@ -72,16 +74,18 @@ def source_rows(spec: EntitySpec, cash: DataFrame, card: DataFrame, rules: LoadR
     if rules.survivor == "max":
         # Maxima are taken over uncleansed values; the result is folded.
         return survivor_by_max(_stored_names(spec, union_all(sources), rules), spec.key, spec.attribute_names)
-    cleansed = [_cleansed(spec, frame, rules) for frame in sources]
     if rules.survivor == "priority":
-        ranked = [
-            _stored_names(spec, frame, rules).withColumn("_priority", F.lit(rank))
-            for rank, frame in enumerate(cleansed, 1)
-        ]
-        return survivor_by_priority(union_all(ranked), spec.key, "_priority", spec.attribute_names)
+        return survivor_by_priority(ranked_rows(spec, cash, card, rules), spec.key, PRIORITY, spec.attribute_names)
+    cleansed = [_cleansed(spec, frame, rules) for frame in sources]
     return _stored_names(spec, union_distinct(cleansed), rules)
 
 
+def ranked_rows(spec: EntitySpec, cash: DataFrame, card: DataFrame, rules: LoadRules) -> DataFrame:
+    """All source rows as (key, attributes…, priority); the first source comes first."""
+    frames = [_stored_names(spec, _cleansed(spec, f, rules), rules) for f in entity_sources(spec, cash, card)]
+    return union_all([frame.withColumn(PRIORITY, F.lit(rank)) for rank, frame in enumerate(frames, 1)])
+
+
 def unmatched_rows(spec: EntitySpec, rows: DataFrame, target: DataFrame, rules: LoadRules) -> DataFrame:
     """Source rows the target does not hold, by the rules' notion of a match."""
     if rules.match == "not_in":

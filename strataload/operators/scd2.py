@@ -38,8 +38,15 @@ def detect_changes(
     The unknown member takes no part unless ``match_default_row`` is set; with it, a source key that
     reads like the unknown member closes that row.
     """
+    source = source_rows(spec, cash, card, load_rules(spec, "v3"))
+    return changes_of(source, target, spec, match_default_row)
+
+
+def changes_of(
+    source: DataFrame, target: DataFrame, spec: EntitySpec = CUSTOMERS, match_default_row: bool = False
+) -> DataFrame:
+    """The same from survivors, one row per key."""
     rules = load_rules(spec, "v3")
-    source = source_rows(spec, cash, card, rules)
     active = target if match_default_row else business_rows(target, spec.id_column)
     active = active.where(is_set(F.col("is_active"))).select(
         F.col(spec.id_column).alias("_current"),
@@ -87,6 +94,26 @@ def opened_versions(changes: DataFrame, as_of: dt.date, spec: EntitySpec = CUSTO
     )
 
 
+def closed_versions(
+    target: DataFrame, changes: DataFrame, as_of: dt.date, spec: EntitySpec = CUSTOMERS
+) -> DataFrame:
+    """Only the rows that changes close, ended the day before."""
+    superseded = changes.where(F.col("change_type") == CHANGED).select(
+        F.col(f"current_{spec.id_column}").alias(spec.id_column)
+    )
+    active = target.where(is_set(F.col("is_active")))
+    return _end_version(active.join(superseded, spec.id_column, "left_semi"), F.lit(True), as_of)
+
+
+def require_one_closed(closed: DataFrame, changes: DataFrame, spec: EntitySpec = CUSTOMERS) -> None:
+    """Every changed key closes exactly one version, else an error that names a key."""
+    expected = changes.where(F.col("change_type") == CHANGED).select(F.trim(spec.key).alias("key"), F.lit(0).alias("n"))
+    counted = expected.union(closed.select(F.trim(spec.key), F.lit(1))).groupBy("key").agg(F.sum("n").alias("closed"))
+    wrong = counted.where("closed <> 1").first()
+    if wrong is not None:
+        raise CloseMismatch(f"changed key {wrong['key']!r} closes {wrong['closed']} versions")
+
+
 def close_versions(
     target: DataFrame, changes: DataFrame, as_of: dt.date, spec: EntitySpec = CUSTOMERS, flag: str = "_closed"
 ) -> DataFrame:

@@ -9,17 +9,17 @@ from functools import partial
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataload.functions.dates import HIGH_DATE, LOW_DATE
 from strataload.functions.text import UNKNOWN
 from strataload.operators import quality, scd2, upsert
-from strataload.operators.dedup import union_all
-from strataload.operators.entity import count_by, entity_default_values, new_entity_rows
+from strataload.operators.dedup import merge_state, survivor_state, union_all
+from strataload.operators.entity import PRIORITY, count_by, entity_default_values, new_entity_rows, ranked_rows
 from strataload.operators.keys import DEFAULT_KEY, has_default_row, single_row
 from strataload.operators.rows import conform
-from strataload.plans.load_log import run_step
+from strataload.plans.load_log import MARK_TABLE, last_mark, run_step, write_marks
 from strataload.plans.specs import (
     CALENDAR_ID,
     CALENDAR_TABLE,
@@ -34,10 +34,11 @@ from strataload.plans.specs import (
 from strataload.session import materialize
 from strataload.sources.csv import stage_sales
 from strataload.sources.schemas import TABLE_SCHEMAS
-from strataload.sources.warehouse import Check, Warehouse
+from strataload.sources.warehouse import Check, MissingTable, Warehouse
 
 CASH_TABLE = "sa_cash_sales.src_cash_sales"
 CARD_TABLE = "sa_card_sales.src_card_sales"
+SURVIVOR_TABLE = "bl_cl.customer_survivors"
 
 
 def _side_by_side(
@@ -85,23 +86,66 @@ def add_star_defaults(warehouse: Warehouse, workers: int = 4) -> None:
 
 def load_staging(
     warehouse: Warehouse, raw_cash: DataFrame, raw_card: DataFrame, date_format: str | None = None
-) -> None:
-    """Append the typed, deduplicated rows of both source systems."""
-    for table, raw in ((CASH_TABLE, raw_cash), (CARD_TABLE, raw_card)):
-        warehouse.append(table, stage_sales(raw, date_format))
+) -> int:
+    """Add the typed, deduplicated rows of both source systems as one batch; returns its number.
+
+    Both are made before either is added, so a bad file leaves both tables as they were.
+    """
+    typed = {
+        table: materialize(stage_sales(raw, date_format), "staged")
+        for table, raw in ((CASH_TABLE, raw_cash), (CARD_TABLE, raw_card))
+    }
+    batch = 1 + warehouse.last_batch(*typed)
+    for table, rows in typed.items():
+        warehouse.append_batch(table, rows, batch)
+    return batch
+
+
+def forget_progress(warehouse: Warehouse) -> None:
+    """Let the next loads read all staging batches again, as after a correction of staged rows."""
+    warehouse.truncate(SURVIVOR_TABLE)
+    if warehouse.exists(MARK_TABLE):
+        write_marks(warehouse, [*[spec.table for spec in ENTITIES.values()], CALENDAR_TABLE], 0)
+
+
+def _since(warehouse: Warehouse, batch: int) -> tuple[DataFrame, DataFrame]:
+    """Staging rows of the batches after ``batch``, of both systems."""
+    return warehouse.read_after(CASH_TABLE, batch), warehouse.read_after(CARD_TABLE, batch)
+
+
+def _from_new_batches(warehouse: Warehouse, table: str, load: Callable[[int], int]) -> int:
+    """Run a load over the staging batches its table has not seen, and note how far it came.
+
+    ``load`` gets the last batch seen. Without newer ones no staging row is read. The note is written after the
+    table: a load that dies in between sees the batch again, and finds nothing new in it.
+    """
+    for source in (CASH_TABLE, CARD_TABLE):
+        if not warehouse.exists(source):
+            raise MissingTable(source)
+    seen, newest = last_mark(warehouse, table), warehouse.last_batch(CASH_TABLE, CARD_TABLE)
+    if seen and seen == newest:
+        return 0
+    affected = load(seen)
+    if newest > seen:
+        write_marks(warehouse, [table], newest)
+    return affected
 
 
 def load_entity(
     warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, release: Release = "v3", raise_on_error: bool = False
 ) -> int | None:
-    """Bring one entity up to date with the staging tables; returns the rows affected."""
-    versioned = spec.versioned and release != "v1"
-    step = _load_versioned if versioned else _load_insert_only
-    return run_step(warehouse, spec.table, lambda: step(warehouse, spec, as_of, release), raise_on_error)
-
-
-def _sources(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:
-    return warehouse.read(CASH_TABLE), warehouse.read(CARD_TABLE)
+    """Bring one entity up to date with the staging tables; returns the rows affected.
+
+    ``v3`` reads the batches that are new since its last load; the older releases read all.
+    """
+    if release == "v3":
+        load = _load_versioned if spec.versioned else _load_insert_only
+        step = partial(_from_new_batches, warehouse, spec.table, partial(load, warehouse, spec, as_of))
+    elif spec.versioned and release == "v2":
+        step = partial(_load_two_step, warehouse, spec, as_of)
+    else:
+        step = partial(_load_insert_only, warehouse, spec, as_of, 0, release)
+    return run_step(warehouse, spec.table, step, raise_on_error)
 
 
 def _target(warehouse: Warehouse, spec: EntitySpec, rules: LoadRules) -> tuple[DataFrame, list[DataFrame]]:
@@ -114,63 +158,72 @@ def _target(warehouse: Warehouse, spec: EntitySpec, rules: LoadRules) -> tuple[D
     return stored.unionByName(default), [default]
 
 
-def _load_insert_only(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, release: Release) -> int:
+def _load_insert_only(
+    warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, seen: int, release: Release = "v3"
+) -> int:
     rules = load_rules(spec, release)
     target, default = _target(warehouse, spec, rules)
-    fresh = new_entity_rows(spec, *_sources(warehouse), target, as_of, rules)
+    # A key that is not stored yet has all its rows in the new batches.
+    fresh = new_entity_rows(spec, *_since(warehouse, seen), target, as_of, rules)
     affected = fresh.count() + len(default)
     if affected:
-        # Ids above the current maximum cannot collide; ids counted from 1 can.
-        checks = [] if rules.continue_ids else [quality.primary_key_check(spec.id_column)]
-        warehouse.append(spec.table, union_all([conform(fresh, TABLE_SCHEMAS[spec.table]), *default]), checks)
+        # Ids above the current maximum cannot collide; ids counted from 1 can, with any stored row.
+        rows = union_all([conform(fresh, TABLE_SCHEMAS[spec.table]), *default])
+        if not rules.continue_ids:
+            quality.primary_key_check(spec.id_column)(warehouse.read_or_empty(spec.table).unionByName(rows))
+        warehouse.append(spec.table, rows)
     return affected
 
 
-def _load_versioned(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, release: Release) -> int:
-    target, default = _target(warehouse, spec, load_rules(spec, release))
-    if release == "v2":
-        return _load_two_step(warehouse, spec, as_of, target, len(default))
-    changes = scd2.detect_changes(*_sources(warehouse), target, spec)
+def _load_versioned(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, seen: int) -> int:
+    rules = load_rules(spec, "v3")
+    target, default = _target(warehouse, spec, rules)
+    survivors = _survivors(warehouse, spec, seen, rules)
+    changes = scd2.changes_of(survivors, target, spec)
     counts = count_by(changes, "change_type", [scd2.NEW, scd2.CHANGED])
     # A change closes one row and opens one.
     affected = 2 * counts[scd2.CHANGED] + counts[scd2.NEW] + len(default)
-    opened = scd2.opened_versions(changes, as_of, spec)
-    checks = [quality.one_active_check(spec.key, spec.id_column)]
     if affected == 0:
         return 0
+    checks = [quality.one_active_check(spec.key, spec.id_column)]
+    opened = union_all([scd2.opened_versions(changes, as_of, spec), *default])
     if counts[scd2.CHANGED] == 0:
-        warehouse.append(spec.table, union_all([opened, *default]), checks)
+        warehouse.append(spec.table, opened, checks)
         return affected
-    closing = Observation()
-    state = (
-        scd2.close_versions(target, changes, as_of, spec)
-        .unionByName(opened.withColumn("_closed", F.lit(False)))
-        .observe(closing, F.count_if("_closed").alias("closed"))
-        .drop("_closed")
-    )
+    closed = materialize(scd2.closed_versions(target, changes, as_of, spec), "closed")
+    scd2.require_one_closed(closed, changes, spec)
+    warehouse.merge(spec.table, opened.unionByName(closed), checks)
+    return affected
 
-    def closes_one_each(_: DataFrame) -> None:
-        closed = closing.get["closed"]
-        if closed != counts[scd2.CHANGED]:
-            raise scd2.CloseMismatch(f"{counts[scd2.CHANGED]} changed keys closed {closed} versions")
 
-    warehouse.replace(spec.table, state, [closes_one_each, *checks])
-    return affected
+def _survivors(warehouse: Warehouse, spec: EntitySpec, seen: int, rules: LoadRules) -> DataFrame:
+    """Survivors over all batches of the keys that the new batches mention; their state is kept for the next load."""
+    ranked = ranked_rows(spec, *_since(warehouse, seen), rules)
+    warehouse.create_if_absent(SURVIVOR_TABLE)
+    state = merge_state(
+        warehouse.read(SURVIVOR_TABLE),
+        ranked,
+        [spec.key],
+        lambda rows: survivor_state(rows, spec.key, PRIORITY, spec.attribute_names),
+    )
+    state = materialize(state, "survivors")
+    warehouse.merge(SURVIVOR_TABLE, state)
+    return state.drop(PRIORITY)
 
 
-def _load_two_step(
-    warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, target: DataFrame, n_default: int
-) -> int:
-    state = materialize(scd2.apply_two_step(*_sources(warehouse), target, as_of, spec), "two_step")
+def _load_two_step(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date) -> int:
+    target, default = _target(warehouse, spec, load_rules(spec, "v2"))
+    state = scd2.apply_two_step(*_since(warehouse, 0), target, as_of, spec)
     before = target.select(spec.id_column, F.col("is_active").alias("_before"))
-    difference = state.join(before, spec.id_column, "left").agg(
-        F.count_if(F.col("_before").isNull()).alias("opened"),
-        F.count_if((F.col("_before") == "Y") & (F.col("is_active") == "N")).alias("closed"),
-    ).first()
-    affected = difference["opened"] + difference["closed"]
-    if affected + n_default:
-        warehouse.replace(spec.table, state)
-    return affected + n_default
+    # Opened rows are not stored yet, closed ones were active.
+    changed = state.join(before, spec.id_column, "left").where(
+        F.col("_before").isNull() | ((F.col("_before") == "Y") & (F.col("is_active") == "N"))
+    )
+    changed = materialize(changed.drop("_before"), "two_step")
+    affected = changed.count() + len(default)
+    if affected:
+        warehouse.merge(spec.table, union_all([conform(changed, TABLE_SCHEMAS[spec.table]), *default]))
+    return affected
 
 
 def _dimension_checks(spec: DimensionSpec) -> list[Check]:
@@ -182,7 +235,7 @@ def _dimension_checks(spec: DimensionSpec) -> list[Check]:
 
 
 def _publish_upserts(
-    warehouse: Warehouse, table: str, id_column: str, target: DataFrame, upserts: DataFrame, checks: list[Check]
+    warehouse: Warehouse, table: str, id_column: str, upserts: DataFrame, checks: list[Check]
 ) -> int:
     rows = materialize(upserts, "upserts")
     counts = count_by(rows, upsert.ACTION, [upsert.INSERT, upsert.UPDATE])
@@ -193,8 +246,7 @@ def _publish_upserts(
     if counts[upsert.UPDATE] == 0:
         warehouse.append(table, rows.drop(upsert.ACTION), checks)
     else:
-        state = upsert.apply_upserts(target, rows, id_column).drop(upsert.ACTION)
-        warehouse.replace(table, state, checks)
+        warehouse.merge(table, rows.drop(upsert.ACTION), checks)
     return affected
 
 
@@ -206,20 +258,21 @@ def load_dimension(
     def step() -> int:
         target = warehouse.read_or_empty(spec.table)
         upserts = upsert.dimension_upserts(spec, warehouse.read(spec.entity.table), target, as_of)
-        return _publish_upserts(warehouse, spec.table, spec.id_column, target, upserts, _dimension_checks(spec))
+        return _publish_upserts(warehouse, spec.table, spec.id_column, upserts, _dimension_checks(spec))
 
     return run_step(warehouse, spec.table, step, raise_on_error)
 
 
 def load_calendar(warehouse: Warehouse, raise_on_error: bool = False) -> int | None:
-    """Add the days the staging tables mention."""
+    """Add the days that new staging batches mention."""
 
-    def step() -> int:
+    def load(seen: int) -> int:
         target = warehouse.read_or_empty(CALENDAR_TABLE)
-        upserts = upsert.calendar_upserts(*_sources(warehouse), target)
+        upserts = upsert.calendar_upserts(*_since(warehouse, seen), target)
         checks = [quality.unique_column_check("date", CALENDAR_ID)]
-        return _publish_upserts(warehouse, CALENDAR_TABLE, CALENDAR_ID, target, upserts, checks)
+        return _publish_upserts(warehouse, CALENDAR_TABLE, CALENDAR_ID, upserts, checks)
 
+    step = partial(_from_new_batches, warehouse, CALENDAR_TABLE, load)
     return run_step(warehouse, CALENDAR_TABLE, step, raise_on_error)
 
 

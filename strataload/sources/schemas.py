@@ -135,4 +135,32 @@ STAGING_SCHEMAS = {
     "sa_card_sales.src_card_sales": staging_schema(CARD_COLUMNS),
 }
 
-TABLE_SCHEMAS = {**STAGING_SCHEMAS, **ENTITY_SCHEMAS, **STAR_SCHEMAS, "bl_cl.load_log": LOAD_LOG_SCHEMA}
+BATCHED_TABLES = frozenset(STAGING_SCHEMAS)
+
+# Up to which staging batch a table has been loaded; the newest entry counts.
+LOAD_MARK_SCHEMA = T.StructType(
+    [T.StructField("mark_id", LONG, False), T.StructField("target_table", TEXT), T.StructField("batch", LONG)]
+)
+
+# Survivors of all customer rows staged so far.
+SURVIVOR_SCHEMA = T.StructType(
+    columns(TEXT, "customer_src_id") + columns(INT, "priority") + columns(TEXT, "customer_name customer_segment")
+)
+
+TABLE_SCHEMAS = {
+    **STAGING_SCHEMAS,
+    **ENTITY_SCHEMAS,
+    **STAR_SCHEMAS,
+    "bl_cl.load_log": LOAD_LOG_SCHEMA,
+    "bl_cl.load_marks": LOAD_MARK_SCHEMA,
+    "bl_cl.customer_survivors": SURVIVOR_SCHEMA,
+}
+
+# Surrogate id and business key: the first two columns of every entity and dimension.
+TABLE_KEYS = {
+    table: (schema.names[0], schema.names[1])
+    for table, schema in {**ENTITY_SCHEMAS, **STAR_SCHEMAS}.items()
+    if schema not in (FACT_SCHEMA, CALENDAR_SCHEMA)
+}
+TABLE_KEYS["bl_dm.dim_time_day"] = ("date_surr_id", "date_surr_id")
+TABLE_KEYS["bl_cl.customer_survivors"] = ("customer_src_id", "customer_src_id")

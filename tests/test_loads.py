@@ -5,9 +5,9 @@ import pytest
 from conftest import DAY, raw_sales
 from pyspark.sql import functions as F
 
-from strataload.operators.scd2 import version_summary
+from strataload.operators.scd2 import CloseMismatch, version_summary
 from strataload.plans import corrections, loads, validation
-from strataload.plans.load_log import LOG_TABLE, write_log
+from strataload.plans.load_log import LOG_TABLE, last_mark, write_log
 from strataload.plans.specs import CUSTOMERS, DIMENSIONS, ENTITIES
 from strataload.sources.warehouse import Warehouse
 
@@ -60,10 +60,10 @@ def test_full_load_rerun_and_counts(loaded):
         "bl_dm.dim_customers_scd": 2,
         "bl_dm.dim_time_day": 2,
     }
-    paths = {t: warehouse.live_paths(t) for t in first}
+    files = {t: sorted(warehouse.read(t).inputFiles()) for t in first}
     assert set(loads.load_all(warehouse, NEXT).values()) == {0}
-    # A load without changes publishes nothing.
-    assert {t: warehouse.live_paths(t) for t in first} == paths
+    # A load without changes writes nothing.
+    assert {t: sorted(warehouse.read(t).inputFiles()) for t in first} == files
     outcome = validation.load_outcomes(warehouse, list(loads.dimension_ids())).collect()
     assert len(outcome) == 8 and {(r["status"], r["rows_affected"]) for r in outcome} == {("SUCCESS", 0)}
     for row in validation.dimension_counts(warehouse).collect():
@@ -105,15 +105,73 @@ def test_two_changes_on_one_day_fail_in_the_dimension(loaded):
     staged = warehouse.read(loads.CASH_TABLE)
     for segment in ("One", "Two"):
         warehouse.replace(loads.CASH_TABLE, staged.withColumn("segment", F.lit(segment)))
+        loads.forget_progress(warehouse)
         assert loads.load_entity(warehouse, CUSTOMERS, NEXT) == 4
-    before = warehouse.live_paths("bl_dm.dim_customers_scd")
+        staged = warehouse.read(loads.CASH_TABLE)
+    before = warehouse.read("bl_dm.dim_customers_scd").inputFiles()
     assert loads.load_dimension(warehouse, DIMENSIONS[CUSTOMERS.name], NEXT) is None
-    assert warehouse.live_paths("bl_dm.dim_customers_scd") == before
+    assert sorted(warehouse.read("bl_dm.dim_customers_scd").inputFiles()) == sorted(before)
     last = log_rows(warehouse)[-1]
     assert (last["status"], last["rows_affected"], last["error_code"]) == ("ERROR", 0, "23505")
     assert "start_dt" in last["error_message"]
 
 
+def test_later_batches_are_loaded_alone(warehouse, sales, monkeypatch):
+    loads.load_staging(warehouse, sales("cash", {}, BOB), sales("card", {"payment_id": "c1"}))
+    first = loads.load_all(warehouse, DAY)
+    assert first["bl_3nf.ce_customers_scd"] == 3 and set(loads.load_all(warehouse, DAY).values()) == {0}
+    # Nothing is read from staging as long as no batch is new.
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "read_after", lambda *_: pytest.fail("staging was read"))
+        assert set(loads.load_all(warehouse, NEXT).values()) == {0}
+    # A later batch with an older customer under a smaller name, a new one, and a product that is stored.
+    later = [{"payment_id": "p8", "customer_name": "AAA"}, {"payment_id": "p9", "customer_id": "N-1", "product_id": "P2"}]
+    loads.load_staging(warehouse, sales("cash", *later), sales("card", {"payment_id": "c9", "customer_name": "AA"}))
+    read = []
+    plain = Warehouse.read_after
+    monkeypatch.setattr(Warehouse, "read_after", lambda self, table, batch: read.append(batch) or plain(self, table, batch))
+    second = loads.load_all(warehouse, NEXT)
+    assert set(read) == {1}
+    changed = {table: n for table, n in second.items() if n}
+    assert changed == {"bl_3nf.ce_customers_scd": 3, "bl_dm.dim_customers_scd": 3}
+    versions = warehouse.read(CUSTOMERS.table).where("customer_id <> -1").orderBy("customer_id").collect()
+    assert [(r["customer_src_id"], r["customer_name"], r["is_active"]) for r in versions] == [
+        ("AA-10315", "Alex Avila", "N"), ("BB-1", "Bob", "Y"), ("AA-10315", "AAA", "Y"), ("N-1", "Alex Avila", "Y"),
+    ]
+
+
+def test_bad_card_file_leaves_both_sources_out(warehouse, sales):
+    with pytest.raises(Exception, match="does not fit"):
+        loads.load_staging(warehouse, sales("cash", {}), sales("card", {"sales": "x"}))
+    assert not warehouse.exists(loads.CASH_TABLE) and not warehouse.exists(loads.CARD_TABLE)
+
+
+def test_changed_key_that_closes_two_versions_is_an_error(loaded, sales):
+    warehouse, _ = loaded
+    stored = warehouse.read(CUSTOMERS.table)
+    warehouse.append(CUSTOMERS.table, stored.where("customer_src_id = 'AA-10315'"))
+    loads.load_staging(warehouse, sales("cash", {"payment_id": "p5", "customer_name": "AAA"}), sales("card", {}))
+    before = sorted(warehouse.read(CUSTOMERS.table).inputFiles())
+    with pytest.raises(CloseMismatch, match="AA-10315"):
+        loads.load_entity(warehouse, CUSTOMERS, NEXT, raise_on_error=True)
+    last = log_rows(warehouse)[-1]
+    assert (last["status"], last["rows_affected"], last["error_code"]) == ("ERROR", 0, "P0001")
+    assert sorted(warehouse.read(CUSTOMERS.table).inputFiles()) == before
+    # The batch has not been noted as loaded.
+    assert last_mark(warehouse, CUSTOMERS.table) == 1
+
+
+def test_one_changed_customer_leaves_other_folders(loaded, sales):
+    warehouse, _ = loaded
+    before = {t: set(warehouse.read(t).inputFiles()) for t in (CUSTOMERS.table, "bl_dm.dim_customers_scd")}
+    assert all(len(f) == 3 for f in before.values())
+    loads.load_staging(warehouse, sales("cash", {"payment_id": "p5", "customer_name": "AAA"}), sales("card", {}))
+    assert loads.load_entity(warehouse, CUSTOMERS, NEXT) == 2
+    assert loads.load_dimension(warehouse, DIMENSIONS[CUSTOMERS.name], NEXT) == 2
+    for table, files in before.items():
+        assert len(files & set(warehouse.read(table).inputFiles())) == 2
+
+
 def test_employee_with_two_names_fails_in_the_dimension_only(warehouse, sales):
     cash = sales("cash", {}, {"payment_id": "p2", "employee_name": "Rob"})
     loads.load_staging(warehouse, cash, sales("card", {}))
@@ -131,7 +189,7 @@ def test_older_releases_of_the_entity_load(warehouse, sales):
     modes = ENTITIES["ship_modes"]
     assert loads.load_entity(warehouse, modes, DAY, "v1") == 3
     # The ids of the oldest release start at 1 every time, so new rows collide with stored ones.
-    warehouse.append(loads.CARD_TABLE, warehouse.read(loads.CARD_TABLE).withColumn("ship_mode", F.lit("Sea")))
+    warehouse.append_batch(loads.CARD_TABLE, warehouse.read(loads.CARD_TABLE).withColumn("ship_mode", F.lit("Sea")), 2)
     assert loads.load_entity(warehouse, modes, DAY, "v1") is None
     assert log_rows(warehouse)[-1]["error_code"] == "23505"
     assert loads.load_entity(warehouse, modes, DAY, "v2") == 1

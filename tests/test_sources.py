@@ -2,9 +2,10 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataload.operators.quality import ConstraintViolation, primary_key_check
+from strataload.operators.quality import ConstraintViolation, primary_key_check, require_none
 from strataload.sources.csv import read_sales_csv, stage_sales, typed_sales, write_sales_csv
 from strataload.sources.schemas import CASH_COLUMNS
 from strataload.sources.warehouse import MissingTable, Warehouse
@@ -110,22 +111,78 @@ def test_table_life(small, frame):
     assert small.drop_if_exists("lab.person") and not small.drop_if_exists("lab.person")
 
 
-def test_appends_leave_earlier_folders_and_compact_folds_them(small, frame):
-    for i in range(5):
-        small.append("lab.person", frame(SCHEMA, (i, "x")))
-    assert len(small.live_paths("lab.person")) == 5
-    small.compact("lab.person")
-    assert len(small.live_paths("lab.person")) == 1 and small.count("lab.person") == 5
+KEYED = T.StructType([*SCHEMA.fields, T.StructField("note", T.StringType())])
 
 
-def test_two_writers_of_one_number_keep_each_others_rows(spark, tmp_path, frame, monkeypatch):
-    one, two = (Warehouse(spark, str(tmp_path / "w"), {"lab.person": SCHEMA}) for _ in range(2))
-    monkeypatch.setattr(Warehouse, "_matching", lambda self, pattern, f=Warehouse._matching: [] if pattern.endswith("*-*") else f(self, pattern))
-    one.append("lab.person", frame(SCHEMA, (1, "Bob")))
-    two.append("lab.person", frame(SCHEMA, (2, "Eve")))
+@pytest.fixture
+def keyed(spark, tmp_path):
+    return Warehouse(spark, str(tmp_path / "w"), {"lab.person": KEYED}, {"lab.person": ("id", "name")}, buckets=8)
+
+
+def files(warehouse, table="lab.person"):
+    return {f for f in warehouse.read(table).inputFiles()}
+
+
+def test_merge_writes_only_the_folders_of_changed_keys(keyed, frame):
+    people = [(i, f"person {i}", "old") for i in range(40)]
+    keyed.append("lab.person", frame(KEYED, *people))
+    before = files(keyed)
+    assert len(before) == 8
+    keyed.merge("lab.person", frame(KEYED, (7, "person 7", "new"), (50, " person 7 ", "second")))
+    after = files(keyed)
+    assert len(before - after) == len(after - before) == 1
+    want = [(i, f"person {i}", "new" if i == 7 else "old") for i in range(40)] + [(50, " person 7 ", "second")]
+    assert values(keyed.read("lab.person")) == sorted(want, key=str)
+    assert values(keyed.read_key("lab.person", "person 7")) == [(50, " person 7 ", "second"), (7, "person 7", "new")]
+
+
+def test_merge_moves_a_row_whose_key_changed(keyed, frame):
+    keyed.append("lab.person", frame(KEYED, *[(i, f"person {i}", None) for i in range(20)]))
+    keyed.merge("lab.person", frame(KEYED, (3, "renamed", None), (4, None, None)))
+    rows = {r[0]: r[1] for r in keyed.read("lab.person").collect()}
+    assert len(rows) == keyed.count("lab.person") == 20 and (rows[3], rows[4], rows[5]) == ("renamed", None, "person 5")
+
+
+def test_merge_deletes_and_leaves_no_empty_folder_behind(keyed, frame):
+    keyed.append("lab.person", frame(KEYED, (1, "a", None), (2, "b", None)))
+    keyed.merge("lab.person", frame(KEYED), deleted=frame("id long", (1,)))
+    assert values(keyed.read("lab.person")) == [(2, "b", None)] and len(files(keyed)) == 1
+    before = files(keyed)
+    keyed.merge("lab.person", frame(KEYED))
+    assert files(keyed) == before
+
+
+def test_failed_merge_leaves_the_table_as_it_was(keyed, frame):
+    keyed.append("lab.person", frame(KEYED, (1, "Bob", "x")))
+    before = files(keyed)
+    rule = require_none(lambda df: df.where("note = 'bad'"), "no bad notes")
     with pytest.raises(ConstraintViolation):
-        two.append("lab.person", frame(SCHEMA, (1, "Twin")), [primary_key_check("id")])
-    assert values(one.read("lab.person")) == [(1, "Bob"), (2, "Eve")]
+        keyed.merge("lab.person", frame(KEYED, (1, "Bob", "bad")), [rule])
+    assert files(keyed) == before and values(keyed.read("lab.person")) == [(1, "Bob", "x")]
+
+
+def test_another_number_of_folders_is_refused(spark, keyed, frame):
+    keyed.append("lab.person", frame(KEYED, (1, "Bob", "x")))
+    other = Warehouse(spark, keyed.root, keyed.schemas, keyed.keys, buckets=4)
+    other.append("lab.person", frame(KEYED, (2, "Eve", "y")))
+    with pytest.raises(Exception, match="(?i)conflicting"):
+        other.read("lab.person").collect()
+
+
+def test_batches_are_read_after_a_mark(warehouse, sales):
+    table = "sa_cash_sales.src_cash_sales"
+    assert warehouse.last_batch(table) == 0
+    for batch in (1, 2, 3):
+        warehouse.append_batch(table, typed_sales(sales("cash", {"payment_id": f"p{batch}"})), batch)
+    assert warehouse.last_batch(table) == 3
+    later = warehouse.read_after(table, 1)
+    assert {r["payment_id"] for r in later.collect()} == {"p2", "p3"} and later.columns == CASH_COLUMNS
+    plan = later._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(load_batch" in plan and "load_batch#" in plan
+    kept = files(warehouse, table)
+    warehouse.rewrite_batches(table, F.col("payment_id") == "p2", lambda rows: rows.withColumn("segment", F.lit("new")))
+    assert len(kept - files(warehouse, table)) == 1
+    assert {r["payment_id"]: r["segment"] for r in warehouse.read(table).collect()} == {"p1": "Consumer", "p2": "new", "p3": "Consumer"}
 
 
 def test_failed_check_leaves_the_table_as_it_was(small, frame):
@@ -135,14 +192,6 @@ def test_failed_check_leaves_the_table_as_it_was(small, frame):
     assert values(small.read("lab.person")) == [(1, "Bob")]
 
 
-def test_unpublished_folder_is_not_read(small, frame):
-    small.append("lab.person", frame(SCHEMA, (1, "Bob")))
-    frame(SCHEMA, (2, "half")).write.parquet(f"{small.folder('lab.person')}/00000002-full")
-    assert values(small.read("lab.person")) == [(1, "Bob")]
-    small.append("lab.person", frame(SCHEMA, (3, "Eve")))
-    assert values(small.read("lab.person")) == [(1, "Bob"), (3, "Eve")]
-
-
 def test_column_added_later_reads_as_null_in_older_files(spark, tmp_path, frame):
     root = str(tmp_path / "w")
     Warehouse(spark, root, {"t.x": SCHEMA}).append("t.x", frame(SCHEMA, (1, "a")))
