@@ -14,10 +14,8 @@ committed files. All numbers are little-endian.
   int64 doc id and uint8 null flag per document, uint32 run start and uint32 id count per document
   uint32 left and right per rule, uint32 ids per rule, uint32 symbols
 
-Encoding goes by chunks (an optional space and a run of other characters, or white space), because the
-tokenizer splits a text at least there: every distinct chunk of a batch is encoded once by the library, and
-the texts are put together from the chunks. Texts with unusual white space or with the name of a special
-token are encoded whole.
+Every distinct piece (a word with the space before it, and the like) is encoded once by the library, and the texts
+are put together from the pieces. Texts longer than GROUP, or with the name of a special token, are encoded whole.
 
 Defined results: NULL and empty texts are the end id alone; NULL ids sort first; rows with equal ids are
 ordered by text.
@@ -25,77 +23,195 @@ ordered by text.
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strataload.llm.hashing import _powers, mix
 from strataload.llm.tables import texts
 
 BLOCK_TOKENS = 1 << 20
 MIN_PAIR = 24
 BINS = 20
-CHUNKS_KEPT, CHUNK_LENGTH = 200_000, 48
+KEPT = 1_000_000  # pieces remembered by a worker: some 50 MB
+GROUP = 1 << 21  # characters encoded at once
+LETTER, NUMBER, OTHER, SPACE, UNKNOWN = range(5)
+END = np.uint32(0xFFFFFFFF)
 MAGIC = b"RPG1"
 BLOCKS = "shard int, block int, n_tokens long, payload binary"
 
-_CHUNK = re.compile(r" ?[^ \n\t\r]+|[ \n\t\r]+(?![^ \n\t\r])|[ \n\t\r]+")
-_UNUSUAL = re.compile(r"[^\S \n\t\r]|[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0᠎​⁠﻿]|<\|")
 
+class _Hasher:
+    """A polynomial hash of every piece from running sums over its code points."""
 
-class ChunkEncoder:
-    """Ids of whole texts from the library's ids of their chunks, which it remembers."""
+    def __init__(self, base: int) -> None:
+        self.base = base | 1
+        self.up = self.down = _powers(1, 1)
+
+    def __call__(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(self.up) < len(values):
+            self.up = _powers(self.base, len(values))
+            self.down = _powers(pow(self.base, -1, 1 << 64), len(values))
+        sums = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * self.up[: len(values)], out=sums[1:], dtype=np.uint64)
+        return mix((sums[ends] - sums[starts]) * self.down[starts])
+
+
+class PieceEncoder:
+    """Ids of whole texts from the library's ids of their pieces, which it remembers.
+
+    The tokenizer first splits a text into pieces: a word, a number or a run of other characters, each with a space
+    before it, the endings after an apostrophe, and white space. That depends on the kinds of neighbouring characters
+    alone, so it is done in numpy for a group of texts; of what kind a character is, the library is asked once. Pieces
+    are hashed, and each distinct one is looked up once. A second hash stands for the content: where it disagrees with
+    the first, the group's texts are encoded whole. At most KEPT pieces are remembered.
+    """
 
     def __init__(self, path: str) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
-        if self.library.normalizer is not None:
-            raise ValueError("chunks are only independent without a normaliser")
         self.model = self.library.model
         self.split = self.library.pre_tokenizer.pre_tokenize_str
-        self.chunks: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
-
-    def _chunk(self, chunk: str) -> list[int]:
-        # The library's own two steps; an empty text aside, a chunk has no special token in it.
-        ids: list[int] = []
-        for piece, _ in self.split(chunk):
-            known = self.pieces.get(piece)
-            if known is None:
-                known = [token.id for token in self.model.tokenize(piece)]
-                if len(self.pieces) >= CHUNKS_KEPT:
-                    self.pieces.clear()
-                if len(piece) <= CHUNK_LENGTH:
-                    self.pieces[piece] = known
-            ids += known
-        if len(chunk) <= CHUNK_LENGTH:
-            if len(self.chunks) >= CHUNKS_KEPT:
-                self.chunks.clear()
-            self.chunks[chunk] = ids
-        return ids
+        # Text that holds a special token's name is encoded whole, and so is every text if the split is another one.
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        probe = [piece for piece, _ in self.split("a b1 ?'s  x")]
+        self.by_pieces = (
+            self.library.normalizer is None
+            and isinstance(self.library.pre_tokenizer, ByteLevel)
+            and probe == ["a", "Ġb", "1", "Ġ?'", "s", "Ġ", "Ġx"]
+        )
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        spelling = {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+        self.letters = "".join(spelling[b] for b in range(256))
+        self.kinds = np.full(0x110000, UNKNOWN, dtype=np.uint8)
+        self.hashers = _Hasher(0x9E3779B97F4A7C15), _Hasher(0xC2B2AE3D27D4EB4F)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = self.proofs = np.zeros(0, dtype=np.uint64)
+        self.starts = self.lengths = np.zeros(0, dtype=np.int64)
+        self.flat = np.zeros(0, dtype=np.int32)
+
+    def _kinds_of(self, points: np.ndarray) -> np.ndarray:
+        found = self.kinds[points]
+        for point in np.unique(points[found == UNKNOWN]).tolist():
+            kind = SPACE
+            for with_, name in (("a", LETTER), ("1", NUMBER), ("!", OTHER)):
+                if len(self.split(with_ + chr(point))) == 1:
+                    kind = name
+            self.kinds[point] = kind
+        return self.kinds[points]
+
+    def piece_starts(self, points: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where the pieces of texts start that stand one behind the other; ``first`` marks the texts' starts."""
+        kind = self._kinds_of(points)
+        edge = first.copy()
+        edge[1:] |= kind[1:] != kind[:-1]
+        white = kind == SPACE
+        words = np.flatnonzero(~white[1:] & white[:-1] & ~first[1:]) + 1
+        # The last white character goes with what follows if it is a space, and is a piece of its own otherwise.
+        edge[words - 1] = True
+        edge[words[points[words - 1] == 32]] = False
+        # After an apostrophe that starts a piece: 's 't 'm 'd 're 've 'll
+        n = len(points)
+        quotes = np.flatnonzero((points == 39) & edge)
+        after = np.append(points, [0, 0, 0])
+        foreign = np.append(first, [True, True, True])
+        one, two = after[quotes + 1], after[quotes + 2]
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        pairs = [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
+        long_ = np.logical_or.reduce([(one == a) & (two == b) for a, b in pairs]) & ~foreign[quotes + 2]
+        for where, size in ((short, 2), (long_, 3)):
+            at = quotes[where & ~foreign[quotes + 1]]
+            edge[at + 1] = False
+            ends = at + size
+            edge[ends[ends < n]] = True
+        return np.flatnonzero(edge)
+
+    def _learn(self, hashes: np.ndarray, proofs: np.ndarray, pieces: list[str]) -> None:
+        # The library spells bytes as letters; all pieces are spelt at once, with a byte between them that few hold.
+        spelt = "\0".join(pieces).encode().decode("latin-1").translate(self.letters).split(self.letters[0])
+        if len(spelt) != len(pieces):
+            spelt = [piece.encode().decode("latin-1").translate(self.letters) for piece in pieces]
+        tokenize = self.model.tokenize
+        found = [[token.id for token in tokenize(piece)] for piece in spelt]
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
+        hashes = np.concatenate((self.hashes, hashes))
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.proofs = np.concatenate((self.proofs, proofs))[order]
+        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))[order]
+        self.lengths = np.concatenate((self.lengths, lengths))[order]
+        self.flat = np.concatenate((self.flat, flat))
+
+    def _whole(self, body: str, end: int) -> np.ndarray:
+        return np.array([*self.library.encode(body, add_special_tokens=False).ids, end], dtype=np.int32)
+
+    def _together(self, bodies: list[str], end: int) -> list[np.ndarray]:
+        """The ids of each text of a group."""
+        joined = "".join(bodies)
+        points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+        sizes = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies))
+        text_ends = np.cumsum(sizes)
+        first = np.zeros(len(points), dtype=bool)
+        first[(text_ends - sizes)[sizes > 0]] = True
+        starts = self.piece_starts(points, first)
+        ends = np.append(starts[1:], len(points)) if len(starts) else starts
+        values = mix(points.astype(np.uint64) + np.uint64(1))
+        hashes, proofs = (hasher(values, starts, ends) for hasher in self.hashers)
+        kinds, sample, kind = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > KEPT:
+            self._forget()
+        missing = np.ones(len(kinds), dtype=bool)
+        if len(self.hashes):
+            missing = self.hashes[np.minimum(np.searchsorted(self.hashes, kinds), len(self.hashes) - 1)] != kinds
+        if missing.any():
+            where = sample[missing]
+            pieces = [joined[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
+            self._learn(kinds[missing], proofs[where], pieces)
+        number = np.searchsorted(self.hashes, kinds)[kind]
+        if (self.proofs[number] != proofs).any():
+            return [self._whole(body, end) for body in bodies]
+        lengths = self.lengths[number]
+        ids = self.flat[spread(self.starts[number], lengths)]
+        until = np.concatenate(([0], np.cumsum(lengths)))[np.searchsorted(starts, text_ends)]
+        return np.split(np.insert(ids, until, end), (until + np.arange(1, len(until) + 1))[:-1])
 
     def encode(self, bodies: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end ids, and the number of ids of each text."""
-        parts: list[np.ndarray] = []
-        known = self.chunks
-        for body in bodies:
-            if _UNUSUAL.search(body):
-                ids = list(self.library.encode(body, add_special_tokens=False).ids)
-            else:
-                ids = []
-                for c in _CHUNK.findall(body):
-                    ids += known.get(c) or self._chunk(c)
-            ids.append(end)
-            parts.append(np.array(ids, dtype=np.int32))
-        counts = np.array([len(p) for p in parts], dtype=np.int64)
-        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32), counts
+        parts: dict[int, np.ndarray] = {}
+        group: list[int] = []
+        size = 0
+
+        def finish() -> None:
+            parts.update(zip(group, self._together([bodies[i] for i in group], end), strict=True))
+            group.clear()
+
+        for i, body in enumerate(bodies):
+            if not self.by_pieces or len(body) > GROUP or any(name in body for name in self.special):
+                parts[i] = self._whole(body, end)
+                continue
+            group.append(i)
+            size += len(body)
+            if size > GROUP:
+                finish()
+                size = 0
+        if group:
+            finish()
+        ordered = [parts[i] for i in range(len(bodies))]
+        counts = np.fromiter(map(len, ordered), dtype=np.int64, count=len(ordered))
+        return np.concatenate(ordered) if ordered else np.zeros(0, dtype=np.int32), counts
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -104,53 +220,83 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
 
 
+def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The bin in which a pair is counted; pairs with an end share one that stays empty."""
+    mixed = left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0xC2B2AE3D)
+    out = (mixed >> np.uint32(32 - BINS)).astype(np.int32)
+    out[(left == END) | (right == END)] = 1 << BINS
+    return out
+
+
+def _chosen(places: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which places are replaced: of neighbours the one of the higher rank, in a run of one pair every second."""
+    beside = places[1:] == places[:-1] + 1
+    index = np.arange(len(places))
+    run = np.append(False, beside & (rank[1:] == rank[:-1]) & (rank[1:] > 0))
+    rank = np.where((index - np.maximum.accumulate(np.where(run, 0, index))) & 1, 0, rank)
+    before = np.append(0, np.where(beside, rank[:-1], 0))
+    after = np.append(np.where(beside, rank[1:], 0), 0)
+    return (rank > 0) & (rank > before) & (rank >= after)
+
+
 def grammar(ids: np.ndarray, last: np.ndarray, first_new: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, left, right) of ids; ``last`` marks the end ids, which stay."""
-    seq, stop = ids.astype(np.int64), last.copy()
+    """(symbols, left, right) of ids; ``last`` marks the end ids, which stay.
+
+    Pairs are counted once, in bins. Each round then takes the pairs beside a replaced place out of their bins and
+    puts the new ones in. Bins only choose which places are looked at: their pairs are counted exactly.
+    """
+    seq = ids.astype(np.uint32)
+    seq[last] = END
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     symbol = first_new
     threshold = None
+    slots = _slots(seq[:-1], seq[1:])
+    counts = np.bincount(slots, minlength=(1 << BINS) + 1)
     while len(seq) > 1:
-        pair = (seq[:-1] << 32) | seq[1:]
-        slots = (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BINS)
-        open_ = ~(stop[:-1] | stop[1:])
-        counts = np.bincount(slots[open_].astype(np.int64), minlength=1 << BINS)
+        counts[-1] = 0
         most = int(counts.max(initial=0))
         threshold = min(most // 2, threshold // 2) if threshold else most // 2
         threshold = max(threshold, MIN_PAIR)
         if most < MIN_PAIR:
             break
-        places = np.flatnonzero((counts >= threshold)[slots] & open_)
-        found, inverse, times = np.unique(pair[places], return_inverse=True, return_counts=True)
+        places = np.flatnonzero(np.take(counts >= threshold, slots.astype(np.intp)))
+        pairs = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]
+        found, inverse, times = np.unique(pairs, return_inverse=True, return_counts=True)
         good = times >= threshold
-        if good.any():
-            # Rank by number of places, then by pair: a total order decides between overlapping places.
-            rank = np.zeros(len(found), dtype=np.int64)
-            rank[np.lexsort((found, times))] = np.arange(1, len(found) + 1)
-            score = np.zeros(len(seq) + 1, dtype=np.int64)
-            score[places + 1] = np.where(good, rank, 0)[inverse]
-            # In a run of one symbol every second place counts.
-            same = np.flatnonzero((score[1:] == score[:-1]) & (score[1:] > 0))
-            for at in same:
-                if score[at] and score[at] == score[at + 1]:
-                    score[at + 1] = 0
-            mine = score[1:]
-            chosen = (mine > 0) & (mine > score[:-1]) & (mine >= np.append(score[2:], 0))
-            at = np.flatnonzero(chosen[:-1])
-            names = np.cumsum(good) - 1 + symbol
-            place_of = np.searchsorted(places, at)
-            seq[at] = names[inverse[place_of]]
-            keep = np.ones(len(seq), dtype=bool)
-            keep[at + 1] = False
-            seq, stop = seq[keep], stop[keep]
-            left.append(found[good] >> 32)
-            right.append(found[good] & 0xFFFFFFFF)
-            symbol += int(good.sum())
-        elif threshold == MIN_PAIR:
-            break
+        if not good.any():
+            if threshold == MIN_PAIR:
+                break
+            continue
+        # Rank by number of places, then by pair: a total order decides between overlapping places.
+        rank = np.zeros(len(found), dtype=np.int64)
+        rank[np.lexsort((found, times))] = np.arange(1, len(found) + 1)
+        mine = _chosen(places, np.where(good, rank, 0)[inverse])
+        at = places[mine]
+        # The pairs at, before and after a place; two places can share the one between them.
+        behind = at + 1
+        behind = behind[np.append(behind[:-1] != at[1:] - 1, True)]
+        near = np.concatenate((at - 1, at, behind))
+        np.subtract.at(counts, slots[near[(near >= 0) & (near < len(slots))]], 1)
+        seq[at] = (np.cumsum(good) - 1 + symbol)[inverse[mine]]
+        keep = np.ones(len(seq), dtype=bool)
+        keep[at + 1] = False
+        seq = seq[keep]
+        slots = slots[keep[:-1]][: len(seq) - 1]
+        new = at - np.arange(len(at))
+        near = np.concatenate((new, (new - 1)[np.append(True, new[1:] - 1 != new[:-1])]))
+        near = near[(near >= 0) & (near < len(slots))]
+        slots[near] = _slots(seq[near], seq[near + 1])
+        np.add.at(counts, slots[near], 1)
+        left.append((found[good] >> np.uint64(32)).astype(np.int64))
+        right.append((found[good] & np.uint64(0xFFFFFFFF)).astype(np.int64))
+        symbol += int(good.sum())
     none = np.zeros(0, dtype=np.int64)
-    return seq, np.concatenate(left) if left else none, np.concatenate(right) if right else none
+    symbols = seq.astype(np.int64)
+    symbols[seq == END] = ids[last]
+    return symbols, np.concatenate(left) if left else none, np.concatenate(right) if right else none
 
 
 def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, end: int) -> bytes:
@@ -220,7 +366,7 @@ class Block:
         return self.expand(self.symbols[self.runs[i] : stop])
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def write_blocks(docs: DataFrame, tokenizer_path: str, end: int, path: str) -> None:
@@ -230,7 +376,7 @@ def write_blocks(docs: DataFrame, tokenizer_path: str, end: int, path: str) -> N
         import pyarrow as pa
 
         if tokenizer_path not in _ENCODERS:
-            _ENCODERS[tokenizer_path] = ChunkEncoder(tokenizer_path)
+            _ENCODERS[tokenizer_path] = PieceEncoder(tokenizer_path)
         encoder = _ENCODERS[tokenizer_path]
         block, shard = 0, 0
         held_ids: list[int | None] = []

@@ -142,7 +142,7 @@ def test_signatures_meet_as_often_as_promised():
 
 def test_token_store(spark, docs, empty, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoder = token_store.ChunkEncoder(path)
+    encoder = token_store.PieceEncoder(path)
     token_store.write_blocks(docs, path, 2, str(tmp_path / "blocks"))
     rows = sorted(token_store.read_blocks(spark, str(tmp_path / "blocks")).collect(), key=lambda r: r["start"])
     place = 0
