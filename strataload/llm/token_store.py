@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -41,6 +42,7 @@ KEPT = 1_000_000  # pieces remembered by a worker: some 50 MB
 GROUP = 1 << 21  # characters encoded at once
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = range(5)
 END = np.uint32(0xFFFFFFFF)
+_MIXED = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
 MAGIC = b"RPG1"
 BLOCKS = "shard int, block int, n_tokens long, payload binary"
 
@@ -103,14 +105,17 @@ class PieceEncoder:
         self.flat = np.zeros(0, dtype=np.int32)
 
     def _kinds_of(self, points: np.ndarray) -> np.ndarray:
-        found = self.kinds[points]
-        for point in np.unique(points[found == UNKNOWN]).tolist():
+        found = np.take(self.kinds, points)
+        unknown = points[found == UNKNOWN]
+        if not len(unknown):
+            return found
+        for point in np.unique(unknown).tolist():
             kind = SPACE
             for with_, name in (("a", LETTER), ("1", NUMBER), ("!", OTHER)):
                 if len(self.split(with_ + chr(point))) == 1:
                     kind = name
             self.kinds[point] = kind
-        return self.kinds[points]
+        return np.take(self.kinds, points)
 
     def piece_starts(self, points: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Where the pieces of texts start that stand one behind the other; ``first`` marks the texts' starts."""
@@ -168,7 +173,10 @@ class PieceEncoder:
         first[(text_ends - sizes)[sizes > 0]] = True
         starts = self.piece_starts(points, first)
         ends = np.append(starts[1:], len(points)) if len(starts) else starts
-        values = mix(points.astype(np.uint64) + np.uint64(1))
+        if int(points.max(initial=0)) < len(_MIXED):
+            values = np.take(_MIXED, points)
+        else:
+            values = mix(points.astype(np.uint64) + np.uint64(1))
         hashes, proofs = (hasher(values, starts, ends) for hasher in self.hashers)
         kinds, sample, kind = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) > KEPT:
@@ -241,62 +249,102 @@ def _chosen(places: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return (rank > 0) & (rank > before) & (rank >= after)
 
 
+@dataclass
+class _Round:
+    """What one round did: the places replaced, the pairs that became symbols, and places that are left over."""
+
+    at: np.ndarray
+    pairs: np.ndarray
+    left_over: np.ndarray
+
+
+def _replace(seq: np.ndarray, places: np.ndarray, threshold: int, symbol: int) -> _Round | None:
+    """Name the pairs that stand at ``threshold`` or more of the places; names are written to their left halves."""
+    pairs = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]
+    found, inverse, times = np.unique(pairs, return_inverse=True, return_counts=True)
+    good = times >= threshold
+    if not good.any():
+        return None
+    # Rank by number of places, then by pair: a total order decides between overlapping places.
+    rank = np.zeros(len(found), dtype=np.int64)
+    rank[np.lexsort((found, times))] = np.arange(1, len(found) + 1)
+    rank = np.where(good, rank, 0)[inverse]
+    mine = _chosen(places, rank)
+    at = places[mine]
+    seq[at] = (np.cumsum(good) - 1 + symbol)[inverse[mine]]
+    return _Round(at, found[good], places[(rank > 0) & ~mine])
+
+
+def _new_pairs(at: np.ndarray, n: int) -> np.ndarray:
+    """Places of the pairs that the replaced places now make with their neighbours, among ``n`` symbols, ascending."""
+    new = at - np.arange(len(at))
+    near = np.empty(2 * len(new), dtype=np.int64)
+    near[0::2], near[1::2] = new - 1, new
+    return near[(near >= 0) & (near < n - 1) & np.append(True, near[1:] != near[:-1])]
+
+
 def grammar(ids: np.ndarray, last: np.ndarray, first_new: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, left, right) of ids; ``last`` marks the end ids, which stay.
 
-    Pairs are counted once, in bins. Each round then takes the pairs beside a replaced place out of their bins and
-    puts the new ones in. Bins only choose which places are looked at: their pairs are counted exactly.
+    Pairs are counted once, in bins; each round takes the pairs beside a replaced place out of their bins and puts the
+    new ones in. Bins only choose which places are looked at: their pairs are counted exactly. Once the threshold has
+    reached its end, the places left over and the new pairs are all that can still qualify, because a pair of older
+    symbols never gains a place.
     """
     seq = ids.astype(np.uint32)
     seq[last] = END
-    left: list[np.ndarray] = []
-    right: list[np.ndarray] = []
+    rules: list[np.ndarray] = []
     symbol = first_new
-    threshold = None
     slots = _slots(seq[:-1], seq[1:])
     counts = np.bincount(slots, minlength=(1 << BINS) + 1)
+    counts[-1] = 0
+    threshold = max(int(counts.max(initial=0)) // 2, MIN_PAIR)
+    places = np.zeros(0, dtype=np.int64)
     while len(seq) > 1:
-        counts[-1] = 0
-        most = int(counts.max(initial=0))
-        threshold = min(most // 2, threshold // 2) if threshold else most // 2
-        threshold = max(threshold, MIN_PAIR)
-        if most < MIN_PAIR:
-            break
         places = np.flatnonzero(np.take(counts >= threshold, slots.astype(np.intp)))
-        pairs = (seq[places].astype(np.uint64) << np.uint64(32)) | seq[places + 1]
-        found, inverse, times = np.unique(pairs, return_inverse=True, return_counts=True)
-        good = times >= threshold
-        if not good.any():
-            if threshold == MIN_PAIR:
-                break
-            continue
-        # Rank by number of places, then by pair: a total order decides between overlapping places.
-        rank = np.zeros(len(found), dtype=np.int64)
-        rank[np.lexsort((found, times))] = np.arange(1, len(found) + 1)
-        mine = _chosen(places, np.where(good, rank, 0)[inverse])
-        at = places[mine]
-        # The pairs at, before and after a place; two places can share the one between them.
-        behind = at + 1
-        behind = behind[np.append(behind[:-1] != at[1:] - 1, True)]
-        near = np.concatenate((at - 1, at, behind))
-        np.subtract.at(counts, slots[near[(near >= 0) & (near < len(slots))]], 1)
-        seq[at] = (np.cumsum(good) - 1 + symbol)[inverse[mine]]
+        if threshold == MIN_PAIR:
+            break
+        done = _replace(seq, places, threshold, symbol)
+        if done is not None:
+            at = done.at
+            # The pairs at, before and after a place; two places can share the one between them.
+            behind = at + 1
+            behind = behind[np.append(behind[:-1] != at[1:] - 1, True)]
+            near = np.concatenate((at - 1, at, behind))
+            np.subtract.at(counts, slots[near[(near >= 0) & (near < len(slots))]], 1)
+            keep = np.ones(len(seq), dtype=bool)
+            keep[at + 1] = False
+            seq = seq[keep]
+            slots = slots[keep[:-1]][: len(seq) - 1]
+            near = _new_pairs(at, len(seq))
+            slots[near] = _slots(seq[near], seq[near + 1])
+            np.add.at(counts, slots[near], 1)
+            counts[-1] = 0
+            rules.append(done.pairs)
+            symbol += len(done.pairs)
+        threshold = max(min(int(counts.max(initial=0)) // 2, threshold // 2), MIN_PAIR)
+    while len(places):
+        done = _replace(seq, places, MIN_PAIR, symbol)
+        if done is None:
+            break
+        at, rest = done.at, done.left_over
         keep = np.ones(len(seq), dtype=bool)
         keep[at + 1] = False
+        # A place beside a replaced one has become another pair, which is among the new ones.
+        rest = rest[keep[rest]]
+        beside = np.zeros(len(seq), dtype=bool)
+        beside[at[at > 0] - 1] = True
+        rest = rest[~beside[rest]]
         seq = seq[keep]
-        slots = slots[keep[:-1]][: len(seq) - 1]
-        new = at - np.arange(len(at))
-        near = np.concatenate((new, (new - 1)[np.append(True, new[1:] - 1 != new[:-1])]))
-        near = near[(near >= 0) & (near < len(slots))]
-        slots[near] = _slots(seq[near], seq[near + 1])
-        np.add.at(counts, slots[near], 1)
-        left.append((found[good] >> np.uint64(32)).astype(np.int64))
-        right.append((found[good] & np.uint64(0xFFFFFFFF)).astype(np.int64))
-        symbol += int(good.sum())
-    none = np.zeros(0, dtype=np.int64)
+        near = _new_pairs(at, len(seq))
+        near = near[(seq[near] != END) & (seq[near + 1] != END)]
+        places = np.sort(np.concatenate((rest - np.searchsorted(at, rest), near)))
+        rules.append(done.pairs)
+        symbol += len(done.pairs)
     symbols = seq.astype(np.int64)
     symbols[seq == END] = ids[last]
-    return symbols, np.concatenate(left) if left else none, np.concatenate(right) if right else none
+    pairs = np.concatenate(rules) if rules else np.zeros(0, dtype=np.uint64)
+    return symbols, (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, end: int) -> bytes:
