@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from strataload.llm.hashing import _powers, mix
 from strataload.llm.tables import texts
+from strataload.session import materialize
 
 BLOCK_TOKENS = 1 << 20
 MIN_PAIR = 24
@@ -152,12 +153,12 @@ class PieceEncoder:
         found = [[token.id for token in tokenize(piece)] for piece in spelt]
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
-        hashes = np.concatenate((self.hashes, hashes))
-        order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[order]
-        self.proofs = np.concatenate((self.proofs, proofs))[order]
-        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))[order]
-        self.lengths = np.concatenate((self.lengths, lengths))[order]
+        # Both sides are in ascending order of their hashes.
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.proofs = np.insert(self.proofs, at, proofs)
+        self.starts = np.insert(self.starts, at, len(self.flat) + np.cumsum(lengths) - lengths)
+        self.lengths = np.insert(self.lengths, at, lengths)
         self.flat = np.concatenate((self.flat, flat))
 
     def _whole(self, body: str, end: int) -> np.ndarray:
@@ -474,7 +475,9 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     starts = sizes.select(
         "shard", "block", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("block_start")
     ).join(offsets, "shard")
+    # Written first, so that Spark knows how small it is, and blocks are not shuffled as long as it can be broadcast.
     starts = starts.select("shard", "block", (F.col("block_start") + F.col("shard_start")).alias("start"))
+    starts = materialize(starts, "block-starts")
 
     def run(batches) -> Iterator:
         import pyarrow as pa
