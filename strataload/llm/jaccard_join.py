@@ -24,7 +24,8 @@ in. The pairs of large groups exist only inside the task that decides them; it r
 documents it is linked to and one link that keeps the set connected.
 Equal sets are one node from the start: each task sends a set once, and families of equal documents of any
 size cost one row per task. Signatures travel packed, by ranges of their hashes; ranges grow in number with
-the input. The bitmap that tells a scan which sets are wanted has a fixed size; when it fills, more sets are
+the input, and a set's name goes to as many of them as it has signatures at most. With it go its size, in two
+bytes, and ``need``, in one, which is rounded down where it is large: that only adds candidates. The bitmap that tells a scan which sets are wanted has a fixed size; when it fills, more sets are
 shuffled than needed, and results stay the same.
 
 Defined results: documents without words have an empty set, n_shingles 0, and form their own component each;
@@ -79,6 +80,38 @@ def parts(band):
     return k + 1 + np.maximum(8, (k + 1) // 2)
 
 
+def _need_steps() -> np.ndarray:
+    steps = list(range(160))
+    while len(steps) < 256:
+        steps.append(steps[-1] * 27 // 25)
+    return np.array(steps, dtype=np.int64)
+
+
+NEEDS = _need_steps()
+_PLACES = 512  # sizes told apart within a band
+
+
+def need_code(need: np.ndarray) -> np.ndarray:
+    """A byte per number of meetings; what ``NEEDS`` has for it is that number, or up to 8 % less if it is large."""
+    return (np.searchsorted(NEEDS, np.maximum(need, 0), side="right") - 1).astype("u1")
+
+
+def size_code(size: np.ndarray) -> np.ndarray:
+    """Two bytes per size: its band, and its place in the band."""
+    band = band_of(size)
+    low = np.where(band > 0, ENDS[band - 1], 0)
+    return (band * _PLACES + (size - low - 1) * _PLACES // (ENDS[band] - low)).astype("<u2")
+
+
+def size_range(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest and the largest size of a code."""
+    code = code.astype(np.int64)
+    band, place = code // _PLACES, code % _PLACES
+    low = np.where(band > 0, ENDS[band - 1], 0)
+    width = ENDS[band] - low
+    return low + 1 - (-place * width // _PLACES), low - (-(place + 1) * width // _PLACES)
+
+
 def shingles(words: np.ndarray) -> np.ndarray:
     """The sorted distinct shingle hashes of a text from the hashes of its words."""
     n = len(words)
@@ -175,7 +208,8 @@ def _sign(ranges: int):
             order = np.argsort(mark)
             mark, owner, where = mark[order], owner[order], where[order]
             cuts = np.searchsorted(where, np.arange(ranges + 1))
-            node, size, need = np.array(nodes, "<i8"), np.array(sizes, "<u4"), np.array(needs, "<i4").reshape(-1, 2)
+            node, size = np.array(nodes, "<i8"), size_code(np.array(sizes, dtype=np.int64))
+            need = need_code(np.array(needs, dtype=np.int64)).reshape(-1, 2)
             for low in range(0, ranges, 50):
                 rows = []
                 for k in range(low, min(low + 50, ranges)):
@@ -239,12 +273,12 @@ def _meet(table):
         marks.append(np.frombuffer(row["signatures"], "<u4"))
         who.append(w + 2 * before)
         nodes.append(n)
-        sizes.append(np.frombuffer(row["sizes"], "<u4"))
-        needs.append(np.frombuffer(row["needs"], "<i4"))
+        sizes.append(np.frombuffer(row["sizes"], "<u2"))
+        needs.append(np.frombuffer(row["needs"], "u1"))
         before += len(n)
     number = table.column("range")[0].as_py()
     mark, who = np.concatenate(marks), np.concatenate(who)
-    node, size, need = np.concatenate(nodes), np.concatenate(sizes).astype(np.int64), np.concatenate(needs)
+    node, size, need = np.concatenate(nodes), np.concatenate(sizes), NEEDS[np.concatenate(needs)]
     order = np.argsort(mark, kind="stable")
     mark, who = mark[order], who[order]
     # Most signatures are alone; the rest is small.
@@ -252,7 +286,7 @@ def _meet(table):
     shared = np.concatenate((twin, [False])) | np.concatenate(([False], twin))
     mark, who = mark[shared].astype(np.int64), who[shared]
     key, larger = node[who >> 1], (who & 1).astype(np.int64)
-    band = band_of(size[who >> 1]) + larger
+    band = size[who >> 1].astype(np.int64) // _PLACES + larger
     order = np.lexsort((key, band, mark))
     mark, who, key, larger, band = (x[order] for x in (mark, who, key, larger, band))
     same_group = (mark[1:] == mark[:-1]) & (band[1:] == band[:-1])
@@ -261,7 +295,7 @@ def _meet(table):
     fresh = np.concatenate(([True], (mark[1:] != mark[:-1]) | (band[1:] != band[:-1]))) if len(mark) else np.zeros(0, bool)
     group = np.cumsum(fresh) - 1
     count = np.bincount(group, minlength=1)
-    width, need_of = size[who >> 1], need[who]
+    (least, most), need_of = size_range(size[who >> 1]), need[who]
     inside = count[group] if len(group) else group
     pairs = []
     for step in range(1, SMALL):
@@ -269,7 +303,7 @@ def _meet(table):
         if not len(i):
             break
         j = i + step
-        near = (3 * np.maximum(width[i], width[j]) <= 4 * np.minimum(width[i], width[j])) & (larger[i] * larger[j] == 0)
+        near = (3 * np.maximum(least[i], least[j]) <= 4 * np.minimum(most[i], most[j])) & (larger[i] * larger[j] == 0)
         i, j = i[near], j[near]
         pairs.append(np.stack([band[i], key[i], key[j], np.maximum(need_of[i], need_of[j])]))
     found = np.concatenate(pairs, axis=1) if pairs else np.zeros((4, 0), dtype=np.int64)
