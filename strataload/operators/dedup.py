@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataload.functions.text import fold_null
+from strataload.session import materialize
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -35,6 +36,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] =
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def first_of_repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``first_per_key`` for wide rows whose keys mostly occur once; pass written rows, they are read three times.
+
+    The repeated keys are found on the key columns alone. Only rows with such a key are ranked; all others pass as
+    they are, without a sort or, while the repeated keys are small enough for Spark to broadcast, a shuffle.
+    """
+    names = [f"_again{i}" for i in range(len(keys))]
+    repeated = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys).toDF(*names)
+    repeated = materialize(repeated, "repeated")
+    condition = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
+    again = first_per_key(df.join(repeated, condition, "left_semi"), keys)
+    return df.join(repeated, condition, "left_anti").unionByName(again)
+
+
 def survivor_state(df: DataFrame, key: str, priority: str, attributes: Sequence[str]) -> DataFrame:
     """One (key, priority, attributes…) per key: the lowest priority, then the smallest attributes in their order.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strataload.functions.text import is_set
@@ -90,6 +90,87 @@ def reconcile(left: DataFrame, right: DataFrame, left_label: str, right_label: s
     )
 
 
+def fingerprints(df: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, rows, sums) per hash bucket of the first column: order-free 128-bit sums over whole rows.
+
+    At most ``buckets`` rows leave a task. A NULL counts as a value of its own.
+    """
+    marked = [part for c in df.columns for part in (F.col(c), F.col(c).isNull())]
+    wide = "decimal(38,0)"
+    hashed = df.select(
+        F.pmod(F.xxhash64(F.col(df.columns[0])), F.lit(buckets)).alias("bucket"),
+        *[F.xxhash64(F.lit(seed), *marked).cast(wide).alias(f"h{seed}") for seed in (1, 2)],
+    )
+    return hashed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, buckets: int) -> list[int]:
+    """Buckets whose fingerprints differ, at most ``buckets`` numbers."""
+    both = fingerprints(left, buckets).withColumn("side", F.lit(1)).unionByName(
+        fingerprints(right.toDF(*left.columns), buckets).withColumn("side", F.lit(-1))
+    )
+    balance = [F.sum(F.col(c) * F.col("side")).alias(c) for c in ("n", "h1", "h2")]
+    found = both.groupBy("bucket").agg(*balance).where("n <> 0 or h1 <> 0 or h2 <> 0")
+    return sorted(r["bucket"] for r in found.select("bucket").collect())
+
+
+def reconcile_by_buckets(
+    left: DataFrame, right: DataFrame, left_label: str, right_label: str, buckets: int = 1024
+) -> DataFrame:
+    """The result of ``reconcile``, comparing rows only in buckets of the first column that differ.
+
+    Layers that agree cost one aggregate of ``buckets`` groups per side, and no row is shuffled.
+    """
+    touched = differing_buckets(left, right, buckets)
+    place = F.pmod(F.xxhash64(F.col(left.columns[0])), F.lit(buckets))
+    here = left.where(place.isin(touched) if touched else F.lit(False))
+    there = right.toDF(*left.columns).where(place.isin(touched) if touched else F.lit(False))
+    return reconcile(here, there, left_label, right_label)
+
+
+def rule_violations(df: DataFrame, rules: Mapping[str, tuple[Sequence[Column], Column | None]]) -> DataFrame:
+    """(check_name, key_1, key_2, row_count) of all key values that break a uniqueness rule, from one scan.
+
+    A rule is up to two key expressions and a condition on the rows it holds for. As in a unique index, a NULL key
+    collides with nothing. Every row becomes one narrow row per rule it is subject to.
+    """
+    entries = []
+    for name, (keys, condition) in rules.items():
+        parts = [*[k.cast("string") for k in keys], *[F.lit(None).cast("string")] * (2 - len(keys))]
+        held = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
+        for k in keys:
+            held &= k.isNotNull()
+        entry = F.struct(F.lit(name).alias("check_name"), parts[0].alias("key_1"), parts[1].alias("key_2"))
+        entries.append(F.when(held, entry))
+    subject = df.select(F.inline(F.array_compact(F.array(*entries))))
+    counted = subject.groupBy("check_name", "key_1", "key_2").agg(F.count("*").alias("row_count"))
+    return counted.where("row_count > 1")
+
+
+def checked_while_written(
+    df: DataFrame, id_column: str, rules: Mapping[str, tuple[Sequence[Column], Column | None]], write: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Write ``df`` and report on it: total, unknown-member and business rows, rows without id, broken rules.
+
+    ``write`` writes a frame and gives back what was written. The counts are observed while the rows go by; the rules
+    take one scan of the written rows, whatever their number.
+    """
+    seen = Observation()
+    observed = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(F.col(id_column) == DEFAULT_KEY).alias("default_rows"),
+        F.count_if(F.col(id_column) != DEFAULT_KEY).alias("business_rows"),
+        F.count_if(F.col(id_column).isNull()).alias("rows_without_id"),
+    )
+    written = write(observed)
+    none = F.lit(None).cast("string")
+    counts = F.array(*[F.struct(F.lit(k).alias("check_name"), F.lit(v).cast("long").alias("n")) for k, v in seen.get.items()])
+    rows = df.sparkSession.range(0, 1, 1, 1).select(F.inline(counts))
+    totals = rows.select("check_name", none.alias("key_1"), none.alias("key_2"), F.col("n").alias("row_count"))
+    return totals.unionByName(rule_violations(written, rules))
+
+
 def matching_rows(df: DataFrame, condition: Column, name: str) -> DataFrame:
     """Count of the rows that meet a condition."""
     return df.where(condition).agg(F.count("*").alias(name))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataload.functions.compare import any_changed_folded, any_distinct
@@ -176,6 +177,77 @@ def apply_two_step(
     return closed.unionByName(opened.select(*entity_columns(spec, rules)), allowMissingColumns=True)
 
 
+def rebuild_versions(
+    events: DataFrame, key: str, attributes: Sequence[str], day: str, order: Sequence[str] = ()
+) -> DataFrame:
+    """Version history of every key from its dated states, in whatever order they came.
+
+    Of several states of one day the last by ``order`` counts (then the largest by attributes, so that the result does
+    not depend on arrival). A state equal to the one before opens no version. A version ends the day before the next
+    one starts; the last is active. Versions of a key therefore never overlap and leave no gap.
+    Only rows that differ are sorted: repeated states of one day meet in an aggregate that starts on the map side.
+    """
+    states = events.select(key, day, *order, *attributes).distinct()
+    latest = [F.col(c).desc_nulls_last() for c in [*order, *attributes]]
+    of_day = Window.partitionBy(key, day).orderBy(*latest)
+    last = states.withColumn("_rank", F.row_number().over(of_day)).where("_rank = 1").drop("_rank")
+    by_day = Window.partitionBy(key).orderBy(day)
+    state, first = F.struct(*attributes), F.row_number().over(by_day) == 1
+    starts = last.withColumn("_new", first | ~state.eqNullSafe(F.lag(state).over(by_day))).where("_new")
+    until = F.date_sub(F.lead(day).over(by_day), 1)
+    return starts.select(
+        key,
+        *attributes,
+        F.col(day).alias("start_dt"),
+        F.coalesce(until, F.lit(HIGH_DATE)).alias("end_dt"),
+        F.when(until.isNull(), F.lit("Y")).otherwise(F.lit("N")).alias("is_active"),
+    )
+
+
+def corrected_versions(
+    target: DataFrame, changes: DataFrame, as_of: dt.date, spec: EntitySpec = CUSTOMERS
+) -> DataFrame:
+    """All versions of the changed keys after changes on any day, also a second one on a day or a late one.
+
+    The stored versions of those keys and the changes are the states from which history is built again. A version
+    keeps the id of the stored one that started on its day, and gets the change's new id otherwise.
+    """
+    changed = changes.select(
+        F.trim(spec.key).alias("_key"),
+        *spec.attribute_names,
+        F.lit(as_of).alias("start_dt"),
+        F.lit(1).alias("_turn"),
+        F.col(f"new_{spec.id_column}").alias("_new_id"),
+        "source_system",
+        "source_entity",
+    )
+    keys = changed.select("_key").distinct()
+    stored = business_rows(target, spec.id_column).withColumn("_key", F.trim(spec.key)).join(keys, "_key", "left_semi")
+    events = stored.select("_key", *spec.attribute_names, "start_dt", F.lit(0).alias("_turn")).unionByName(
+        changed.select("_key", *spec.attribute_names, "start_dt", "_turn")
+    )
+    versions = rebuild_versions(events, "_key", spec.attribute_names, "start_dt", ["_turn"])
+    kept = stored.groupBy("_key", "start_dt").agg(
+        F.min_by(F.struct(spec.id_column, "source_system", "source_entity", "source_id", "insert_dt"), spec.id_column).alias("_old")
+    )
+    fresh = changed.groupBy("_key", "start_dt").agg(
+        F.min_by(F.struct("_new_id", "source_system", "source_entity"), "_new_id").alias("_fresh")
+    )
+    joined = versions.join(kept, ["_key", "start_dt"], "left").join(fresh, ["_key", "start_dt"], "left")
+    return joined.select(
+        F.coalesce(f"_old.{spec.id_column}", "_fresh._new_id").alias(spec.id_column),
+        F.col("_key").alias(spec.key),
+        *spec.attribute_names,
+        F.coalesce("_fresh.source_system", "_old.source_system").alias("source_system"),
+        F.coalesce("_fresh.source_entity", "_old.source_entity").alias("source_entity"),
+        F.col("_old.source_id").alias("source_id"),
+        "start_dt",
+        "end_dt",
+        "is_active",
+        F.coalesce("_old.insert_dt", F.lit(as_of)).alias("insert_dt"),
+    )
+
+
 def revert_version(df: DataFrame, unwanted: Column, reopened: Column) -> DataFrame:
     """Delete the unwanted version and make the earlier one current again."""
     return update_where(

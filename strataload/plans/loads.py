@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from strataload.functions.dates import HIGH_DATE, LOW_DATE
 from strataload.functions.text import UNKNOWN
 from strataload.operators import quality, scd2, upsert
-from strataload.operators.dedup import merge_state, survivor_state, union_all
+from strataload.operators.dedup import first_of_repeated, merge_state, survivor_state, union_all
 from strataload.operators.entity import PRIORITY, count_by, entity_default_values, new_entity_rows, ranked_rows
-from strataload.operators.keys import DEFAULT_KEY, has_default_row, single_row
+from strataload.operators.facts import fact_rows
+from strataload.operators.keys import DEFAULT_KEY, business_rows, has_default_row, single_row
 from strataload.operators.rows import conform
 from strataload.plans.load_log import MARK_TABLE, last_mark, run_step, write_marks
 from strataload.plans.specs import (
@@ -32,13 +33,16 @@ from strataload.plans.specs import (
     load_rules,
 )
 from strataload.session import materialize
-from strataload.sources.csv import stage_sales
+from strataload.sources.csv import split_sales, typed_sales
 from strataload.sources.schemas import TABLE_SCHEMAS
 from strataload.sources.warehouse import Check, MissingTable, Warehouse
 
 CASH_TABLE = "sa_cash_sales.src_cash_sales"
 CARD_TABLE = "sa_card_sales.src_card_sales"
 SURVIVOR_TABLE = "bl_cl.customer_survivors"
+FACT_TABLE = "bl_dm.fct_sales_dd"
+REJECTED_TABLE = "bl_cl.rejected_sales"
+STAGING_STEP = "sa.staging"
 
 
 def _side_by_side(
@@ -85,27 +89,51 @@ def add_star_defaults(warehouse: Warehouse, workers: int = 4) -> None:
 
 
 def load_staging(
-    warehouse: Warehouse, raw_cash: DataFrame, raw_card: DataFrame, date_format: str | None = None
-) -> int:
-    """Add the typed, deduplicated rows of both source systems as one batch; returns its number.
+    warehouse: Warehouse,
+    raw_cash: DataFrame,
+    raw_card: DataFrame,
+    date_format: str | None = None,
+    quarantine: bool = False,
+    raise_on_error: bool = True,
+) -> int | None:
+    """Add the typed, deduplicated rows of both source systems as one batch; returns the rows added.
 
-    Both are made before either is added, so a bad file leaves both tables as they were.
+    One logged step: both files are typed before either is added, so a bad file leaves both tables as they were. With
+    ``quarantine``, rows with a value that does not fit are set aside with their reasons, and the others are loaded.
     """
-    typed = {
-        table: materialize(stage_sales(raw, date_format), "staged")
-        for table, raw in ((CASH_TABLE, raw_cash), (CARD_TABLE, raw_card))
-    }
-    batch = 1 + warehouse.last_batch(*typed)
-    for table, rows in typed.items():
-        warehouse.append_batch(table, rows, batch)
-    return batch
+
+    def step() -> int:
+        typed, rejected = {}, []
+        for table, raw in ((CASH_TABLE, raw_cash), (CARD_TABLE, raw_card)):
+            if quarantine:
+                good, bad, counts = split_sales(raw, date_format)
+                if counts["rejected"]:
+                    rejected.append(_rejected_rows(table, bad))
+            else:
+                good = materialize(typed_sales(raw, date_format), "typed")
+            typed[table] = first_of_repeated(good, ["payment_id"])
+        batch = 1 + warehouse.last_batch(*typed)
+        if rejected:
+            warehouse.append(REJECTED_TABLE, union_all(rejected).withColumn("batch", F.lit(batch).cast("long")))
+        affected = 0
+        for table, rows in typed.items():
+            affected += warehouse.append_batch(table, rows, batch)
+        return affected
+
+    return run_step(warehouse, STAGING_STEP, step, raise_on_error)
+
+
+def _rejected_rows(table: str, bad: DataFrame) -> DataFrame:
+    """Rows of either file under one layout: the text of the row as JSON, and its reasons."""
+    text = F.to_json(F.struct(*[c for c in bad.columns if c != "reasons"]))
+    return bad.select(F.lit(table).alias("source_table"), text.alias("row_text"), "reasons")
 
 
 def forget_progress(warehouse: Warehouse) -> None:
     """Let the next loads read all staging batches again, as after a correction of staged rows."""
     warehouse.truncate(SURVIVOR_TABLE)
     if warehouse.exists(MARK_TABLE):
-        write_marks(warehouse, [*[spec.table for spec in ENTITIES.values()], CALENDAR_TABLE], 0)
+        write_marks(warehouse, [*[spec.table for spec in ENTITIES.values()], CALENDAR_TABLE, FACT_TABLE], 0)
 
 
 def _since(warehouse: Warehouse, batch: int) -> tuple[DataFrame, DataFrame]:
@@ -132,14 +160,20 @@ def _from_new_batches(warehouse: Warehouse, table: str, load: Callable[[int], in
 
 
 def load_entity(
-    warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, release: Release = "v3", raise_on_error: bool = False
+    warehouse: Warehouse,
+    spec: EntitySpec,
+    as_of: dt.date,
+    release: Release = "v3",
+    raise_on_error: bool = False,
+    rebuild: bool = False,
 ) -> int | None:
     """Bring one entity up to date with the staging tables; returns the rows affected.
 
-    ``v3`` reads the batches that are new since its last load; the older releases read all.
+    ``v3`` reads the batches that are new since its last load; the older releases read all. ``rebuild`` builds the
+    history of changed keys again, so that a second change on one day, or a late one, gives valid versions.
     """
     if release == "v3":
-        load = _load_versioned if spec.versioned else _load_insert_only
+        load = partial(_load_versioned, rebuild=rebuild) if spec.versioned else _load_insert_only
         step = partial(_from_new_batches, warehouse, spec.table, partial(load, warehouse, spec, as_of))
     elif spec.versioned and release == "v2":
         step = partial(_load_two_step, warehouse, spec, as_of)
@@ -175,7 +209,9 @@ def _load_insert_only(
     return affected
 
 
-def _load_versioned(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, seen: int) -> int:
+def _load_versioned(
+    warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, seen: int, rebuild: bool = False
+) -> int:
     rules = load_rules(spec, "v3")
     target, default = _target(warehouse, spec, rules)
     survivors = _survivors(warehouse, spec, seen, rules)
@@ -186,6 +222,8 @@ def _load_versioned(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, seen
     if affected == 0:
         return 0
     checks = [quality.one_active_check(spec.key, spec.id_column)]
+    if rebuild and counts[scd2.CHANGED]:
+        return _rebuild_history(warehouse, spec, target, changes, as_of, default, checks)
     opened = union_all([scd2.opened_versions(changes, as_of, spec), *default])
     if counts[scd2.CHANGED] == 0:
         warehouse.append(spec.table, opened, checks)
@@ -196,6 +234,28 @@ def _load_versioned(warehouse: Warehouse, spec: EntitySpec, as_of: dt.date, seen
     return affected
 
 
+def _rebuild_history(
+    warehouse: Warehouse,
+    spec: EntitySpec,
+    target: DataFrame,
+    changes: DataFrame,
+    as_of: dt.date,
+    default: list[DataFrame],
+    checks: list[Check],
+) -> int:
+    versions = materialize(
+        conform(scd2.corrected_versions(target, changes, as_of, spec), TABLE_SCHEMAS[spec.table]), "versions"
+    )
+    keys = versions.select(F.col(spec.key).alias("_key")).distinct()
+    stored = target.join(keys, F.trim(spec.key) == F.col("_key"), "left_semi")
+    # A state that no longer differs from the one before it has no version of its own.
+    gone = materialize(stored.select(spec.id_column).join(versions, spec.id_column, "left_anti"), "gone")
+    changed = materialize(union_all([versions.exceptAll(stored.select(*versions.columns)), *default]), "changed")
+    unique = quality.version_check(spec.key, spec.id_column)
+    warehouse.merge(spec.table, changed, [*checks, unique], deleted=gone)
+    return changed.count() + gone.count()
+
+
 def _survivors(warehouse: Warehouse, spec: EntitySpec, seen: int, rules: LoadRules) -> DataFrame:
     """Survivors over all batches of the keys that the new batches mention; their state is kept for the next load."""
     ranked = ranked_rows(spec, *_since(warehouse, seen), rules)
@@ -235,18 +295,24 @@ def _dimension_checks(spec: DimensionSpec) -> list[Check]:
 
 
 def _publish_upserts(
-    warehouse: Warehouse, table: str, id_column: str, upserts: DataFrame, checks: list[Check]
+    warehouse: Warehouse,
+    table: str,
+    id_column: str,
+    upserts: DataFrame,
+    checks: list[Check],
+    gone: DataFrame | None = None,
 ) -> int:
     rows = materialize(upserts, "upserts")
     counts = count_by(rows, upsert.ACTION, [upsert.INSERT, upsert.UPDATE])
-    affected = sum(counts.values())
+    dropped = gone.count() if gone is not None else 0
+    affected = sum(counts.values()) + dropped
     if affected == 0:
         return 0
     quality.primary_key_check(id_column)(rows)
-    if counts[upsert.UPDATE] == 0:
+    if counts[upsert.UPDATE] + dropped == 0:
         warehouse.append(table, rows.drop(upsert.ACTION), checks)
     else:
-        warehouse.merge(table, rows.drop(upsert.ACTION), checks)
+        warehouse.merge(table, rows.drop(upsert.ACTION), checks, deleted=gone if dropped else None)
     return affected
 
 
@@ -257,8 +323,15 @@ def load_dimension(
 
     def step() -> int:
         target = warehouse.read_or_empty(spec.table)
-        upserts = upsert.dimension_upserts(spec, warehouse.read(spec.entity.table), target, as_of)
-        return _publish_upserts(warehouse, spec.table, spec.id_column, upserts, _dimension_checks(spec))
+        entity = warehouse.read(spec.entity.table)
+        upserts = upsert.dimension_upserts(spec, entity, target, as_of)
+        gone = None
+        if spec.entity.versioned:
+            # A rebuilt history can have fewer versions than before.
+            ids = entity.select(F.col(spec.entity.id_column).alias(spec.id_column))
+            kept = business_rows(target, spec.id_column).select(spec.id_column)
+            gone = materialize(kept.join(ids, spec.id_column, "left_anti"), "gone")
+        return _publish_upserts(warehouse, spec.table, spec.id_column, upserts, _dimension_checks(spec), gone)
 
     return run_step(warehouse, spec.table, step, raise_on_error)
 
@@ -276,6 +349,23 @@ def load_calendar(warehouse: Warehouse, raise_on_error: bool = False) -> int | N
     return run_step(warehouse, CALENDAR_TABLE, step, raise_on_error)
 
 
+def load_facts(warehouse: Warehouse, as_of: dt.date, raise_on_error: bool = False) -> int | None:
+    """Add the sales of new staging batches as facts, against the dimensions as they stand.
+
+    Facts lie in one folder per batch. A load that died before it was noted writes the folders of its batches again.
+    """
+
+    def load(seen: int) -> int:
+        cash, card = (warehouse.read_after(t, seen, with_batch=True) for t in (CASH_TABLE, CARD_TABLE))
+        members = {name: warehouse.read(spec.table) for name, spec in DIMENSIONS.items()}
+        rows = materialize(fact_rows(cash, card, members, warehouse.read(CALENDAR_TABLE), as_of), "facts")
+        warehouse.write_batches(FACT_TABLE, rows)
+        return rows.count()
+
+    step = partial(_from_new_batches, warehouse, FACT_TABLE, load)
+    return run_step(warehouse, FACT_TABLE, step, raise_on_error)
+
+
 def load_entities(
     warehouse: Warehouse, as_of: dt.date, release: Release = "v3", workers: int = 4
 ) -> dict[str, int | None]:

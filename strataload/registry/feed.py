@@ -67,6 +67,10 @@ class Feed:
         rows = self.staged(source)
         return rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
 
+    def clean_raw(self, source: str) -> DataFrame:
+        """Raw rows in which every employee has one name."""
+        return self.raw(source).withColumn("employee_name", F.concat(F.lit("Employee "), F.trim("employee_id")))
+
     def sources(self, spec: EntitySpec) -> tuple[DataFrame, DataFrame]:
         names = spec.staging_columns
         card = self.sales("card", names, distinct=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from strataload.registry.texts import (
     CALENDAR_TEXT,
     CE_TEXTS,
+    CUSTOMER_HISTORY_TEXT,
     DIM_COLUMNS,
     DIM_TEXTS,
     FLAWED_TEXT,
@@ -420,6 +421,238 @@ def raw_text(source: str) -> str:
     return f"SELECT {columns} FROM ({plain(sales_text(source, names))}) AS t"
 
 
+# Stored rows
+
+
+def clean_staged(source: str, batches: bool = False) -> str:
+    """Staged rows in which every employee has one name, with the half of the orders they belong to."""
+    half = ", CAST(order_id AS BIGINT) % 2 AS half" if batches else ""
+    return f"SELECT * REPLACE ('Employee ' || trim(employee_id) AS employee_name){half} FROM ({staged(source)}) AS clean"
+
+
+def first_survivors(name: str) -> str:
+    """Survivors by cash before card within the half in which a key first occurs."""
+    _, key, stored, attributes, (key_column,) = ENTITY[name]
+    shaped = ", ".join(f"{clean(a)} AS {s}" for s, a in zip(stored, attributes))
+    parts = " UNION ALL ".join(
+        f"SELECT {rank} AS pr, half, trim({key_column}) AS {key}, {shaped} FROM {source}"
+        for rank, source in ((1, "cash"), (2, "card"))
+    )
+    order = ", ".join(stored)
+    return (
+        f"SELECT {key}, {order} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY half, pr, {order}) AS rn "
+        f"FROM ({parts}) AS u) AS r WHERE rn = 1"
+    )
+
+
+def two_halves() -> str:
+    """Rows of every entity and dimension after both halves: a key's row is that of its first half."""
+    rows = []
+
+    def both(name: str, key: str, entity: list[str], dimension: list[str], source: str, dim_key: str = "") -> None:
+        none = "CAST(NULL AS DATE) AS start_dt, CAST(NULL AS DATE) AS end_dt, CAST(NULL AS VARCHAR) AS is_active"
+        for table, names in ((f"bl_3nf.ce_{name}", entity), (f"bl_dm.dim_{name}", dimension)):
+            column = key if table.startswith("bl_3nf") else (dim_key or key)
+            rows.append(
+                f"SELECT '{table}' AS table_name, {column} AS business_key, concat_ws('|', {', '.join(names)}) AS attributes, "
+                f"{none} FROM ({source}) AS x"
+            )
+
+    for name in ("ship_modes", "payments", "returned"):
+        _, _, _, (column,), _ = ENTITY[name]
+        sides = ["card"] if name == "returned" else ["cash", "card"]
+        union = " UNION ".join(f"SELECT {fold(column)} AS k FROM {side}" for side in sides)
+        both(name, "k", ["k"], [clean("k")], f"SELECT DISTINCT k FROM ({union}) AS d WHERE k <> 'N/A'", "trim(k)")
+    parts = ENTITY["locations"][2]
+    shaped = ", ".join(f"{fold(c)} AS {c}" for c in parts)
+    union = f"SELECT {shaped} FROM cash UNION SELECT {shaped} FROM card"
+    key = "concat_ws('_', country, city, state)"
+    both("locations", key, parts, [clean(c) for c in parts], union, f"trim({key})")
+    shape = f"trim(employee_id) AS k, {clean('employee_name')} AS n"
+    both("employees", "k", ["n"], ["n"], f"SELECT {shape} FROM cash UNION SELECT {shape} FROM card")
+    names = ENTITY["products"][2]
+    both("products", "product_src_id", names, names, first_survivors("products"))
+    later = "DATE '2024-01-02'"
+    versions = (
+        "SELECT coalesce(o.customer_src_id, n.customer_src_id) AS k, o.customer_src_id IS NOT NULL AS early, "
+        "o.customer_name AS on_, o.customer_segment AS os, n.customer_name AS nn, n.customer_segment AS ns, "
+        "o.customer_src_id IS NOT NULL AND (o.customer_name <> n.customer_name OR o.customer_segment <> n.customer_segment) "
+        "AS changed FROM old_customers AS o FULL JOIN new_customers AS n ON o.customer_src_id = n.customer_src_id"
+    )
+    for table in ("bl_3nf.ce_customers_scd", "bl_dm.dim_customers_scd"):
+        rows.append(
+            f"SELECT '{table}', k, concat_ws('|', on_, os), {AS_OF}, CASE WHEN changed THEN {AS_OF} ELSE {HIGH} END, "
+            f"CASE WHEN changed THEN 'N' ELSE 'Y' END FROM ({versions}) AS v WHERE early"
+        )
+        rows.append(
+            f"SELECT '{table}', k, concat_ws('|', nn, ns), {later}, {HIGH}, 'Y' FROM ({versions}) AS v WHERE changed OR NOT early"
+        )
+    old = survivors("customers_scd").replace("FROM cash", "FROM cash0").replace("FROM card", "FROM card0")
+    return (
+        f"WITH cash AS MATERIALIZED ({clean_staged('cash', True)}), card AS MATERIALIZED ({clean_staged('card', True)}), "
+        "cash0 AS (SELECT * FROM cash WHERE half = 0), card0 AS (SELECT * FROM card WHERE half = 0), "
+        f"old_customers AS ({old}), new_customers AS ({survivors('customers_scd')}) {' UNION ALL '.join(rows)}"
+    )
+
+
+def loaded() -> str:
+    """Customers and products of both layers and the calendar after one load, numbered in text order."""
+    none = "CAST(NULL AS DATE) AS start_dt, CAST(NULL AS DATE) AS end_dt, CAST(NULL AS VARCHAR) AS is_active"
+    rows = []
+    for name, dated in (("products", none), ("customers_scd", f"{AS_OF}, {HIGH}, 'Y'")):
+        _, key, stored, _, _ = ENTITY[name]
+        for table in (f"bl_3nf.ce_{name}", f"bl_dm.dim_{name}"):
+            rows.append(
+                f"SELECT '{table}' AS table_name, row_number() OVER (ORDER BY {key}) AS row_id, {key} AS business_key, "
+                f"concat_ws('|', {', '.join(stored)}) AS attributes, {dated} FROM s_{name}"
+            )
+    days = ", ".join(CALENDAR_COLUMNS[2:])
+    rows.append(
+        f"SELECT 'bl_dm.dim_time_day', date_surr_id, CAST(date AS VARCHAR), concat_ws('|', {days}), {none} "
+        f"FROM ({calendar_source('cash', 'card')}) AS t"
+    )
+    return (
+        f"WITH cash AS ({staged('cash')}), card AS ({staged('card')}), s_products AS ({survivors('products')}), "
+        f"s_customers_scd AS ({survivors('customers_scd')}) {' UNION ALL '.join(rows)}"
+    )
+
+
+def survivor_states() -> str:
+    def ranked(name: str) -> str:
+        _, key, stored, attributes, (key_column,) = ENTITY[name]
+        shaped = ", ".join(f"{clean(a)} AS {s}" for s, a in zip(stored, attributes))
+        parts = " UNION ALL ".join(
+            f"SELECT {rank} AS pr, trim({key_column}) AS {key}, {shaped} FROM {source}_{name} "
+            f"WHERE nullif(trim({key_column}), '') IS NOT NULL"
+            for rank, source in ((1, "cash"), (2, "card"))
+        )
+        order = ", ".join(stored)
+        return (
+            f"SELECT '{name}' AS entity_name, {key} AS business_key, CAST(pr AS INT) AS priority, "
+            f"concat_ws('|', {order}) AS attributes FROM (SELECT *, row_number() OVER (PARTITION BY {key} "
+            f"ORDER BY pr, {order}) AS rn FROM ({parts}) AS u) AS r WHERE rn = 1"
+        )
+
+    ctes = ", ".join(
+        f"{source}_{name} AS ({plain(sales_text(source, [*ENTITY[name][4], *ENTITY[name][3]]))})"
+        for name in ("products", "customers_scd", "employees")
+        for source in ("cash", "card")
+    )
+    most = (
+        f"SELECT 'employees', {fold('employee_id')}, CAST(0 AS INT), {fold('max(employee_name)')} FROM (SELECT employee_id, "
+        f"employee_name FROM cash_employees UNION ALL SELECT employee_id, employee_name FROM card_employees) AS e "
+        f"GROUP BY {fold('employee_id')}"
+    )
+    return f"WITH {ctes} {ranked('products')} UNION ALL {ranked('customers_scd')} UNION ALL {most}"
+
+
+def rebuilt() -> str:
+    names = ["customer_id", "customer_name", "segment", "order_date", "order_id"]
+    events = " UNION ".join(
+        f"SELECT trim(customer_id) AS customer_src_id, {clean('customer_name')} AS customer_name, "
+        f"{clean('segment')} AS customer_segment, order_date AS d, CAST(order_id AS BIGINT) AS o FROM {side}"
+        for side in ("cash", "card")
+    )
+    return (
+        f"WITH {both_sales(names)}, last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_src_id, d "
+        f"ORDER BY o DESC, customer_name DESC, customer_segment DESC) AS rn FROM ({events}) AS e) AS r WHERE rn = 1), "
+        "marked AS (SELECT *, row_number() OVER w AS n, lag(customer_name) OVER w AS pn, lag(customer_segment) OVER w AS ps "
+        "FROM last WINDOW w AS (PARTITION BY customer_src_id ORDER BY d)), "
+        "starts AS (SELECT *, lead(d) OVER (PARTITION BY customer_src_id ORDER BY d) AS following FROM marked "
+        "WHERE n = 1 OR customer_name <> pn OR customer_segment <> ps) "
+        "SELECT customer_src_id, customer_name, customer_segment, d AS start_dt, "
+        f"CASE WHEN following IS NULL THEN {HIGH} ELSE following - 1 END AS end_dt, "
+        "CASE WHEN following IS NULL THEN 'Y' ELSE 'N' END AS is_active FROM starts"
+    )
+
+
+def facts() -> str:
+    cash = plain(sales_text("cash", CASH_COLUMNS))
+    card = plain(sales_text("card", CARD_COLUMNS))
+    dims = ", ".join(f"d_{name} AS ({plain(text)})" for name, text in DIM_TEXTS.items() if name != "customers_scd")
+    location = " AND ".join(f"l.{c} = {clean('s.' + c)}" for c in ENTITY["locations"][2])
+    simple = {"payments": "payment_type", "ship_modes": "ship_mode"}
+    joins = [
+        "LEFT JOIN history AS c ON trim(c.customer_src_id) = trim(s.customer_id) AND s.order_date BETWEEN c.start_dt AND c.end_dt",
+        f"LEFT JOIN d_locations AS l ON l.location_surr_id <> -1 AND {location}",
+        "LEFT JOIN d_products AS p ON p.product_surr_id <> -1 AND p.product_src_id = trim(s.product_id)",
+        "LEFT JOIN d_employees AS e ON e.employee_surr_id <> -1 AND e.employee_src_id = trim(s.employee_id)",
+        "LEFT JOIN d_returned AS r ON r.returned_surr_id <> -1 AND s.by_card AND "
+        f"r.returned_src_id = trim({fold('s.returned')})",
+        "LEFT JOIN calendar AS o ON o.date_surr_id <> -1 AND o.date = s.order_date",
+        "LEFT JOIN calendar AS h ON h.date_surr_id <> -1 AND h.date = s.ship_date",
+    ]
+    for name, column in simple.items():
+        surrogate, key = DIM_COLUMNS[name][:2]
+        joins.append(f"LEFT JOIN d_{name} AS {name} ON {name}.{surrogate} <> -1 AND {name}.{key} = trim({fold('s.' + column)})")
+    ids = [
+        "c.customer_surr_id", "l.location_surr_id", "p.product_surr_id", "e.employee_surr_id", "payments.payment_surr_id",
+        "ship_modes.ship_mode_surr_id", "r.returned_surr_id",
+    ]
+    chosen = ", ".join(f"coalesce({i}, -1) AS {i.split('.')[1]}" for i in ids)
+    return (
+        f"WITH sales AS (SELECT *, true AS by_card FROM ({card}) AS k UNION ALL BY NAME SELECT *, false AS by_card "
+        f"FROM ({cash}) AS k), history AS ({plain(CUSTOMER_HISTORY_TEXT)}), calendar AS ({plain(CALENDAR_TEXT)}), {dims} "
+        f"SELECT {chosen}, coalesce(o.date_surr_id, -1) AS order_date_surr_id, coalesce(h.date_surr_id, -1) AS "
+        "ship_date_surr_id, s.order_id, s.payment_id, s.sales, s.quantity, s.discount, s.profit, "
+        "CASE WHEN s.sales <> 0 THEN CAST(s.profit / s.sales AS DECIMAL(18,4)) END AS profit_ratio, "
+        f"{AS_OF} AS insert_dt, {AS_OF} AS update_dt FROM sales AS s {' '.join(joins)}"
+    )
+
+
+def table_checks() -> str:
+    active = "upper(trim(coalesce(is_active, ''))) = 'Y'"
+    key = "trim(customer_src_id)"
+    none = "CAST(NULL AS VARCHAR)"
+    counted = [
+        ("total_rows", "true"), ("default_rows", "customer_id = -1"), ("business_rows", "customer_id <> -1"),
+        ("rows_without_id", "customer_id IS NULL"),
+    ]
+    rows = [
+        f"SELECT '{name}' AS check_name, {none} AS key_1, {none} AS key_2, count(*) FILTER (WHERE {condition}) AS row_count "
+        "FROM flawed"
+        for name, condition in counted
+    ]
+    for name, first, second, where in (
+        ("primary_key", "CAST(customer_id AS VARCHAR)", none, "true"),
+        ("one_active_3nf", key, none, active),
+        ("one_active_dm", key, none, f"customer_id <> -1 AND {active}"),
+        ("one_version_per_day", key, "CAST(start_dt AS VARCHAR)", "customer_id <> -1"),
+        ("unique_key", key, none, "customer_id <> -1"),
+    ):
+        rows.append(
+            f"SELECT '{name}', {first} AS a, {second} AS b, count(*) FROM flawed WHERE {where} GROUP BY a, b HAVING count(*) > 1"
+        )
+    return f"WITH {FLAWED} {' UNION ALL '.join(rows)}"
+
+
+def profile() -> str:
+    columns = ["customer_id", "customer_name", "product_id", "postal_code", "sales", "quantity"]
+    rows = []
+    for column in columns:
+        number = f"CAST({column} AS DECIMAL(38,4))" if column in STAGING_TYPES else column
+        rows.append(
+            f"SELECT '{column}' AS column_name, count(*) AS row_count, count(*) FILTER (WHERE {column} IS NULL) AS null_count, "
+            f"count(*) FILTER (WHERE trim(CAST({column} AS VARCHAR)) = '') AS blank_count, CAST(min({number}) AS VARCHAR) "
+            f"AS smallest, CAST(max({number}) AS VARCHAR) AS largest, true AS distinct_is_close, true AS median_is_close FROM cash"
+        )
+    return f"WITH cash AS ({plain(sales_text('cash', columns))}) {' UNION ALL '.join(rows)}"
+
+
+def quarantined() -> str:
+    names = ["payment_id", "order_id", "sales", "quantity"]
+    bad_sales, bad_quantity = "CAST(order_id AS BIGINT) % 50 = 7", "CAST(order_id AS BIGINT) % 70 = 7"
+    reasons = (
+        f"concat_ws('; ', CASE WHEN {bad_sales} THEN 'sales does not fit decimal(18,4): n/a' END, "
+        f"CASE WHEN {bad_quantity} THEN 'quantity does not fit int: ' || CAST(quantity AS VARCHAR) || ' pieces' END)"
+    )
+    return (
+        f"SELECT CASE WHEN {bad_sales} OR {bad_quantity} THEN {reasons} ELSE 'typed' END AS outcome, payment_id, "
+        f"CASE WHEN {bad_sales} THEN 'n/a' ELSE CAST(sales AS VARCHAR) END AS sales "
+        f"FROM ({plain(sales_text('cash', names))}) AS c"
+    )
+
+
 ORACLES: dict[str, str] = {
     "csv_scan": raw_text("cash"),
     "stage_cast_dedup": staged("cash"),
@@ -546,4 +779,32 @@ ORACLES: dict[str, str] = {
     ),
     "warehouse_load": outcomes(rerun=False),
     "idempotent_rerun": outcomes(rerun=True),
+    "idempotent_rerun_clean": " UNION ALL ".join(
+        f"SELECT 'prc_load_dim_{name}' AS procedure_name, 'bl_dm.dim_{name}' AS target_table, CAST(0 AS BIGINT) AS rows_affected, "
+        f"'SUCCESS' AS status, 'DIM_{name.upper()} loaded successfully.' AS message, CAST(NULL AS VARCHAR) AS error_code"
+        for name in [*ENTITY, "time_day"]
+    ),
+    "loaded_rows": loaded(),
+    "incremental_load": two_halves(),
+    "survivor_state": survivor_states(),
+    "scd2_rebuild": rebuilt(),
+    "fact_load": facts(),
+    "reconcile_buckets": reconcile(),
+    "table_checks": table_checks(),
+    "one_active_3nf": (
+        f"WITH {FLAWED} SELECT trim(customer_src_id) AS key_1, count(*) AS row_count FROM flawed "
+        "WHERE upper(trim(coalesce(is_active, ''))) = 'Y' GROUP BY trim(customer_src_id) HAVING count(*) > 1"
+    ),
+    "profile_merge": profile(),
+    "quarantine_sales": quarantined(),
+    "csv_scan_card": raw_text("card"),
+    "table_life": (
+        "WITH card AS (SELECT l_orderkey % 2 AS half FROM lineitem WHERE l_linestatus = 'O') "
+        "SELECT 'created' AS step, CAST(1 AS BIGINT) AS row_count UNION ALL SELECT 'batch 1', count(*) FROM card WHERE half = 0 "
+        "UNION ALL SELECT 'batch 2', count(*) FROM card UNION ALL SELECT 'truncated', 0 UNION ALL SELECT 'dropped', 0"
+    ),
+    "log_append": (
+        "SELECT row_number() OVER (ORDER BY event_type) AS log_id, event_type AS procedure_name, count(*) AS rows_affected, "
+        "'SUCCESS' AS status, true AS in_time FROM events GROUP BY event_type"
+    ),
 }

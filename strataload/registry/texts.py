@@ -228,6 +228,14 @@ _CUSTOMER_DIM = (
     f"DATE '9999-12-31', 'Y', DATE '1900-01-01' {_UNKNOWN_FROM}"
 )
 
+# Two versions per customer over the years of the orders; the years before the first have none.
+CUSTOMER_HISTORY_TEXT = (
+    "SELECT customer_surr_id, customer_src_id, DATE '1996-01-01' AS start_dt, DATE '1998-12-31' AS end_dt "
+    f"FROM ({_CUSTOMER_DIM}) AS first_version WHERE customer_surr_id <> -1 "
+    "UNION ALL SELECT 1000000000 + customer_surr_id, customer_src_id, DATE '1999-01-01', DATE '9999-12-31' "
+    f"FROM ({_CUSTOMER_DIM}) AS second_version WHERE customer_surr_id <> -1"
+)
+
 DIM_COLUMNS = {
     "ship_modes": ["ship_mode_surr_id", "ship_mode_src_id", "ship_mode"],
     "payments": ["payment_surr_id", "payment_src_id", "payment_type"],

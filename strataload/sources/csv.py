@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataload.operators.dedup import first_per_key
+from strataload.operators.dedup import first_of_repeated
+from strataload.session import materialize, scratch_path
 from strataload.sources.schemas import STAGING_TYPES, raw_schema
 
 # A quote inside a quoted field is doubled, and blanks around a field belong to it.
@@ -41,24 +42,61 @@ def write_sales_csv(df: DataFrame, path: str) -> None:
     df.write.options(**CSV_DIALECT).csv(path)
 
 
-def _exact(name: str, kind: T.DataType, date_format: str | None) -> Column:
-    """The text as ``kind``. Whatever the session's settings, text that is no such value, or that the type
-    would round, is an error."""
+def _attempt(name: str, kind: T.DataType, date_format: str | None) -> tuple[Column, Column]:
+    """The text as ``kind``, and what is wrong with it: text that is no such value, or that the type would round.
+
+    Neither depends on the session's settings.
+    """
     raw = F.col(name)
     value = F.try_to_date(raw, date_format) if kind.typeName() == "date" and date_format else raw.try_cast(kind)
     lost = value.isNull()
     if isinstance(kind, T.DecimalType):
         lost = lost | ~raw.try_cast(T.DecimalType(38, 18)).eqNullSafe(value.cast(T.DecimalType(38, 18)))
     said = F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), raw)
-    return F.when(raw.isNotNull() & lost, F.raise_error(said).cast(kind)).otherwise(value).alias(name)
+    return value, F.when(raw.isNotNull() & lost, said)
 
 
 def typed_sales(raw: DataFrame, date_format: str | None = None) -> DataFrame:
     """Cast the text columns to the staging types. A value that does not fit is an error."""
-    kinds = ((name, STAGING_TYPES.get(name)) for name in raw.columns)
-    return raw.select(*(F.col(name) if kind is None else _exact(name, kind, date_format) for name, kind in kinds))
+    columns = []
+    for name in raw.columns:
+        kind = STAGING_TYPES.get(name)
+        if kind is None:
+            columns.append(F.col(name))
+            continue
+        value, wrong = _attempt(name, kind, date_format)
+        columns.append(F.when(wrong.isNotNull(), F.raise_error(wrong).cast(kind)).otherwise(value).alias(name))
+    return raw.select(*columns)
+
+
+def split_sales(raw: DataFrame, date_format: str | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(typed rows, rejected rows, counts): one pass over the file writes both, and counts them on the way.
+
+    A rejected row keeps its text, and ``reasons`` lists every value that does not fit.
+    """
+    kinds = {name: STAGING_TYPES[name] for name in raw.columns if name in STAGING_TYPES}
+    attempts = {name: _attempt(name, kind, date_format) for name, kind in kinds.items()}
+    wrong = F.array_compact(F.array(*[said for _, said in attempts.values()]))
+    as_text = F.struct(*[F.col(name).alias(name) for name in kinds])
+    rows = raw.select(
+        *[attempts[name][0].alias(name) if name in kinds else F.col(name) for name in raw.columns],
+        wrong.alias("reasons"),
+        as_text.alias("_text"),
+    )
+    rejected = F.size("reasons") > 0
+    seen = Observation()
+    counts = (F.count(F.lit(1)).alias("read"), F.count_if(~rejected).alias("typed"), F.count_if(rejected).alias("rejected"))
+    path = scratch_path(raw.sparkSession, "sales")
+    marked = rows.withColumn("_text", F.when(rejected, F.col("_text"))).withColumn("rejected", rejected)
+    marked.observe(seen, *counts).write.partitionBy("rejected").parquet(path)
+    schema = T.StructType([*rows.schema.fields, T.StructField("rejected", T.BooleanType())])
+    stored = raw.sparkSession.read.schema(schema).parquet(path)
+    bad = stored.where("rejected").select(
+        *[F.col(f"_text.{name}").alias(name) if name in kinds else F.col(name) for name in raw.columns], "reasons"
+    )
+    return stored.where("not rejected").select(*raw.columns), bad, dict(seen.get)
 
 
 def stage_sales(raw: DataFrame, date_format: str | None = None) -> DataFrame:
-    """Typed rows, one per payment."""
-    return first_per_key(typed_sales(raw, date_format), ["payment_id"])
+    """Typed rows, one per payment. The typed rows are written once; the payments that repeat are found on their ids."""
+    return first_of_repeated(materialize(typed_sales(raw, date_format), "typed"), ["payment_id"])

@@ -88,7 +88,7 @@ CALENDAR_SCHEMA = T.StructType(
     + columns(INT, "quarter year is_weekend")
 )
 
-# Declared by the star schema; no load fills it.
+# One row per sale.
 FACT_SCHEMA = T.StructType(
     columns(
         LONG,
@@ -135,7 +135,8 @@ STAGING_SCHEMAS = {
     "sa_card_sales.src_card_sales": staging_schema(CARD_COLUMNS),
 }
 
-BATCHED_TABLES = frozenset(STAGING_SCHEMAS)
+# Tables whose rows lie in one folder per staging batch.
+BATCHED_TABLES = frozenset([*STAGING_SCHEMAS, "bl_dm.fct_sales_dd"])
 
 # Up to which staging batch a table has been loaded; the newest entry counts.
 LOAD_MARK_SCHEMA = T.StructType(
@@ -147,6 +148,16 @@ SURVIVOR_SCHEMA = T.StructType(
     columns(TEXT, "customer_src_id") + columns(INT, "priority") + columns(TEXT, "customer_name customer_segment")
 )
 
+# Staging rows set aside because a value does not fit its type.
+REJECTED_SCHEMA = T.StructType(
+    [
+        T.StructField("batch", LONG),
+        T.StructField("source_table", TEXT),
+        T.StructField("row_text", TEXT),
+        T.StructField("reasons", T.ArrayType(TEXT)),
+    ]
+)
+
 TABLE_SCHEMAS = {
     **STAGING_SCHEMAS,
     **ENTITY_SCHEMAS,
@@ -154,6 +165,7 @@ TABLE_SCHEMAS = {
     "bl_cl.load_log": LOAD_LOG_SCHEMA,
     "bl_cl.load_marks": LOAD_MARK_SCHEMA,
     "bl_cl.customer_survivors": SURVIVOR_SCHEMA,
+    "bl_cl.rejected_sales": REJECTED_SCHEMA,
 }
 
 # Surrogate id and business key: the first two columns of every entity and dimension.

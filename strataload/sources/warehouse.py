@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,9 +104,10 @@ class Warehouse:
         rows = self._laid_out(table).where(F.col(self.bucket_column) == folder)
         return rows.where(F.trim(F.col(self.keys[table][1]).cast("string")) == F.trim(F.lit(key))).drop(self.bucket_column)
 
-    def read_after(self, table: str, batch: int) -> DataFrame:
+    def read_after(self, table: str, batch: int, with_batch: bool = False) -> DataFrame:
         """Staging rows of the batches after ``batch``; other folders are not read."""
-        return self._laid_out(table).where(F.col(BATCH) > batch).drop(BATCH)
+        rows = self._laid_out(table).where(F.col(BATCH) > batch)
+        return rows if with_batch else rows.drop(BATCH)
 
     def last_batch(self, *tables: str) -> int:
         """The newest batch of staging tables, from the names of their folders; 0 for none."""
@@ -150,9 +151,17 @@ class Warehouse:
                 check(both)
         self._write(table, rows, "append")
 
-    def append_batch(self, table: str, df: DataFrame, batch: int) -> None:
-        """Add staging rows as a batch of their own."""
-        self._write(table, self._conform(table, df).withColumn(BATCH, F.lit(batch).cast("long")), "append")
+    def append_batch(self, table: str, df: DataFrame, batch: int) -> int:
+        """Add staging rows as a batch of their own; returns their number."""
+        seen = Observation()
+        rows = self._conform(table, df).withColumn(BATCH, F.lit(batch).cast("long"))
+        self._write(table, rows.observe(seen, F.count(F.lit(1)).alias("n")), "append")
+        return seen.get["n"]
+
+    def write_batches(self, table: str, df: DataFrame) -> None:
+        """Write rows that name their batch, in place of what is stored of those batches."""
+        fields = [*self.schemas[table].fields, T.StructField(BATCH, T.LongType())]
+        self._write(table, conform(df, T.StructType(fields)), "folders")
 
     def _buckets_of(self, rows: DataFrame) -> list[int]:
         """At most as many as a table has folders."""

@@ -68,7 +68,7 @@ def test_full_load_rerun_and_counts(loaded):
     assert len(outcome) == 8 and {(r["status"], r["rows_affected"]) for r in outcome} == {("SUCCESS", 0)}
     for row in validation.dimension_counts(warehouse).collect():
         assert row["default_rows"] == 1 and row["total_rows"] == row["default_rows"] + row["business_rows"]
-    assert [r["log_id"] for r in log_rows(warehouse)] == list(range(1, 31))
+    assert [r["log_id"] for r in log_rows(warehouse)] == list(range(1, 32))
     assert validation.duplicate_keys(warehouse).count() == 0
     assert validation.active_versions(warehouse).count() == 0
     assert {r["table_name"]: r["row_count"] for r in validation.entity_counts(warehouse).collect()}["ce_products"] == 3
