@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataload.llm.tables import texts
+from strataload.llm.tables import orderable, texts
 from strataload.session import materialize
 
 SALTS = 16
@@ -79,6 +79,6 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     rows = inner.withColumn("_sha", F.sha2(body, 256)).join(
         kept, same & (F.col("_sha") == F.col("_kept_sha")), "left_semi"
     )
-    repeated = Window.partitionBy(named["doc_id"], "_sha").orderBy(*(a for n, a in named.items() if n != "text"))
+    repeated = Window.partitionBy(named["doc_id"], "_sha").orderBy(*(orderable(rows, a) for n, a in named.items() if n != "text"))
     rows = rows.withColumn("_repeat", F.row_number().over(repeated)).filter("_repeat = 1")
     return rows.select(*(F.col(alias).alias(name) for name, alias in named.items()))

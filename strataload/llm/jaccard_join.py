@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from strataload.llm.components import components
 from strataload.llm.hashing import WordHasher, mix, utf8
-from strataload.llm.tables import texts, with_bodies
+from strataload.llm.tables import orderable, texts, with_bodies
 from strataload.session import materialize
 
 SHINGLE = 5
@@ -619,5 +619,5 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     alone = rows.join(open_.select("_open"), F.col("_node") == F.col("_open"), "left_anti").select(*named)
     doc_id = F.col(named[docs.columns.index("doc_id")]).cast("long")
     first = rows.join(open_.filter("_wins"), F.col("_node") == F.col("_open")).filter(doc_id.eqNullSafe(F.col("_least")))
-    first = first.withColumn("_place", F.row_number().over(Window.partitionBy("_node").orderBy(*named)))
+    first = first.withColumn("_place", F.row_number().over(Window.partitionBy("_node").orderBy(*(orderable(first, n) for n in named))))
     return alone.union(first.filter("_place = 1").select(*named)).toDF(*docs.columns)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataload.llm.license_rules import BASE, Signature, signatures
-from strataload.llm.tables import lower_ascii, match_spans, texts
+from strataload.llm.tables import all_gathered, gathered, lower_ascii, match_spans, nothing_gathered, texts
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PRIORITIES = 4
@@ -76,15 +76,12 @@ def _unsuppressed(found: Column) -> Column:
             .alias(f"end{level}")
             for level in range(1, PRIORITIES + 1)
         ]
-        return F.struct(
-            *ends, F.when(inside, state["kept"]).otherwise(F.concat(state["kept"], F.array(d))).alias("kept")
-        )
+        return F.struct(*ends, *gathered(state, d, ~inside, DETECTIONS))
 
     start = F.struct(
-        *(F.lit(-1).alias(f"end{level}") for level in range(1, PRIORITIES + 1)),
-        F.array().cast(DETECTIONS).alias("kept"),
+        *(F.lit(-1).alias(f"end{level}") for level in range(1, PRIORITIES + 1)), *nothing_gathered(DETECTIONS)
     )
-    return F.aggregate(found, start, step, lambda state: state["kept"])
+    return F.aggregate(found, start, step, all_gathered)
 
 
 def gate_stems(rules: list[Signature]) -> list[str]:

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataload.llm.tables import SPANS, match_spans, texts
+from strataload.llm.tables import SPANS, all_gathered, gathered, match_spans, nothing_gathered, texts
 from strataload.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -91,6 +91,43 @@ def _seeds(kind: str) -> Column:
     return F.when(gate, spans).otherwise(F.array().cast(SPAN))
 
 
+def _outside(base: Column, tokens: Column) -> Column:
+    """The tokens that meet no span of ``base``, from one sweep over both in the order of their starts.
+
+    Spans have a kind of 0 or more and tokens -1; of equal starts the span has to come first. Tokens do not meet each
+    other, so only the last one can still meet a span that starts after it.
+    """
+
+    def entry(s, turn):
+        return F.struct(s["start"].alias("start"), F.lit(turn).alias("turn"), s.alias("span"))
+
+    entries = F.array_sort(
+        F.concat(F.transform(base, lambda s: entry(s, 0)), F.transform(tokens, lambda s: entry(s, 1)))
+    )
+
+    def step(state, e):
+        is_token = e["turn"] == 1
+        span, held = e["span"], state["held"]
+        met = held.isNotNull() & (span["start"] < held["end"]) & ~is_token
+        # A token that is held is free once another token comes up.
+        out = is_token & held.isNotNull()
+        free = is_token & (span["start"] >= state["until"])
+        none = F.lit(None).cast(SPAN[6:-1])
+        return F.struct(
+            F.when(is_token, state["until"]).otherwise(F.greatest(state["until"], span["end"])).alias("until"),
+            F.when(free, span).when(is_token | met, none).otherwise(held).alias("held"),
+            *gathered(state, held, out, SPAN),
+        )
+
+    begin = F.struct(F.lit(0).alias("until"), F.lit(None).cast(SPAN[6:-1]).alias("held"), *nothing_gathered(SPAN))
+
+    def finish(state):
+        rest = F.when(state["held"].isNull(), F.array().cast(SPAN)).otherwise(F.array(state["held"]))
+        return F.concat(all_gathered(state), rest)
+
+    return F.aggregate(entries, begin, step, finish)
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """(row, doc_id, base, instances): seeds by start and kind; seeds and candidates with their left word."""
     rows = texts(docs).withColumn("digits", F.col("text").rlike("[0-9]"))
@@ -111,10 +148,8 @@ def scan(docs: DataFrame) -> DataFrame:
             value.alias("value"),
         )
 
-    free = F.filter(
-        F.transform("tokens", trimmed),
-        lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
-    )
+    candidates = F.transform("tokens", trimmed)
+    free = F.when(F.size("base") > 0, _outside(F.col("base"), candidates)).otherwise(candidates)
     found = F.concat("base", F.when(F.size("tokens") > 0, free).otherwise(F.array().cast(SPAN)))
 
     def with_left(t):

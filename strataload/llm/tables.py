@@ -51,6 +51,42 @@ def lower_ascii(value: Column) -> Column:
     return F.translate(value, UPPER, LOWER)
 
 
+def nothing_gathered(kind: str) -> list[Column]:
+    """Fields of an aggregate's state that gather array items; ``kind`` is the array's type."""
+    return [F.array().cast(f"array<{kind}>").alias("runs"), F.array().cast(kind).alias("last")]
+
+
+def gathered(state: Column, item: Column, wanted: Column, kind: str) -> list[Column]:
+    """The fields with ``item`` added if it is ``wanted``.
+
+    Appending copies an array, so items gather in runs of RUN, and the runs in an array of their own.
+    """
+    full = F.size(state["last"]) >= RUN
+    one = F.array(item).cast(kind)
+    return [
+        F.when(wanted & full, F.concat(state["runs"], F.array(state["last"]))).otherwise(state["runs"]).alias("runs"),
+        F.when(~wanted, state["last"]).when(full, one).otherwise(F.concat(state["last"], one)).alias("last"),
+    ]
+
+
+def all_gathered(state: Column) -> Column:
+    return F.concat(F.flatten(state["runs"]), state["last"])
+
+
+def orderable(df: DataFrame, name: str) -> Column:
+    """A column to order by; a type that has no order, as it holds a map, goes by its JSON text."""
+
+    def has_map(kind: T.DataType) -> bool:
+        if isinstance(kind, T.ArrayType):
+            return has_map(kind.elementType)
+        if isinstance(kind, T.StructType):
+            return any(has_map(field.dataType) for field in kind.fields)
+        return isinstance(kind, T.MapType)
+
+    column = F.col(f"`{name}`")
+    return F.to_json(F.struct(column)) if has_map(df.schema[name].dataType) else column
+
+
 def match_spans(value: Column, pattern: Column | str) -> Column:
     """Array of (start, end, match) of the leftmost non-overlapping matches, counted in code points.
 
