@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from strataload.llm import decontamination, jaccard_join, lm, quality, token_store
+from strataload.llm import decontamination, jaccard_join, lm, pii, quality, token_store
 from strataload.llm.exact_dedup import drop_exact_duplicates, exact_groups
 from strataload.llm.license_scan import scan_licenses
 from strataload.llm.pii import find_pii
@@ -325,3 +325,73 @@ def test_grammar_leaves_no_frequent_pair():
     assert max(pairs.values()) < token_store.MIN_PAIR and len(left) == len(right)
     block = token_store.Block(token_store.pack([1], np.array([len(ids)]), ids, 2))
     assert block.document(0).tolist() == ids.tolist()
+
+
+def test_long_texts_with_many_spans(spark):
+    """Many identifiers, tokens and licence names in one text."""
+    ids = " ".join(f"10.0.{n % 256}.{n % 200} id{n:07d}x" for n in range(2000))
+    licences = "MIT License and Apache License 2.0, " * 2000
+    table = spark.createDataFrame([(1, ids), (2, licences)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in find_pii(table).collect()}
+    assert rows[1]["n_ip"] == 2000 and rows[2]["n_ip"] == 0
+    rows = {r["doc_id"]: r for r in scan_licenses(table).collect()}
+    assert rows[2]["n_base"] == 4000 and rows[2]["base_labels"] == "apache,mit" and rows[1]["n_base"] == 0
+
+
+def test_tokens_that_meet_a_span_are_left_out(spark):
+    draw = np.random.default_rng(6)
+    rows = []
+    for n in range(60):
+        spans = sorted((int(a), int(a + w), int(k)) for a, w, k in draw.integers([0, 1, 0], [300, 30, 4], (n % 9, 3)))
+        cuts = sorted(set(draw.integers(0, 330, 20).tolist()))
+        tokens = [(a, b) for a, b in zip(cuts[::2], cuts[1::2], strict=False)]
+        rows.append((n, [(a, k, b, "s") for a, b, k in spans], [(a, -1, b, f"t{a}") for a, b in tokens]))
+    table = spark.createDataFrame(rows, f"n int, base {pii.SPAN}, tokens {pii.SPAN}")
+    got = {r["n"]: [tuple(t) for t in r["free"]] for r in table.select("n", pii._outside(F.col("base"), F.col("tokens")).alias("free")).collect()}
+    for n, base, tokens in rows:
+        assert got[n] == [t for t in tokens if not any(b[0] < t[2] and t[0] < b[2] for b in base)]
+
+
+def test_rows_that_hold_maps(spark):
+    rows = [(1, NEAR, {"a": n}) for n in (2, 1)] + [(2, NEAR.replace("word100", "x"), None), (None, None, {})]
+    table = spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>")
+    kept = drop_exact_duplicates(table).collect()
+    assert sorted((r["doc_id"] or 0, r["extra"] or {}) for r in kept) == [(0, {}), (1, {"a": 1}), (2, {})]
+    assert sorted(r["doc_id"] or 0 for r in jaccard_join.drop_near_duplicates(table).collect()) == [0, 1]
+
+
+def test_codes_of_sizes_and_needs_never_exceed_them():
+    sizes = np.concatenate([np.arange(1, 50_000), np.random.default_rng(1).integers(1, 1 << 38, 20_000)])
+    code = jaccard_join.size_code(sizes)
+    least, most = jaccard_join.size_range(code)
+    assert (code // 512 == jaccard_join.band_of(sizes)).all() and (least <= sizes).all() and (sizes <= most).all()
+    needs = np.arange(-5, 200_000)
+    kept = jaccard_join.NEEDS[jaccard_join.need_code(needs)]
+    assert (kept <= np.maximum(needs, 0)).all() and (100 * kept >= 92 * np.maximum(needs, 0) - 100).all()
+
+
+PIECES = [" ", "  ", "\n", "\t", "\r", "a", "b'll", "é", "漢", "12", "!!", "word", "'", "'s", "re", "'ve", "S", "\x85", "\u2003", "<|", "_", "½"]
+
+
+@pytest.mark.parametrize("group", [200, 1 << 21])
+def test_pieces_are_encoded_as_the_library_does(monkeypatch, group):
+    monkeypatch.setattr(token_store, "GROUP", group)
+    encoder = token_store.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    draw = np.random.default_rng(8)
+    bodies = ["".join(draw.choice(PIECES[: draw.choice([6, 14, 22])], draw.choice([0, 1, 4, 60]))) for _ in range(3000)]
+    bodies += ["<|endoftext|>", "x <|endoftext|> y", ""]
+    assert encoder.by_pieces
+    ids, counts = encoder.encode(bodies, 2)
+    want = [[*e.ids, 2] for e in encoder.library.encode_batch(bodies, add_special_tokens=False)]
+    assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_pieces_with_one_hash_are_told_apart(monkeypatch):
+    encoder = token_store.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    first = encoder.hashers[0]
+    monkeypatch.setattr(encoder, "hashers", (lambda v, s, e: first(v, s, e) & np.uint64(3), encoder.hashers[1]))
+    bodies = ["some words that all fall into four bins", "others do as well", ""]
+    for _ in range(2):
+        ids, counts = encoder.encode(bodies, 2)
+        want = [[*e.ids, 2] for e in encoder.library.encode_batch(bodies, add_special_tokens=False)]
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == want
