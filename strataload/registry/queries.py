@@ -397,8 +397,9 @@ _OUTCOME = ["procedure_name", "target_table", "rows_affected", "status", "messag
 
 @query("warehouse_load")
 def warehouse_load(feed: Feed) -> DataFrame:
-    """All layers loaded from nothing: what each load reports."""
-    return validation.load_outcomes(_loaded(feed)).select(*_OUTCOME)
+    """All layers loaded from nothing: what each load of an entity or dimension reports."""
+    tables = [spec.table for spec in ENTITIES.values()] + list(loads.dimension_ids())
+    return validation.load_outcomes(_loaded(feed), tables).select(*_OUTCOME)
 
 
 @query("idempotent_rerun")
