@@ -36,6 +36,9 @@ HEADLINE = [
     "dim_counts",
     "reconcile",
     "source_profile",
+    "scd2_rebuild",
+    "fact_load",
+    "reconcile_buckets",
 ]
 
 
