@@ -1,20 +1,28 @@
 """Personal data: fixed patterns as seeds, and identifiers found through the company seeds keep.
 
-Seeds are the e-mail addresses, IP addresses, card and phone numbers that fixed patterns find. Other tokens
-with a digit are candidates. Every seed and candidate is an instance; the patterns it shows are its shape
-(digits, letters and punctuation) alone and its shape after the word to its left. Patterns and instances
-form a graph per kind, scored in rounds: a pattern is as sure as a lower confidence bound of the share of its
-instances that are seeds, or that another pattern above the threshold holds: its own score is no evidence for
-it. All others count against it, values that failed the kind's check among them. Candidates of a pattern
-above the threshold become spans of the kind, unless they failed its check. Seeds stay as they are.
-
-Everything is scanned once and written; the graph then needs only the instances. Scores per pattern are sums,
-aggregated before they are shuffled, so a shape that a third of all rows show costs one row per task.
+Seeds are the e-mail addresses, IP addresses, card and phone numbers that fixed patterns find, and credentials: tokens
+assigned to a name of NAMES. Candidates are other tokens with a digit, and runs of up to five short groups of digits.
+Every seed and candidate is an instance. The patterns it shows are lexical: the word to its left with the punctuation
+between, the two words to its left, the words around it; and its shape (digits, letters, punctuation) alone and after
+the word to its left. A context without shape reaches values that are written like no seed.
+
+Patterns and instances form a graph that is scored in rounds, per kind. A pattern is as sure as a lower confidence bound
+of the share of its instances that are seeds, or that were accepted through another pattern: its own score is no evidence
+for it. All others count against it, values that failed the kind's check among them. Candidates of a pattern above the
+threshold are accepted if they could be of the kind at all (a card's digits still pass Luhn, a phone has 7 to 15 digits).
+The next round starts from seeds and accepted instances, so these promote patterns that no seed shows. In the end accepted
+candidates become spans, and so does a candidate that is a seed elsewhere. Base spans stay as they are.
+
+Everything is scanned once and written; the graph then needs only the instances. Counts per pattern are sums, aggregated
+before they are shuffled; where patterns meet instances, each pattern is dealt to SALTS tasks, so one that a third of all
+rows show has no task of its own.
 
 The patterns are written so that a failing start is given up in one step (possessive loops, starts only
-where a run begins): texts of any length are scanned in linear time, without recursion.
+where a run begins): texts of any length are scanned in linear time, without recursion. The surroundings of instances
+are cut from pieces of the text, as reaching into a long text is a walk from its start.
 
-Defined results: NULL and empty texts have no spans; repeated rows give repeated results.
+Defined results: NULL and empty texts have no spans; repeated rows give repeated results; of several kinds for one value
+a seed's comes first, then that of the surest pattern.
 """
 
 from __future__ import annotations
@@ -36,15 +44,27 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[0-9]|[\x20-](?=[0-9]))++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TOKEN = r"(?<![A-Za-z0-9@._+-])[A-Za-z@._+-]*+[0-9][A-Za-z0-9@._+-]*+"
+_GROUP = r"\(?+[0-9]{1,6}+(?:[)./-]++\(?+[0-9]{1,6}+)*+\)?+"
+TOKEN = (
+    rf"(?<![A-Za-z0-9@._+-])(?:{_GROUP}(?:\x20{_GROUP}){{0,4}}+(?![A-Za-z0-9@_]|[.+-][A-Za-z0-9])"
+    r"|[A-Za-z@._+-]*+[0-9][A-Za-z0-9@._+-]*+)"
+)
 GATES = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
+# What credentials are assigned to.
+NAMES = ["token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "auth_token", "private_key"]
+SECRET = len(KINDS)  # the kind of credentials, after the base kinds
+ALL_KINDS = [*KINDS, "secret"]
+
+PIECE, MARGIN = 4096, 64  # code points
+
 ROUNDS = 3
 ACCEPT = 0.5
 BOUND = 1.64  # standard deviations that a pattern's score lies below the share it has
 MIN_SEEDS = 3
+SALTS = 16
 
 
 def _luhn(digits: Column) -> Column:
@@ -129,7 +149,7 @@ def _outside(base: Column, tokens: Column) -> Column:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, base, instances): seeds by start and kind; seeds and candidates with their left word."""
+    """(row, doc_id, base, instances): base spans by start and kind; seeds and candidates with the words around them."""
     rows = texts(docs).withColumn("digits", F.col("text").rlike("[0-9]"))
     for kind in KINDS:
         rows = rows.withColumn(kind, _seeds(kind))
@@ -152,25 +172,63 @@ def scan(docs: DataFrame) -> DataFrame:
     free = F.when(F.size("base") > 0, _outside(F.col("base"), candidates)).otherwise(candidates)
     found = F.concat("base", F.when(F.size("tokens") > 0, free).otherwise(F.array().cast(SPAN)))
 
-    def with_left(t):
-        before = F.substring(F.col("text"), F.greatest(F.lit(1), t["start"] - 31), F.least(F.lit(32), t["start"]))
-        left = F.regexp_extract(before, r"([^\s]++)\s*+\z", 1)
-        word = F.lower(F.regexp_replace(left, "[^A-Za-z]", ""))
-        # What stands between the word and the token, as for name = "value".
-        glue = F.regexp_extract(F.concat(before), r"([=:#\"'(\[]?)\z", 1)
+    def around(t):
+        before = _cut(t["start"] - 48, F.least(F.lit(48), t["start"]))
+        after = _cut(t["end"], F.lit(24))
+        near = r"(?:(\p{L}[\p{L}_]*+)[^\p{L}0-9]{1,8})?(\p{L}[\p{L}_]*+)([^\p{L}0-9]{0,8})\z"
+        word = F.lower(F.regexp_extract(before, near, 2))
+        glue = F.regexp_replace(F.regexp_extract(before, near, 3), r"\s", "")
+        named = F.regexp_like(glue, F.lit(r"\A[\"']?[=:]")) & word.isin(NAMES)
+        secret = (t["kind"] < 0) & named & _could_be(SECRET, t["value"])
         return F.struct(
-            t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end"), t["value"].alias("value"),
-            F.concat_ws(" ", word, glue).alias("left"),
-        )
+            t["start"].alias("start"),
+            F.when(secret, F.lit(SECRET)).otherwise(t["kind"]).alias("kind"),
+            t["end"].alias("end"),
+            t["value"].alias("value"),
+            F.when(word != "", F.concat_ws(" ", word, glue)).alias("left"),
+            F.lower(F.nullif(F.regexp_extract(before, near, 1), F.lit(""))).alias("left_2"),
+            F.lower(F.nullif(F.regexp_extract(after, r"\A[^\p{L}0-9]{0,4}(\p{L}++)", 1), F.lit(""))).alias("right"),
+        )
 
+    # A piece holds the code points from PIECE times its number, and MARGIN more on both sides.
+    numbers = F.sequence(F.lit(0), F.floor(F.length("text") / PIECE).cast("int"))
+    cut = F.transform(
+        numbers,
+        lambda i: F.substring("text", F.greatest(F.lit(1), i * PIECE - MARGIN + 1), F.when(i > 0, PIECE + 2 * MARGIN).otherwise(PIECE + MARGIN)),
+    )
+    rows = rows.select("doc_id", "base", found.alias("found"), F.when(F.size(found) > 0, cut).alias("pieces"))
     return rows.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
         "base",
-        F.transform(found, with_left).alias("instances"),
+        F.transform("found", around).alias("instances"),
     )
 
 
+def _cut(start: Column, length: Column) -> Column:
+    """Up to MARGIN code points of the text from ``start``, from the piece that holds them."""
+    start = F.greatest(F.lit(0), start)
+    number = F.floor(start / PIECE).cast("int")
+    at = start - number * PIECE + F.when(number > 0, MARGIN).otherwise(0)
+    return F.substring(F.element_at("pieces", number + 1), (at + 1).cast("int"), length)
+
+
+def _could_be(number: int, value: Column) -> Column:
+    """A candidate, however it is written, has what every value of the kind has."""
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    if number == SECRET:
+        return F.regexp_like(value, F.lit(r"\A(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])[A-Za-z0-9+/_=.-]{16,}+\z"))
+    kind = KINDS[number]
+    if kind == "email":
+        return F.regexp_like(value, F.lit(r"\A[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]++\z"))
+    if kind == "ip":
+        return F.regexp_like(value, F.lit(rf"\A{_PART}(?:[.-]{_PART}){{3}}\z"))
+    if kind == "card":
+        plain = F.regexp_like(value, F.lit(r"\A[0-9\x20./-]++\z"))
+        return F.when(plain & F.length(digits).between(14, 19), _luhn(digits)).otherwise(False)
+    return F.regexp_like(value, F.lit(r"\A[0-9\x20()./+-]++\z")) & F.length(digits).between(7, 15)
+
+
 def shape(value: Column) -> Column:
     """Letters as a, digits as 9 with their number, punctuation as it is; long hex strings as hex."""
     digits = F.regexp_replace(value, "[0-9]", "9")
@@ -198,44 +256,74 @@ def _sure(good: Column, n: Column) -> Column:
     return (share + square / (2 * n) - spread) / (1 + square / n)
 
 
-def discover(scanned: DataFrame) -> DataFrame:
-    """(value, kind) of candidates that the scored patterns take for personal data."""
-    one = F.explode("instances")
-    occurrences = scanned.select(one.alias("i")).select(
-        F.col("i.value").alias("value"), F.col("i.kind").alias("kind"), F.col("i.left").alias("left")
+def _patterns() -> Column:
+    """The lexical patterns that an instance shows; those whose words are missing are left out."""
+    form, left = shape(F.col("value")), F.col("left")
+    return F.array_compact(
+        F.array(
+            F.concat(F.lit("shape "), form),
+            F.concat(F.lit("left shape "), left, F.lit(" "), form),
+            F.concat(F.lit("left "), left),
+            F.concat(F.lit("left two "), F.col("left_2"), F.lit(" "), left),
+            F.concat(F.lit("around "), left, F.lit(" _ "), F.col("right")),
+        )
+    )
+
+
+def _accepts(edges: DataFrame, scores: DataFrame) -> DataFrame:
+    """(value, pattern, as_kind, score) of the candidates that sure patterns hold and that could be of their kind."""
+    allowed = F.lit(False)
+    for number in range(len(ALL_KINDS)):
+        allowed = F.when(F.col("as_kind") == number, _could_be(number, F.col("value"))).otherwise(allowed)
+    dealt = scores.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = edges.filter("kind < 0").select(
+        "value", "pattern", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int").alias("salt")
+    )
+    held = salted.join(dealt, ["pattern", "salt"]).filter(allowed & ~_failed(F.col("value"), F.col("as_kind")))
+    return held.select("value", "pattern", "as_kind", "score")
+
+
+def _held_by_others(edges: DataFrame, held: DataFrame) -> DataFrame:
+    """(pattern, as_kind) of each edge whose value was accepted through a pattern other than the edge's."""
+    votes = held.groupBy("value", "as_kind").agg(F.count("*").alias("holders"))
+    own = held.select("value", "pattern", "as_kind", F.lit(1).alias("own"))
+    meeting = edges.filter("kind < 0").select("value", "pattern").join(votes, "value")
+    return (
+        meeting.join(own, ["value", "pattern", "as_kind"], "left")
+        .filter(F.col("holders") - F.coalesce("own", F.lit(0)) > 0)
+        .select("pattern", "as_kind")
     )
-    form = shape(F.col("value"))
-    patterns = F.array(F.concat(F.lit("shape "), form), F.concat(F.lit("left "), F.col("left"), F.lit(" "), form))
-    edges = (
-        occurrences.select("value", "kind", F.explode(patterns).alias("pattern"))
+
+
+def discover(scanned: DataFrame) -> DataFrame:
+    """(value, found) of values outside the base spans that are personal data, with the number of their kind."""
+    occurrences = scanned.select(F.explode("instances").alias("i")).select("i.*")
+    edges = materialize(
+        occurrences.select("value", "kind", F.explode(_patterns()).alias("pattern"))
         .groupBy("value", "pattern")
-        .agg(F.max("kind").alias("kind"))
+        .agg(F.max("kind").alias("kind"), F.bool_or((F.col("kind") < 0) | (F.col("kind") == SECRET)).alias("free")),
+        "pii-edges",
     )
-    edges = materialize(edges, "pii-edges")
-    # A kind is only looked for where patterns have seeds of it; that leaves few (pattern, kind) pairs.
-    seeded = (
-        edges.filter("kind >= 0").groupBy("pattern", F.col("kind").alias("as_kind")).agg(F.count("*").alias("seeds"))
-    ).filter(F.col("seeds") >= MIN_SEEDS)
-    graph = materialize(
-        edges.join(seeded, "pattern").select(
-            "value", "pattern", "as_kind", "kind", (F.col("kind") == F.col("as_kind")).alias("known"),
-            # Seeds of another kind are decided, too.
-            ((F.col("kind") >= 0) | _failed(F.col("value"), F.col("as_kind"))).alias("closed"),
-        ),
-        "pii-graph",
+    # Patterns with fewer instances than a score needs never score.
+    totals = materialize(
+        edges.groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_SEEDS), "pii-totals"
     )
-    belief = graph.select("*", F.col("known").alias("belief"))
+    seeds = edges.filter("kind >= 0").select("pattern", F.col("kind").alias("as_kind"))
+    good = seeds
     for _ in range(ROUNDS):
-        scores = belief.groupBy("pattern", "as_kind").agg(
-            _sure(F.count_if("belief").cast("double"), F.count("*")).alias("score")
-        )
-        scored = materialize(graph.join(scores, ["pattern", "as_kind"]), "pii-scores")
-        above = (F.col("score") >= ACCEPT).cast("long")
-        holders = scored.groupBy("value", "as_kind").agg(F.sum(above).alias("holders"))
-        others = ~F.col("closed") & (F.col("holders") - above > 0)
-        belief = scored.join(holders, ["value", "as_kind"]).withColumn("belief", F.col("known") | others)
-    best = scored.filter(~F.col("closed") & (F.col("score") >= ACCEPT))
-    return best.groupBy("value").agg(F.max_by("as_kind", F.struct("score", "as_kind")).alias("found"))
+        counts = good.groupBy("pattern", "as_kind").agg(F.count("*").alias("good")).filter(F.col("good") >= MIN_SEEDS)
+        scores = counts.join(totals, "pattern").withColumn("score", _sure(F.col("good").cast("double"), F.col("n")))
+        sure = scores.filter(F.col("score") >= ACCEPT).select("pattern", "as_kind", "score")
+        held = materialize(_accepts(edges, sure), "pii-held")
+        good = seeds.unionByName(_held_by_others(edges, held))
+    known = (
+        edges.groupBy("value")
+        .agg(F.max("kind").alias("as_kind"), F.bool_or("free").alias("free"))
+        .filter(F.col("free") & (F.col("as_kind") >= 0))
+        .select("value", "as_kind", F.lit(2.0).alias("score"))
+    )
+    accepted = held.select("value", "as_kind", "score").unionByName(known)
+    return accepted.groupBy("value").agg(F.max_by("as_kind", F.struct("score", "as_kind")).alias("found"))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
@@ -244,7 +332,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     found = discover(scanned)
     extra = (
         scanned.select("row", F.explode("instances").alias("i"))
-        .filter("i.kind < 0")
+        .filter((F.col("i.kind") < 0) | (F.col("i.kind") == SECRET))
         .select("row", F.col("i.value").alias("value"), F.col("i.start").alias("start"), F.col("i.end").alias("end"))
         .join(found, "value")
         .groupBy("row")
@@ -257,7 +345,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
         )
     )
     rows = scanned.select("row", "doc_id", "base").join(extra, "row", "left")
-    names = F.array(*map(F.lit, KINDS))
+    names = F.array(*map(F.lit, ALL_KINDS))
 
     def joined(spans: Column) -> Column:
         return F.array_join(

@@ -395,3 +395,41 @@ def test_pieces_with_one_hash_are_told_apart(monkeypatch):
         ids, counts = encoder.encode(bodies, 2)
         want = [[*e.ids, 2] for e in encoder.library.encode_batch(bodies, add_special_tokens=False)]
         assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_pii_contexts_find_what_is_written_otherwise(spark):
+    """A context learned from seeds finds a form no seed has; accepted values promote a further context; decoys stay."""
+    rows = [(n, f"please dial +1 ({200 + n}) 555-{1000 + n} now") for n in range(60)]
+    rows += [(100, "please dial (017) 555-7713 now"), (101, "please dial 018 555 7714 soon"), (102, "please dial 99887 now")]
+    # A word that mostly precedes other numbers is no context, though phones follow it, too.
+    rows += [(200 + n, f"about +1 (300) 555-{2000 + n}, or so") for n in range(4)]
+    rows += [(210 + n, f"about {5550000 + n} units") for n in range(16)]
+    # Values found behind "dial" stand behind "ring" as well, where no seed does.
+    both = [f"0{n}9 666-77{n}" for n in range(10, 22)]
+    rows += [(300 + n, f"please dial {v} now") for n, v in enumerate(both)]
+    rows += [(400 + n, f"ring {v} today") for n, v in enumerate(both)] + [(420, "ring 044/777-1234 again")]
+    rows += [(500 + n, f'token = "{n:02d}{"a7" * 19}"') for n in range(6)] + [(510, f'jeton = "{"b8" * 20}"')]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    spans = {}
+    for r in find_pii(docs).collect():
+        spans[r["doc_id"]] = [(k, text[r["doc_id"]][int(a) : int(b)]) for k, a, b in (s.split(":") for s in filter(None, r["spans"].split(",")))]
+    assert spans[100] == [("phone", "(017) 555-7713")] and spans[101] == [("phone", "018 555 7714")] and spans[102] == []
+    assert all(spans[210 + n] == [] for n in range(16))
+    assert all(spans[300 + n] == spans[400 + n] == [("phone", v)] for n, v in enumerate(both))
+    assert spans[420] == [("phone", "044/777-1234")]
+    assert all(spans[500 + n] == [("secret", f"{n:02d}{'a7' * 19}")] for n in range(6))
+    shorter = find_pii(docs.filter("doc_id < 100 or doc_id = 420")).filter("doc_id = 420").first()
+    assert shorter["spans"] == "" and shorter["n_found"] == 0
+
+
+def test_words_around_are_cut_from_pieces_of_long_texts(spark):
+    """Every candidate of a text of several pieces has the words that stand around it in the whole text."""
+    body = " ".join(f"id{n:07d}x é wört{'abc'[n % 3]} 漢: 044{n:06d}, {'xyz'[n % 3]}é then" for n in range(500))
+    assert len(body) > 4 * pii.PIECE
+    found = pii.scan(spark.createDataFrame([(1, body)], "doc_id long, text string")).first()["instances"]
+    numbers = [i for i in found if i["value"].startswith("044")]
+    assert len(numbers) == 500 and len(found) == 1000
+    for n, i in enumerate(numbers):
+        assert body[i["start"] : i["end"]] == i["value"] == f"044{n:06d}"
+        assert (i["left"], i["left_2"], i["right"]) == ("漢 :", f"wört{'abc'[n % 3]}", f"{'xyz'[n % 3]}é")
