@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from strataload.llm.tables import LOWER, UPPER
+from strataload.llm.url_filter import BASE_RULES, METHOD_RULES
+
 
 def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
     """Lloyd's rounds as a chain of tables: every part against every entry, then the floors of the means."""
@@ -46,6 +49,31 @@ def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int
     """
 
 
+def _url_verdicts() -> str:
+    """Every rule against every URL, without an index."""
+    base = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in BASE_RULES)
+    method = ", ".join(f"('{r.pattern}', '{r.verdict}')" for r in METHOD_RULES)
+    return rf"""
+        WITH u AS (
+          SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)\A.*?://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+            coalesce(regexp_extract(url, '(?s)\A.*?://[^/?#]*([^?#]*)', 1), '') AS path
+          FROM pages
+        ), b(rule_host, rule_path, verdict) AS (VALUES {base}
+        ), m(pattern, verdict) AS (VALUES {method}
+        )
+        SELECT page_id, host, path, fit.name AS rule, coalesce(fit.verdict, other.verdict, 'allow') AS verdict,
+          other.name AS method_rule
+        FROM (
+          SELECT page_id, host, path,
+            (SELECT arg_max({{'name': rule_host || rule_path, 'verdict': verdict}}, length(rule_host || rule_path)) FROM b
+             WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS fit,
+            (SELECT arg_max({{'name': pattern, 'verdict': verdict}}, (length(pattern), pattern)) FROM m
+             WHERE host <> '' AND regexp_matches(host || path, pattern)) AS other
+          FROM u
+        )
+    """
+
+
 ORACLES = {
     "op8_exact_dedup": r"""
         WITH d AS (
@@ -56,6 +84,7 @@ ORACLES = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
     """,
+    "op10_url_filters": _url_verdicts(),
     "op11_cover_codes": _vector_codes(),
     "op13_infill": r"""
         WITH d AS (
