@@ -8,7 +8,8 @@ start, which keeps the furthest end seen per priority; nothing is compared in pa
 
 The operator works row by row and shuffles nothing, so a hot licence line cannot skew it.
 
-Defined results: NULL and empty texts have no words and no detections; repeated rows give repeated results.
+Defined results: NULL and empty texts have no words and no detections; repeated rows give repeated results;
+an empty table gives no rows. Texts are read whole, in time linear in their words and detections.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ piece. Whether two pieces go together is remembered, as is the encoding of short
 A text is cut where no merge can happen: before a space mark that follows another character, and around
 characters that no piece holds. Characters without a piece become their UTF-8 byte pieces.
 
-Defined results: NULL and empty texts give the end id alone and decode to the empty text.
+Defined results: NULL and empty texts give the end id alone and decode to the empty text; NULL ids stay NULL,
+and repeated rows give repeated results.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ their sums reach the driver.
 
 Defined results: NULL and empty texts get the score of their statistics (all zero), like any other text; a
 training set without both labels gives every text the score 1 or 0 of the label it has, and 1 without any.
+Of conflicting labels of one document the larger counts.
 """
 
 from __future__ import annotations

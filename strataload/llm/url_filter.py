@@ -7,7 +7,7 @@ their regular expressions. The index is a literal inside the plan: it holds the
 property of the rule list, never of the data.
 
 Defined results: a NULL URL or one without ``://`` has an empty host and path; no rule fits it and the
-verdict is ``allow``. Repeated rows give repeated results.
+verdict is ``allow``. Repeated rows give repeated results, an empty table none; URLs of any length are read whole.
 """
 
 from __future__ import annotations
