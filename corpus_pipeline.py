@@ -5,6 +5,9 @@
 3. near_dedup: of each component of documents linked by similar shingles the one with the smallest id stays.
 4. decontamination: documents that hold a benchmark item go.
 5. encode: sub-word ids of the texts that are left, and the texts decoded from them.
+
+Defined results: NULL texts count as empty; every stage judges each row by its own text, rows without id or with a repeated
+one too; an empty table gives no rows. A document without a label is judged by the classifier like any other.
 """
 
 from __future__ import annotations
