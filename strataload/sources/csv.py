@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataload.operators.dedup import first_of_repeated
-from strataload.session import materialize, scratch_path
+from strataload.session import materialize
 from strataload.sources.schemas import STAGING_TYPES, raw_schema
 
 # A quote inside a quoted field is doubled, and blanks around a field belong to it.
@@ -23,6 +23,8 @@ CSV_DIALECT = {
 # An unquoted empty field is NULL, a quoted one is empty text. The reader tells them apart only if the
 # text it takes for NULL cannot occur in a file.
 _NULL_TEXT = "\u0000"
+# Wide enough to see what a staging type would round.
+_FULL = T.DecimalType(38, 18)
 
 
 def read_sales_csv(spark: SparkSession, path: str, names: list[str], multi_line: bool = False) -> DataFrame:
@@ -42,55 +44,67 @@ def write_sales_csv(df: DataFrame, path: str) -> None:
     df.write.options(**CSV_DIALECT).csv(path)
 
 
-def _attempt(name: str, kind: T.DataType, date_format: str | None) -> tuple[Column, Column]:
-    """The text as ``kind``, and what is wrong with it: text that is no such value, or that the type would round.
+def _attempted(raw: DataFrame, kinds: dict[str, T.DataType], date_format: str | None) -> DataFrame:
+    """``raw`` with each of ``kinds`` beside its text: as ``_<name>``, and decimals in full as ``_full_<name>``.
+
+    Every text is parsed once.
+    """
+    money = {name: kind for name, kind in kinds.items() if isinstance(kind, T.DecimalType)}
+    attempts = {f"_full_{name}": F.col(name).try_cast(_FULL) for name in money}
+    for name, kind in kinds.items():
+        if kind.typeName() == "date" and date_format:
+            attempts[f"_{name}"] = F.try_to_date(F.col(name), date_format)
+        elif name not in money:
+            attempts[f"_{name}"] = F.col(name).try_cast(kind)
+    rounded = {f"_{name}": F.col(f"_full_{name}").try_cast(kind) for name, kind in money.items()}
+    return raw.withColumns(attempts).withColumns(rounded)
+
+
+def _misfit(name: str, kind: T.DataType) -> tuple[Column, Column]:
+    """Whether a text is no such value, or one that the type would round; and what to say of it.
 
     Neither depends on the session's settings.
     """
-    raw = F.col(name)
-    value = F.try_to_date(raw, date_format) if kind.typeName() == "date" and date_format else raw.try_cast(kind)
+    raw, value = F.col(name), F.col(f"_{name}")
     lost = value.isNull()
     if isinstance(kind, T.DecimalType):
-        lost = lost | ~raw.try_cast(T.DecimalType(38, 18)).eqNullSafe(value.cast(T.DecimalType(38, 18)))
-    said = F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), raw)
-    return value, F.when(raw.isNotNull() & lost, said)
+        lost = lost | (F.col(f"_full_{name}") != value.cast(_FULL))
+    return raw.isNotNull() & lost, F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), raw)
 
 
 def typed_sales(raw: DataFrame, date_format: str | None = None) -> DataFrame:
     """Cast the text columns to the staging types. A value that does not fit is an error."""
+    kinds = {name: STAGING_TYPES[name] for name in raw.columns if name in STAGING_TYPES}
     columns = []
     for name in raw.columns:
-        kind = STAGING_TYPES.get(name)
-        if kind is None:
+        if name not in kinds:
             columns.append(F.col(name))
             continue
-        value, wrong = _attempt(name, kind, date_format)
-        columns.append(F.when(wrong.isNotNull(), F.raise_error(wrong).cast(kind)).otherwise(value).alias(name))
-    return raw.select(*columns)
+        misfit, said = _misfit(name, kinds[name])
+        columns.append(F.when(misfit, F.raise_error(said).cast(kinds[name])).otherwise(F.col(f"_{name}")).alias(name))
+    return _attempted(raw, kinds, date_format).select(*columns)
 
 
 def split_sales(raw: DataFrame, date_format: str | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
     """(typed rows, rejected rows, counts): one pass over the file writes both, and counts them on the way.
 
-    A rejected row keeps its text, and ``reasons`` lists every value that does not fit.
+    A rejected row keeps its text, and ``reasons`` lists every value that does not fit. Both kinds lie in the same
+    files: a folder for each would make every task sort its rows by folder before it writes them.
     """
     kinds = {name: STAGING_TYPES[name] for name in raw.columns if name in STAGING_TYPES}
-    attempts = {name: _attempt(name, kind, date_format) for name, kind in kinds.items()}
-    wrong = F.array_compact(F.array(*[said for _, said in attempts.values()]))
+    misfits = {name: _misfit(name, kind) for name, kind in kinds.items()}
+    wrong = F.array_compact(F.array(*[F.when(misfit, said) for misfit, said in misfits.values()]))
     as_text = F.struct(*[F.col(name).alias(name) for name in kinds])
-    rows = raw.select(
-        *[attempts[name][0].alias(name) if name in kinds else F.col(name) for name in raw.columns],
+    rows = _attempted(raw, kinds, date_format).select(
+        *[F.col(f"_{name}").alias(name) if name in kinds else F.col(name) for name in raw.columns],
         wrong.alias("reasons"),
         as_text.alias("_text"),
     )
     rejected = F.size("reasons") > 0
     seen = Observation()
     counts = (F.count(F.lit(1)).alias("read"), F.count_if(~rejected).alias("typed"), F.count_if(rejected).alias("rejected"))
-    path = scratch_path(raw.sparkSession, "sales")
     marked = rows.withColumn("_text", F.when(rejected, F.col("_text"))).withColumn("rejected", rejected)
-    marked.observe(seen, *counts).write.partitionBy("rejected").parquet(path)
-    schema = T.StructType([*rows.schema.fields, T.StructField("rejected", T.BooleanType())])
-    stored = raw.sparkSession.read.schema(schema).parquet(path)
+    stored = materialize(marked.observe(seen, *counts), "sales")
     bad = stored.where("rejected").select(
         *[F.col(f"_text.{name}").alias(name) if name in kinds else F.col(name) for name in raw.columns], "reasons"
     )
