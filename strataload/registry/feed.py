@@ -54,9 +54,15 @@ class Feed:
         rows = self.table("lineitem").where(SOURCE_FILTER[source]).select(*sorted(line_columns))
         if distinct:
             rows = rows.distinct()
-        for lookup in LOOKUPS:
-            if lookup.prefix in wanted:
-                rows = rows.join(self.table(lookup.table), F.expr(lookup.condition), "left")
+        tables = {lookup.prefix: self.table(lookup.table) for lookup in LOOKUPS if lookup.prefix in wanted}
+        conditions = {lookup.prefix: F.expr(lookup.condition) for lookup in LOOKUPS}
+        if "c" in wanted:
+            # Orders are fewer and narrower than lines, so they meet the customers first.
+            tables["o"] = tables["o"].join(tables.pop("c"), conditions["c"], "left")
+        # Nations and regions come last: they fit a broadcast, and would only widen the rows of the other joins.
+        for prefix in "opsnr":
+            if prefix in tables:
+                rows = rows.join(tables[prefix], conditions[prefix], "left")
         return rows.select(*[F.expr(SALES[name].text).alias(name) for name in names])
 
     def staged(self, source: str) -> DataFrame:
