@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from strataload.functions.text import fold_null
 from strataload.session import materialize
 
+# Bits by which rows with a repeated key are told from the others.
+_MARK_BITS = 1 << 26
+
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -39,15 +42,19 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] =
 def first_of_repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``first_per_key`` for wide rows whose keys mostly occur once; pass written rows, they are read three times.
 
-    The repeated keys are found on the key columns alone. Only rows with such a key are ranked; all others pass as
-    they are, without a sort or, while the repeated keys are small enough for Spark to broadcast, a shuffle.
+    The repeated keys are found on the key columns alone. Each sets one bit among ``_MARK_BITS``, chosen by its hash;
+    the words that hold a set bit, a million at most, are broadcast. Only rows whose bit is set are shuffled and
+    ranked: those with a repeated key, and the few that share a bit with one. All others pass as they are.
     """
-    names = [f"_again{i}" for i in range(len(keys))]
-    repeated = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys).toDF(*names)
-    repeated = materialize(repeated, "repeated")
-    condition = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
-    again = first_per_key(df.join(repeated, condition, "left_semi"), keys)
-    return df.join(repeated, condition, "left_anti").unionByName(again)
+    repeated = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    spot = F.pmod(F.xxhash64(*keys), F.lit(_MARK_BITS))
+    word, bit = F.shiftright(spot, 6).cast("int"), spot.bitwiseAND(F.lit(63)).cast("int")
+    set_bits = repeated.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit"))
+    marks = materialize(set_bits.groupBy("_word").agg(F.bit_or("_bit").alias("_bits")), "repeated")
+    marked = df.withColumn("_at", word).join(F.broadcast(marks), F.col("_at") == F.col("_word"), "left")
+    again = F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False))
+    ranked = first_per_key(marked.where(again).select(*df.columns), keys)
+    return marked.where(~again).select(*df.columns).unionByName(ranked)
 
 
 def survivor_state(df: DataFrame, key: str, priority: str, attributes: Sequence[str]) -> DataFrame:
