@@ -34,6 +34,7 @@ RIDGE = 1e-3
 BINS = 2000
 SEED = 7
 THRESHOLD = 0.3
+ROWS = 500  # worked on at once; a batch of Spark's has 10,000
 
 STATISTICS = [
     "log_bytes", "log_words", "word_bytes", "upper", "digits", "spaces", "points", "marks", "bars", "other",
@@ -86,6 +87,13 @@ def statistics(text: bytes) -> list[float]:
     ]
 
 
+def _portions(batches) -> Iterator:
+    """The rows of Arrow batches, a few at a time: a worker then holds the texts and matrices of ROWS rows only."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def with_statistics(docs: DataFrame) -> DataFrame:
     """(doc_id, stats) per document."""
 
@@ -94,7 +102,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 
         from strataload.llm.hashing import utf8
 
-        for batch in batches:
+        for batch in _portions(batches):
             rows = [statistics(t) for t in utf8(batch.column("text"))]
             stats = pa.array(rows, pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), stats], ["doc_id", "stats"])
@@ -163,7 +171,7 @@ def fit(labelled: DataFrame) -> Model:
         import pyarrow as pa
 
         total = np.zeros((width, width + 1))
-        for batch in batches:
+        for batch in _portions(batches):
             x = model.cosines(_stack(batch))
             y = np.array(batch.column("label"), dtype=np.float64)
             total += x.T @ np.hstack([x, y[:, None]])
@@ -180,7 +188,7 @@ def fit(labelled: DataFrame) -> Model:
     def scores(batches) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in _portions(batches):
             raw = np.clip(model.raw(_stack(batch)), -0.5, 1.5)
             yield pa.RecordBatch.from_arrays([pa.array(raw), batch.column("label")], ["raw", "label"])
 
@@ -215,7 +223,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in _portions(batches):
             score = model.score(_stack(batch))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
@@ -236,6 +244,7 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         stats = np.array([statistics(t) for t in bodies], dtype=float).reshape(-1, len(STATISTICS))
-        return batch.filter(pa.array(model.score(stats) >= THRESHOLD))
+        score = [model.score(stats[at : at + ROWS]) for at in range(0, len(stats), ROWS)]
+        return batch.filter(pa.array(np.concatenate(score) >= THRESHOLD if score else [], pa.bool_()))
 
     return with_bodies(docs, passed)
