@@ -26,7 +26,6 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,6 +39,7 @@ BLOCK_TOKENS = 1 << 20
 MIN_PAIR = 24
 BINS = 20
 KEPT = 1_000_000  # pieces remembered by a worker: some 50 MB
+SLOTS = 1 << 22  # of the table that finds them, well above the pieces of KEPT and of one group
 GROUP = 1 << 21  # characters encoded at once
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = range(5)
 END = np.uint32(0xFFFFFFFF)
@@ -70,8 +70,9 @@ class PieceEncoder:
     The tokenizer first splits a text into pieces: a word, a number or a run of other characters, each with a space
     before it, the endings after an apostrophe, and white space. That depends on the kinds of neighbouring characters
     alone, so it is done in numpy for a group of texts; of what kind a character is, the library is asked once. Pieces
-    are hashed, and each distinct one is looked up once. A second hash stands for the content: where it disagrees with
-    the first, the group's texts are encoded whole. At most KEPT pieces are remembered.
+    are hashed and looked up in a table with open addressing; each distinct one that is not there goes to the library
+    once. A second hash stands for the content: where it disagrees with the first, the group's texts are encoded whole.
+    Pieces are forgotten once there are more than KEPT.
     """
 
     def __init__(self, path: str) -> None:
@@ -101,6 +102,7 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
+        self.table = np.full(SLOTS, -1, dtype=np.int32)
         self.hashes = self.proofs = np.zeros(0, dtype=np.uint64)
         self.starts = self.lengths = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.int32)
@@ -150,16 +152,39 @@ class PieceEncoder:
         if len(spelt) != len(pieces):
             spelt = [piece.encode().decode("latin-1").translate(self.letters) for piece in pieces]
         tokenize = self.model.tokenize
-        found = [[token.id for token in tokenize(piece)] for piece in spelt]
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
-        # Both sides are in ascending order of their hashes.
-        at = np.searchsorted(self.hashes, hashes)
-        self.hashes = np.insert(self.hashes, at, hashes)
-        self.proofs = np.insert(self.proofs, at, proofs)
-        self.starts = np.insert(self.starts, at, len(self.flat) + np.cumsum(lengths) - lengths)
-        self.lengths = np.insert(self.lengths, at, lengths)
+        found: list[int] = []
+        sizes: list[int] = []
+        for piece in spelt:
+            tokens = tokenize(piece)
+            sizes.append(len(tokens))
+            found += [token.id for token in tokens]
+        lengths, flat = np.array(sizes, dtype=np.int64), np.array(found, dtype=np.int32)
+        number = np.arange(len(self.hashes), len(self.hashes) + len(hashes), dtype=np.int32)
+        self.hashes = np.concatenate((self.hashes, hashes))
+        self.proofs = np.concatenate((self.proofs, proofs))
+        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
+        self.lengths = np.concatenate((self.lengths, lengths))
         self.flat = np.concatenate((self.flat, flat))
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        while len(number):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = number[free]
+            # Of several that meet in a free slot one has it; the others go on to the next.
+            left = self.table[slot] != number
+            number, slot = number[left], (slot[left] + 1) & (SLOTS - 1)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of the pieces remembered, -1 for others."""
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        number = np.take(self.table, slot)
+        if not len(self.hashes):
+            return number
+        open_ = np.flatnonzero((number >= 0) & (np.take(self.hashes, number, mode="clip") != hashes))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (SLOTS - 1)
+            number[open_] = self.table[slot[open_]]
+            open_ = open_[(number[open_] >= 0) & (np.take(self.hashes, number[open_], mode="clip") != hashes[open_])]
+        return number
 
     def _whole(self, body: str, end: int) -> np.ndarray:
         return np.array([*self.library.encode(body, add_special_tokens=False).ids, end], dtype=np.int32)
@@ -179,17 +204,16 @@ class PieceEncoder:
         else:
             values = mix(points.astype(np.uint64) + np.uint64(1))
         hashes, proofs = (hasher(values, starts, ends) for hasher in self.hashers)
-        kinds, sample, kind = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) > KEPT:
             self._forget()
-        missing = np.ones(len(kinds), dtype=bool)
-        if len(self.hashes):
-            missing = self.hashes[np.minimum(np.searchsorted(self.hashes, kinds), len(self.hashes) - 1)] != kinds
-        if missing.any():
-            where = sample[missing]
+        number = self._find(hashes)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            kinds, sample, kind = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            number[missing] = len(self.hashes) + kind
+            where = missing[sample]
             pieces = [joined[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
-            self._learn(kinds[missing], proofs[where], pieces)
-        number = np.searchsorted(self.hashes, kinds)[kind]
+            self._learn(kinds, proofs[where], pieces)
         if (self.proofs[number] != proofs).any():
             return [self._whole(body, end) for body in bodies]
         lengths = self.lengths[number]

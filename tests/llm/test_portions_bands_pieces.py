@@ -1,8 +1,10 @@
-"""Bounded portions of quality rows."""
+"""Bounded portions of quality rows, remembered pieces."""
 
+import numpy as np
 import pyarrow as pa
+import pytest
 
-from strataload.llm import quality
+from strataload.llm import quality, token_store
 
 
 def test_quality_rows_are_worked_on_in_portions():
@@ -10,3 +12,19 @@ def test_quality_rows_are_worked_on_in_portions():
     parts = list(quality._portions([batch, batch.slice(0, 0), batch.slice(0, 1)]))
     assert [p.num_rows for p in parts] == [quality.ROWS, quality.ROWS, 3, 1]
     assert [i for p in parts[:3] for i in p.column("doc_id").to_pylist()] == list(range(2 * quality.ROWS + 3))
+
+
+def test_pieces_that_meet_in_a_slot_are_found_again(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(token_store, "SLOTS", 1 << 8)
+    encoder = token_store.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    bodies = [" ".join(f"q{chr(97 + i % 26)}{i}z" for i in range(n, n + 20)) for n in (0, 10, 30)] + ["", "no", "no no"]
+    for _ in range(2):
+        ids, counts = encoder.encode(bodies, 2)
+        plain = [[*encoder.library.encode(b, add_special_tokens=False).ids, 2] for b in bodies]
+        assert ids.tolist() == sum(plain, []) and counts.tolist() == [len(p) for p in plain]
+    known = len(encoder.hashes)
+    assert known == len(np.unique(encoder.hashes)) and (encoder.table >= 0).sum() == known
+    monkeypatch.setattr(token_store, "KEPT", known - 1)
+    assert encoder.encode(["another piece"], 2)[0].tolist() == [*encoder.library.encode("another piece").ids, 2]
+    assert len(encoder.hashes) < known
