@@ -23,10 +23,12 @@ Sets that probably belong together share a block, and a set is sent once to each
 in. The pairs of large groups exist only inside the task that decides them; it returns, per set, the number of
 documents it is linked to and one link that keeps the set connected.
 Equal sets are one node from the start: each task sends a set once, and families of equal documents of any
-size cost one row per task. Signatures travel packed, by ranges of their hashes; ranges grow in number with
-the input, and a set's name goes to as many of them as it has signatures at most. With it go its size, in two
-bytes, and ``need``, in one, which is rounded down where it is large: that only adds candidates. The bitmap that tells a scan which sets are wanted has a fixed size; when it fills, more sets are
-shuffled than needed, and results stay the same.
+size cost one row per task. Signatures travel packed, by ranges of their hashes within a band; a band has ranges in
+proportion to its signatures, as counted from the sets' sizes. A set's name goes to ranges of its two bands only, and
+to as many as it has signatures at most. With it go its size, in two bytes, and ``need``, in one, which is rounded
+down where it is large: that only adds candidates. Signatures lie by set, so that their owners are small steps.
+The bitmap that tells a scan which sets are wanted has a fixed size; when it fills, more sets are shuffled than
+needed, and results stay the same.
 
 Defined results: documents without words have an empty set, n_shingles 0, and form their own component each;
 those with fewer words than a shingle have one. Repeated ids form one document only if their sets are linked;
@@ -50,7 +52,7 @@ from strataload.session import materialize
 SHINGLE = 5
 SMALL = 16
 RUN_BYTES, RUN_SETS = 4 << 20, 30_000
-RANGE_BYTES = 8 << 20
+RANGE_SIGNATURES = 1 << 20
 BITMAP_BITS = 23
 BLOCK_BYTES = 1 << 20
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(1, SHINGLE + 1)]
@@ -188,9 +190,22 @@ def signatures(grams: np.ndarray, band: int) -> tuple[np.ndarray, int]:
 SIGNED = "range int, signatures binary, who binary, nodes binary, sizes binary, needs binary"
 
 
-def _sign(ranges: int):
-    """Packed signatures of the distinct sets of a task. ``who`` is twice the set's number, plus one in the
-    instance of the next larger band."""
+def _ranges(members: DataFrame) -> np.ndarray:
+    """The first range of each band, and the number of all, from the sizes of the documents' sets."""
+    sizes = members.filter("size > 0").groupBy("size").agg(F.count("*").alias("n"))
+    band = F.size(F.filter(F.lit(ENDS.tolist()), lambda end: end < F.col("size"))).alias("band")
+    given = [F.least(F.col("size"), F.element_at(F.lit(parts(np.arange(len(ENDS))).tolist()), F.col("band") + i)) for i in (1, 2)]
+    sums = sizes.select("size", "n", band).groupBy("band").agg(*(F.sum(F.col("n") * g).alias(f"n{i}") for i, g in enumerate(given)))
+    volume = np.zeros(len(ENDS) + 1, dtype=np.int64)
+    for row in sums.collect():
+        volume[row["band"]] += row["n0"]
+        volume[row["band"] + 1] += row["n1"]
+    return np.concatenate(([0], np.cumsum(volume // RANGE_SIGNATURES + 1)))
+
+
+def _sign(first_range: np.ndarray):
+    """Packed signatures of the distinct sets of a task. An owner is twice the set's number, plus one in the
+    instance of the next larger band; ``who`` holds the steps between the owners."""
 
     def sign(batches) -> Iterator:
         import pyarrow as pa
@@ -201,36 +216,34 @@ def _sign(ranges: int):
         needs: list[int] = []
         marks: list[np.ndarray] = []
         owners: list[np.ndarray] = []
+        places: list[np.ndarray] = []
 
         def flush() -> Iterator:
-            mark, owner = np.concatenate(marks), np.concatenate(owners)
-            where = ((mark >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-            order = np.argsort(mark)
+            mark, owner, where = np.concatenate(marks), np.concatenate(owners), np.concatenate(places)
+            order = np.argsort(where, kind="stable")
             mark, owner, where = mark[order], owner[order], where[order]
-            cuts = np.searchsorted(where, np.arange(ranges + 1))
+            present = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+            cuts = np.append(present, len(where)).tolist()
             node, size = np.array(nodes, "<i8"), size_code(np.array(sizes, dtype=np.int64))
             need = need_code(np.array(needs, dtype=np.int64)).reshape(-1, 2)
-            for low in range(0, ranges, 50):
+            for low in range(0, len(present), 50):
                 rows = []
-                for k in range(low, min(low + 50, ranges)):
-                    if cuts[k] == cuts[k + 1]:
-                        continue
+                for k in range(low, min(low + 50, len(present))):
                     who = owner[cuts[k] : cuts[k + 1]]
                     used, local = np.unique(who >> 1, return_inverse=True)
                     # The low half of the hash tells signatures of one range apart; chance meetings are decided later.
                     rows.append(
                         (
-                            k,
+                            int(where[cuts[k]]),
                             mark[cuts[k] : cuts[k + 1]].astype("<u4").tobytes(),
-                            (local * 2 + (who & 1)).astype("<u2").tobytes(),
+                            np.diff(local * 2 + (who & 1), prepend=0).astype("<u2").tobytes(),
                             node[used].tobytes(), size[used].tobytes(), need[used].tobytes(),
                         )
                     )
-                if rows:
-                    names = [f.split()[0] for f in SIGNED.split(", ")]
-                    kinds = [pa.int32()] + [pa.binary()] * 5
-                    columns = zip(*rows, strict=True)
-                    yield _frame({n: (list(c), t) for n, c, t in zip(names, columns, kinds, strict=True)})
+                names = [f.split()[0] for f in SIGNED.split(", ")]
+                kinds = [pa.int32()] + [pa.binary()] * 5
+                columns = zip(*rows, strict=True)
+                yield _frame({n: (list(c), t) for n, c, t in zip(names, columns, kinds, strict=True)})
 
         size_now = 0
         for _, grams, body in _sets(batches):
@@ -244,6 +257,8 @@ def _sign(ranges: int):
             for step in (0, 1):
                 mark, need = signatures(grams, band + step)
                 marks.append(mark)
+                low, high = first_range[band + step : band + step + 2].tolist()
+                places.append((((mark >> np.uint64(32)) * np.uint64(high - low)) >> np.uint64(32)).astype("u4") + np.uint32(low))
                 owners.append(np.full(len(mark), 2 * len(nodes) + step, dtype=np.int64))
                 needs.append(need)
             nodes.append(key)
@@ -251,7 +266,7 @@ def _sign(ranges: int):
             size_now += body
             if size_now >= RUN_BYTES or len(nodes) >= RUN_SETS:
                 yield from flush()
-                nodes, sizes, needs, marks, owners, size_now = [], [], [], [], [], 0
+                nodes, sizes, needs, marks, owners, places, size_now = [], [], [], [], [], [], 0
         if nodes:
             yield from flush()
 
@@ -268,7 +283,7 @@ def _meet(table):
     marks, who, nodes, sizes, needs = [], [], [], [], []
     before = 0
     for row in table.to_pylist():
-        w = np.frombuffer(row["who"], "<u2").astype(np.int64)
+        w = np.cumsum(np.frombuffer(row["who"], "<u2").astype(np.int64))
         n = np.frombuffer(row["nodes"], "<i8")
         marks.append(np.frombuffer(row["signatures"], "<u4"))
         who.append(w + 2 * before)
@@ -290,7 +305,7 @@ def _meet(table):
     order = np.lexsort((key, band, mark))
     mark, who, key, larger, band = (x[order] for x in (mark, who, key, larger, band))
     same_group = (mark[1:] == mark[:-1]) & (band[1:] == band[:-1])
-    repeat = np.concatenate(([False], same_group & (key[1:] == key[:-1])))
+    repeat = np.concatenate(([False], same_group & (key[1:] == key[:-1])))[: len(mark)]
     mark, who, key, larger, band = (x[~repeat] for x in (mark, who, key, larger, band))
     fresh = np.concatenate(([True], (mark[1:] != mark[:-1]) | (band[1:] != band[:-1]))) if len(mark) else np.zeros(0, bool)
     group = np.cumsum(fresh) - 1
@@ -517,13 +532,12 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def links(docs: DataFrame, copies: DataFrame) -> DataFrame:
+def links(docs: DataFrame, members: DataFrame, copies: DataFrame) -> DataFrame:
     """All links between distinct sets, as LINKED rows: ``n`` sums up to the documents of the sets a set is linked to,
-    and the pairs (node, root) connect every component. ``copies`` has the number of documents of each set."""
+    and the pairs (node, root) connect every component. ``members`` has the size of each document's set, ``copies``
+    the number of documents of each set."""
     rows = texts(docs)
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = int(size // RANGE_BYTES) + 1
-    met = materialize(rows.mapInArrow(_sign(ranges), SIGNED).groupBy("range").applyInArrow(_meet, MET), "jaccard-met")
+    met = materialize(rows.mapInArrow(_sign(_ranges(members)), SIGNED).groupBy("range").applyInArrow(_meet, MET), "jaccard-met")
     large = met.filter("grp IS NOT NULL").select("band", "grp", F.col("a").alias("node"), "need")
     often = large.groupBy("band", "node").agg(F.count("*").alias("times"), F.max("need").alias("need"))
     often = materialize(often, "jaccard-often")
@@ -576,7 +590,7 @@ def _similar(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     clash = F.when(F.col("low") != F.col("high"), F.raise_error(F.lit("two sets have one hash")).cast("long"))
     nodes = materialize(nodes.select("node", F.coalesce(clash, "least").alias("least"), "copies"), "jaccard-nodes")
-    linked = links(docs, nodes.select("node", "copies"))
+    linked = links(docs, members, nodes.select("node", "copies"))
     label = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     nodes = nodes.join(label, "node", "left").join(linked.groupBy("node").agg(F.sum("n").alias("n")), "node", "left")
     n_links = (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links")

@@ -1,10 +1,10 @@
-"""Bounded portions of quality rows, remembered pieces."""
+"""Bounded portions of quality rows, ranges of signatures by band, remembered pieces."""
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from strataload.llm import quality, token_store
+from strataload.llm import jaccard_join, quality, token_store
 
 
 def test_quality_rows_are_worked_on_in_portions():
@@ -14,6 +14,44 @@ def test_quality_rows_are_worked_on_in_portions():
     assert [i for p in parts[:3] for i in p.column("doc_id").to_pylist()] == list(range(2 * quality.ROWS + 3))
 
 
+def _members(spark, sizes):
+    return spark.createDataFrame([(s,) for s in sizes], "size long")
+
+
+def test_a_band_has_ranges_for_its_own_signatures(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "RANGE_SIGNATURES", 100)
+    first = jaccard_join._ranges(_members(spark, [5] * 200 + [300, 0]))
+    count = np.diff(first)
+    own, other = int(jaccard_join.band_of(5)), int(jaccard_join.band_of(300))
+    assert count[own] == 5 * 200 // 100 + 1 and count[own + 1] == count[own]
+    given = [min(300, int(jaccard_join.parts(other + i))) for i in (0, 1)]
+    assert [count[other], count[other + 1]] == [g // 100 + 1 for g in given]
+    assert count.min() == 1 and first[0] == 0
+
+
+def test_a_set_is_named_in_ranges_of_its_bands_only():
+    texts = [" ".join(f"w{n}x{i}" for i in range(200)) for n in range(40)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": texts})
+    first = np.arange(len(jaccard_join.ENDS) + 2, dtype=np.int64) * 7
+    rows = [r for out in jaccard_join._sign(first)([batch]) for r in out.to_pylist()]
+    band = int(jaccard_join.band_of(196))
+    assert {r["range"] for r in rows} == set(range(7 * band, 7 * band + 14))
+    n = 0
+    for r in rows:
+        who = np.cumsum(np.frombuffer(r["who"], "<u2"))
+        assert len(np.unique(who >> 1)) == len(r["nodes"]) // 8 and (np.diff(who) >= 0).all()
+        n += len(who)
+    sets = [g for _, g, _ in jaccard_join._sets([batch])]
+    assert n == sum(len(jaccard_join.signatures(g, band + step)[0]) for g in sets for step in (0, 1))
+
+
+def test_a_range_without_a_shared_signature_has_no_pair():
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["only one text of seven different words"]})
+    first = np.arange(len(jaccard_join.ENDS) + 2, dtype=np.int64)
+    out = pa.Table.from_batches(list(jaccard_join._sign(first)([batch])))
+    assert jaccard_join._meet(out.slice(0, 1)).num_rows == 0
+
+
 def test_pieces_that_meet_in_a_slot_are_found_again(monkeypatch):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     monkeypatch.setattr(token_store, "SLOTS", 1 << 8)
