@@ -18,9 +18,12 @@ from pyspark.sql import types as T
 
 from strataload.plans.specs import EntitySpec
 from strataload.registry.texts import CE_TEXTS, DIM_TEXTS, LOG_TEXT, LOOKUPS, SALES, SOURCE_FILTER
+from strataload.session import hadoop_path
 from strataload.sources.schemas import CARD_COLUMNS, CASH_COLUMNS
 
 AS_OF = dt.date(2024, 1, 1)
+# Files above this are taken not to fit a broadcast (Spark's own limit by default). It decides the order of joins alone.
+BROADCAST_BYTES = 10 << 20
 # Schemas by path: every query reads several tables, and inferring a schema is a job of its own.
 _schemas: dict[str, T.StructType] = {}
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -37,6 +40,10 @@ class Feed:
             _schemas[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_schemas[path]).parquet(path)
 
+    def file_bytes(self, name: str) -> int:
+        fs, path = hadoop_path(self.spark, f"{self.directory}/{name}.parquet")
+        return fs.getContentSummary(path).getLength()
+
     def sql(self, text: str) -> DataFrame:
         used = {name: self.table(name) for name in TABLES if "{" + name + "}" in text}
         return self.spark.sql(text, **used)
@@ -59,8 +66,10 @@ class Feed:
         if "c" in wanted:
             # Orders are fewer and narrower than lines, so they meet the customers first.
             tables["o"] = tables["o"].join(tables.pop("c"), conditions["c"], "left")
-        # Nations and regions come last: they fit a broadcast, and would only widen the rows of the other joins.
-        for prefix in "opsnr":
+        # The orders are the last join that shuffles, so that the lines of an order, and its repeated payments, stay side
+        # by side: what repeats is reduced before its shuffle. Tables that fit a broadcast come last, as they would only
+        # widen the rows of the other joins; of parts, the size decides.
+        for prefix in "posnr" if "p" in tables and self.file_bytes("part") > BROADCAST_BYTES else "opsnr":
             if prefix in tables:
                 rows = rows.join(tables[prefix], conditions[prefix], "left")
         return rows.select(*[F.expr(SALES[name].text).alias(name) for name in names])

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataload.operators import dedup
+from strataload.registry import feed
 from strataload.registry.feed import Feed
 from strataload.registry.queries import QUERIES
 from strataload.sources.csv import split_sales
@@ -102,3 +103,14 @@ def test_batches_of_states_are_not_made_distinct_by_order(tables, spark, monkeyp
     monkeypatch.setattr(Feed, "sales", lambda self, s, names, distinct=False: asked.append(distinct) or sales(self, s, names, distinct))
     assert QUERIES["survivor_state"](spark, tables.directory).count() > 0
     assert asked and not any(asked)
+
+
+@pytest.mark.parametrize("limit, outermost", [(0, "l_orderkey"), (1 << 30, "l_partkey")])
+def test_large_parts_meet_the_lines_before_the_orders(tables, monkeypatch, limit, outermost):
+    monkeypatch.setattr(feed, "BROADCAST_BYTES", limit)
+    rows = tables.sales("cash", ["payment_id", "order_date", "product_name"])
+    joins = [x for x in rows._jdf.queryExecution().analyzed().toString().splitlines() if "Join LeftOuter" in x]
+    # The outermost join stands first.
+    assert len(joins) == 2 and outermost in joins[0]
+    day = dt.date(1998, 1, 2)
+    assert sorted(tuple(r) for r in rows.collect()) == [(f"{o}-{n}", day, "bolt") for o in (1, 2) for n in (1, 2)]
