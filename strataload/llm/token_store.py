@@ -2,7 +2,7 @@
 
 Documents are sorted by id across the cluster. Each task encodes its range and writes blocks of about
 BLOCK_TOKENS ids. A block holds a Re-Pair grammar: frequent neighbours (a, b) become a new symbol, round by
-round, each round replacing all pairs at or above a threshold that falls by half, until no pair occurs
+round, each round replacing all pairs at or above a threshold that falls to a quarter, until no pair occurs
 MIN_PAIR times. Where two pairs overlap the more frequent one is replaced. End ids never join a pair, so a
 document is a run of symbols; the block stores where each run begins, the rules, and how many ids every
 symbol stands for. One document is decoded from its run alone.
@@ -49,19 +49,24 @@ BLOCKS = "shard int, block int, n_tokens long, payload binary"
 
 
 class _Hasher:
-    """A polynomial hash of every piece from running sums over its code points."""
+    """A polynomial hash of every piece from running sums over its code points, in 64 bits or 32."""
 
-    def __init__(self, base: int) -> None:
-        self.base = base | 1
-        self.up = self.down = _powers(1, 1)
+    def __init__(self, base: int, kind: type = np.uint64) -> None:
+        self.base, self.kind = base | 1, kind
+        self._grow(1)
+
+    def _grow(self, n: int) -> None:
+        self.up = _powers(self.base, n).astype(self.kind)
+        self.down = _powers(pow(self.base, -1, 1 << 64), n).astype(self.kind)
 
     def __call__(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(self.up) < len(values):
-            self.up = _powers(self.base, len(values))
-            self.down = _powers(pow(self.base, -1, 1 << 64), len(values))
-        sums = np.zeros(len(values) + 1, dtype=np.uint64)
-        np.cumsum(values * self.up[: len(values)], out=sums[1:], dtype=np.uint64)
-        return mix((sums[ends] - sums[starts]) * self.down[starts])
+            self._grow(len(values))
+        sums = np.zeros(len(values) + 1, dtype=self.kind)
+        products = values.astype(self.kind)
+        products *= self.up[: len(values)]
+        np.cumsum(products, out=sums[1:], dtype=self.kind)
+        return (sums[ends] - sums[starts]) * self.down[starts]
 
 
 class PieceEncoder:
@@ -71,7 +76,7 @@ class PieceEncoder:
     before it, the endings after an apostrophe, and white space. That depends on the kinds of neighbouring characters
     alone, so it is done in numpy for a group of texts; of what kind a character is, the library is asked once. Pieces
     are hashed and looked up in a table with open addressing; each distinct one that is not there goes to the library
-    once. A second hash stands for the content: where it disagrees with the first, the group's texts are encoded whole.
+    once. A second hash, of 32 bits, stands for the content: where it disagrees with the first, the group's texts are encoded whole.
     Pieces are forgotten once there are more than KEPT.
     """
 
@@ -98,12 +103,12 @@ class PieceEncoder:
         spelling = {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(others)}}
         self.letters = "".join(spelling[b] for b in range(256))
         self.kinds = np.full(0x110000, UNKNOWN, dtype=np.uint8)
-        self.hashers = _Hasher(0x9E3779B97F4A7C15), _Hasher(0xC2B2AE3D27D4EB4F)
+        self.hashers = _Hasher(0x9E3779B97F4A7C15), _Hasher(0xC2B2AE3D27D4EB4F, np.uint32)
         self._forget()
 
     def _forget(self) -> None:
         self.table = np.full(SLOTS, -1, dtype=np.int32)
-        self.hashes = self.proofs = np.zeros(0, dtype=np.uint64)
+        self.hashes, self.proofs = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint32)
         self.starts = self.lengths = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.int32)
 
@@ -192,7 +197,7 @@ class PieceEncoder:
     def _together(self, bodies: list[str], end: int) -> list[np.ndarray]:
         """The ids of each text of a group."""
         joined = "".join(bodies)
-        points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+        points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.intp)
         sizes = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies))
         text_ends = np.cumsum(sizes)
         first = np.zeros(len(points), dtype=bool)
@@ -204,6 +209,7 @@ class PieceEncoder:
         else:
             values = mix(points.astype(np.uint64) + np.uint64(1))
         hashes, proofs = (hasher(values, starts, ends) for hasher in self.hashers)
+        hashes = mix(hashes)
         if len(self.hashes) > KEPT:
             self._forget()
         number = self._find(hashes)
@@ -258,7 +264,7 @@ def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     mixed = left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)
     mixed ^= mixed >> np.uint32(15)
     mixed *= np.uint32(0xC2B2AE3D)
-    out = (mixed >> np.uint32(32 - BINS)).astype(np.int32)
+    out = (mixed >> np.uint32(32 - BINS)).astype(np.intp)
     out[(left == END) | (right == END)] = 1 << BINS
     return out
 
@@ -323,10 +329,10 @@ def grammar(ids: np.ndarray, last: np.ndarray, first_new: int) -> tuple[np.ndarr
     slots = _slots(seq[:-1], seq[1:])
     counts = np.bincount(slots, minlength=(1 << BINS) + 1)
     counts[-1] = 0
-    threshold = max(int(counts.max(initial=0)) // 2, MIN_PAIR)
+    threshold = max(int(counts.max(initial=0)) // 4, MIN_PAIR)
     places = np.zeros(0, dtype=np.int64)
     while len(seq) > 1:
-        places = np.flatnonzero(np.take(counts >= threshold, slots.astype(np.intp)))
+        places = np.flatnonzero(np.take(counts >= threshold, slots))
         if threshold == MIN_PAIR:
             break
         done = _replace(seq, places, threshold, symbol)
@@ -347,7 +353,7 @@ def grammar(ids: np.ndarray, last: np.ndarray, first_new: int) -> tuple[np.ndarr
             counts[-1] = 0
             rules.append(done.pairs)
             symbol += len(done.pairs)
-        threshold = max(min(int(counts.max(initial=0)) // 2, threshold // 2), MIN_PAIR)
+        threshold = max(min(int(counts.max(initial=0)) // 4, threshold // 4), MIN_PAIR)
     while len(places):
         done = _replace(seq, places, MIN_PAIR, symbol)
         if done is None:
@@ -372,6 +378,16 @@ def grammar(ids: np.ndarray, last: np.ndarray, first_new: int) -> tuple[np.ndarr
     return symbols, (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def levels(left: np.ndarray, right: np.ndarray, first_new: int) -> Iterator[np.ndarray]:
+    """The numbers of the rules in such an order that the halves of each lie in an earlier group, or are plain ids."""
+    depth = [0] * first_new
+    for a, b in zip(left.tolist(), right.tolist(), strict=True):
+        depth.append(1 + max(depth[a], depth[b]))
+    found = np.array(depth[first_new:], dtype=np.int64)
+    for level in range(1, int(found.max(initial=0)) + 1):
+        yield np.flatnonzero(found == level)
+
+
 def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, end: int) -> bytes:
     """One block."""
     last = np.zeros(len(ids), dtype=bool)
@@ -379,8 +395,8 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, end: in
     first_new = int(ids.max(initial=end)) + 1
     seq, left, right = grammar(ids, last, first_new)
     sizes = np.ones(first_new + len(left), dtype=np.int64)
-    for i, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
-        sizes[first_new + i] = sizes[a] + sizes[b]
+    for rules in levels(left, right, first_new):
+        sizes[first_new + rules] = sizes[left[rules]] + sizes[right[rules]]
     ends = np.cumsum(sizes[seq])
     runs = np.concatenate(([0], np.searchsorted(ends, np.cumsum(counts)) + 1))[:-1]
     return b"".join(
@@ -424,19 +440,22 @@ class Block:
             np.int64
         )
         # Every symbol's ids stand in one array: the plain ids themselves, then rule after rule.
-        flat = np.arange(self.first_new + int(sizes.sum()), dtype=np.int64)
-        for i, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
-            to, middle = self.starts[self.first_new + i], self.sizes[a]
-            flat[to : to + middle] = flat[self.starts[a] : self.starts[a] + middle]
-            flat[to + middle : to + middle + self.sizes[b]] = flat[self.starts[b] : self.starts[b] + self.sizes[b]]
-        self.flat = flat
+        self.flat = np.arange(self.first_new + int(sizes.sum()), dtype=np.int64)
+        for rules in levels(left, right, self.first_new):
+            halves = np.stack((left[rules], right[rules]), axis=1).ravel()
+            symbols = self.first_new + rules
+            self.flat[spread(self.starts[symbols], self.sizes[symbols])] = self.expand(halves)
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         return self.flat[spread(self.starts[symbols], self.sizes[symbols])]
 
+    def documents(self, start: int, stop: int) -> np.ndarray:
+        """The ids of neighbouring documents, one behind the other."""
+        end = self.runs[stop] if stop < len(self.runs) else len(self.symbols)
+        return self.expand(self.symbols[self.runs[start] : end])
+
     def document(self, i: int) -> np.ndarray:
-        stop = self.runs[i + 1] if i + 1 < len(self.runs) else len(self.symbols)
-        return self.expand(self.symbols[self.runs[i] : stop])
+        return self.documents(i, i + 1)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -515,11 +534,14 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
                 places = start + np.cumsum(counts) - counts
                 for at in range(0, len(counts), 1000):
                     some = range(at, min(at + 1000, len(counts)))
+                    ids = block.documents(some.start, some.stop).astype("<u4")
+                    ends = np.concatenate(([0], np.cumsum(counts[some.start : some.stop]))) * 4
+                    buffers = [None, pa.py_buffer(ends.astype("<i4")), pa.py_buffer(ids)]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([block.doc_ids[i] for i in some], pa.int64()),
                             pa.array(places[some.start : some.stop]),
-                            pa.array([block.document(i).astype("<u4").tobytes() for i in some], pa.binary()),
+                            pa.Array.from_buffers(pa.binary(), len(some), buffers),
                         ],
                         ["doc_id", "start", "ids"],
                     )

@@ -66,3 +66,25 @@ def test_pieces_that_meet_in_a_slot_are_found_again(monkeypatch):
     monkeypatch.setattr(token_store, "KEPT", known - 1)
     assert encoder.encode(["another piece"], 2)[0].tolist() == [*encoder.library.encode("another piece").ids, 2]
     assert len(encoder.hashes) < known
+
+
+def test_rules_in_rules_are_expanded_level_by_level():
+    left, right = np.array([1, 4, 5, 2, 6]), np.array([2, 4, 3, 2, 5])
+    groups = [g.tolist() for g in token_store.levels(left, right, 4)]
+    assert groups == [[0, 3], [1], [2], [4]]
+    ids = np.array([1, 2, 3, 1, 2, 1, 2, 0] * 400 + [0, 3, 0], dtype=np.int32)
+    counts = np.diff(np.append(0, np.flatnonzero(ids == 0) + 1))
+    block = token_store.Block(token_store.pack(list(range(len(counts))), counts, ids, 0))
+    assert block.documents(0, len(counts)).tolist() == ids.tolist()
+    assert block.documents(399, 402).tolist() == [1, 2, 3, 1, 2, 1, 2, 0, 0, 3, 0]
+    assert block.document(401).tolist() == [3, 0] and block.document(400).tolist() == [0]
+
+
+def test_a_block_is_scanned_once_for_a_quarter_of_the_threshold(monkeypatch):
+    asked = []
+    replace = token_store._replace
+    monkeypatch.setattr(token_store, "_replace", lambda s, p, t, n: asked.append(t) or replace(s, p, t, n))
+    ids = np.concatenate([np.tile([2 * n + 1, 2 * n + 2], 24 << n) for n in range(12)]).astype(np.int32)
+    token_store.grammar(np.append(ids, 0), np.append(np.zeros(len(ids), bool), True), 30)
+    scans = [t for t in asked if t > token_store.MIN_PAIR]
+    assert scans and all(4 * b <= a for a, b in zip(scans, scans[1:]))
