@@ -45,9 +45,7 @@ REJECTED_TABLE = "bl_cl.rejected_sales"
 STAGING_STEP = "sa.staging"
 
 
-def _side_by_side(
-    warehouse: Warehouse, steps: Mapping[str, Callable[[], int | None]], workers: int
-) -> dict[str, int | None]:
+def _side_by_side(warehouse: Warehouse, steps: Mapping[str, Callable[[], Any]], workers: int) -> dict[str, Any]:
     """Run independent loads from a few driver threads, so that small jobs do not wait for each other."""
     with ThreadPoolExecutor(workers) as pool:
         running = {
@@ -100,25 +98,28 @@ def load_staging(
 
     One logged step: both files are typed before either is added, so a bad file leaves both tables as they were. With
     ``quarantine``, rows with a value that does not fit are set aside with their reasons, and the others are loaded.
+    The files are worked on side by side, so that the last tasks of one do not leave cores without work.
     """
 
+    def typed_rows(table: str, raw: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+        bad_rows = []
+        if quarantine:
+            good, bad, counts = split_sales(raw, date_format)
+            if counts["rejected"]:
+                bad_rows.append(_rejected_rows(table, bad))
+        else:
+            good = materialize(typed_sales(raw, date_format), "typed")
+        return first_of_repeated(good, ["payment_id"]), bad_rows
+
     def step() -> int:
-        typed, rejected = {}, []
-        for table, raw in ((CASH_TABLE, raw_cash), (CARD_TABLE, raw_card)):
-            if quarantine:
-                good, bad, counts = split_sales(raw, date_format)
-                if counts["rejected"]:
-                    rejected.append(_rejected_rows(table, bad))
-            else:
-                good = materialize(typed_sales(raw, date_format), "typed")
-            typed[table] = first_of_repeated(good, ["payment_id"])
+        raws = {CASH_TABLE: raw_cash, CARD_TABLE: raw_card}
+        typed = _side_by_side(warehouse, {t: partial(typed_rows, t, raw) for t, raw in raws.items()}, len(raws))
         batch = 1 + warehouse.last_batch(*typed)
+        rejected = [bad for _, bad_rows in typed.values() for bad in bad_rows]
         if rejected:
             warehouse.append(REJECTED_TABLE, union_all(rejected).withColumn("batch", F.lit(batch).cast("long")))
-        affected = 0
-        for table, rows in typed.items():
-            affected += warehouse.append_batch(table, rows, batch)
-        return affected
+        adding = {table: partial(warehouse.append_batch, table, rows, batch) for table, (rows, _) in typed.items()}
+        return sum(_side_by_side(warehouse, adding, len(adding)).values())
 
     return run_step(warehouse, STAGING_STEP, step, raise_on_error)
 
@@ -383,7 +384,21 @@ def load_dimensions(warehouse: Warehouse, as_of: dt.date, workers: int = 4) -> d
     return _side_by_side(warehouse, steps, workers)
 
 
-def load_all(warehouse: Warehouse, as_of: dt.date) -> dict[str, int | None]:
-    """Entities, then the star schema, from staging tables that are already loaded."""
+def load_all(warehouse: Warehouse, as_of: dt.date, workers: int = 8) -> dict[str, int | None]:
+    """Entities and the star schema, from staging tables that are already loaded.
+
+    A dimension waits for its own entity alone; the calendar depends on the staging tables.
+    """
     create_tables(warehouse)
-    return {**load_entities(warehouse, as_of), **load_dimensions(warehouse, as_of)}
+
+    def both(name: str) -> tuple[int | None, int | None]:
+        entity = load_entity(warehouse, ENTITIES[name], as_of)
+        return entity, load_dimension(warehouse, DIMENSIONS[name], as_of)
+
+    # The largest come first.
+    steps: dict[str, Callable[[], Any]] = {name: partial(both, name) for name in reversed(ENTITIES)}
+    steps[CALENDAR_TABLE] = partial(load_calendar, warehouse)
+    loaded = _side_by_side(warehouse, steps, workers)
+    entities = {spec.table: loaded[name][0] for name, spec in ENTITIES.items()}
+    dimensions = {spec.table: loaded[name][1] for name, spec in DIMENSIONS.items()}
+    return {**entities, **dimensions, CALENDAR_TABLE: loaded[CALENDAR_TABLE]}

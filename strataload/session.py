@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,9 @@ LOCAL_SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Columns of sales with nearly as many values as rows, or as customers and products.
+MANY_VALUED = frozenset({"payment_id", "order_id", "customer_id", "customer_name", "product_id"})
+
 
 def local_session(name: str, cores: int = 8, memory: str = "8g") -> SparkSession:
     builder = (
@@ -63,6 +67,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def write_options(columns: Iterable[str]) -> dict[str, str]:
+    """How tables and intermediate results are written: zstd, and no dictionary for columns that it would not shorten.
+
+    The writer would build one for every file all the same, and look up every text in it, before it gives it up.
+    """
+    plain = {f"parquet.enable.dictionary#{name}": "false" for name in columns if name in MANY_VALUED}
+    return {"compression": "zstd", **plain}
+
+
 def materialize(df: DataFrame, label: str = "rows") -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
@@ -71,5 +84,5 @@ def materialize(df: DataFrame, label: str = "rows") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**write_options(df.columns)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataload.operators.rows import conform, empty_frame
-from strataload.session import hadoop_path, materialize
+from strataload.session import hadoop_path, materialize, write_options
 from strataload.sources.schemas import BATCHED_TABLES, TABLE_KEYS, TABLE_SCHEMAS
 
 BATCH = "load_batch"
@@ -126,11 +126,11 @@ class Warehouse:
     def _write(self, table: str, rows: DataFrame, mode: str) -> None:
         layout = self._layout(table)
         if layout is None:
-            rows.write.mode(mode).option("compression", "zstd").parquet(self.folder(table))
+            rows.write.mode(mode).options(**write_options(rows.columns)).parquet(self.folder(table))
             return
         # One file per folder and write. Batches are single folders, which many tasks fill.
         dealt = rows.repartition(layout.name) if table in self.keys else rows
-        writer = dealt.write.option("compression", "zstd").partitionBy(layout.name)
+        writer = dealt.write.options(**write_options(dealt.columns)).partitionBy(layout.name)
         if mode == "folders":
             writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.folder(table))
         else:

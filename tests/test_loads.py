@@ -1,6 +1,9 @@
 import datetime as dt
 import shutil
+from threading import Barrier, Event
+from urllib.parse import urlparse
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import DAY, raw_sales
 from pyspark.sql import functions as F
@@ -227,3 +230,54 @@ def test_command_line_job(spark, sales, tmp_path):
     first = run_load.main([*place, "--cash", str(tmp_path / "cash"), "--card", str(tmp_path / "card")])
     assert first["bl_dm.dim_customers_scd"] == 2
     assert set(run_load.main(place).values()) == {0}
+
+
+def test_a_dimension_waits_for_its_own_entity_alone(warehouse, sales, monkeypatch):
+    loads.load_staging(warehouse, sales("cash", {}), sales("card", {"payment_id": "c1"}))
+    load_entity, load_dimension, published = loads.load_entity, loads.load_dimension, Event()
+    waited = []
+
+    def slow_entity(warehouse, spec, as_of, *rest, **options):
+        if spec is CUSTOMERS:
+            waited.append(published.wait(60))
+        return load_entity(warehouse, spec, as_of, *rest, **options)
+
+    def noted_dimension(warehouse, spec, as_of, *rest, **options):
+        affected = load_dimension(warehouse, spec, as_of, *rest, **options)
+        published.set()
+        return affected
+
+    monkeypatch.setattr(loads, "load_entity", slow_entity)
+    monkeypatch.setattr(loads, "load_dimension", noted_dimension)
+    assert None not in loads.load_all(warehouse, DAY).values()
+    assert waited == [True]
+
+
+def test_both_files_are_typed_and_added_side_by_side(warehouse, sales, monkeypatch):
+    both_typed, both_added = Barrier(2, timeout=60), Barrier(2, timeout=60)
+    typed_sales, append_batch = loads.typed_sales, Warehouse.append_batch
+
+    def typed(*arguments):
+        both_typed.wait()
+        return typed_sales(*arguments)
+
+    def added(*arguments):
+        both_added.wait()
+        return append_batch(*arguments)
+
+    monkeypatch.setattr(loads, "typed_sales", typed)
+    monkeypatch.setattr(Warehouse, "append_batch", added)
+    loads.load_staging(warehouse, sales("cash", {}), sales("card", {"payment_id": "c1"}))
+    assert warehouse.count(loads.CASH_TABLE) and warehouse.count(loads.CARD_TABLE)
+
+
+def test_columns_of_many_values_are_staged_without_a_dictionary(warehouse, sales):
+    rows = loads.typed_sales(sales("cash", {})).crossJoin(warehouse.spark.range(1000).select(F.lit(1)))
+    warehouse.append_batch(loads.CASH_TABLE, rows.select(*warehouse.schemas[loads.CASH_TABLE].names), 1)
+    for file in warehouse.read(loads.CASH_TABLE).inputFiles():
+        group = pq.ParquetFile(urlparse(file).path).metadata.row_group(0)
+        chunks = [group.column(i) for i in range(group.num_columns)]
+        assert {c.compression for c in chunks} == {"ZSTD"}
+        with_dictionary = {c.path_in_schema for c in chunks if c.has_dictionary_page}
+        assert "country" in with_dictionary
+        assert not with_dictionary & {"payment_id", "order_id", "customer_id", "customer_name", "product_id"}
